@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import simhash
+from sluice.llm import packing, simhash, substrings, tokens
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,8 +22,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.read_token_files(*tokens.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER))
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash,)}
+    return {f.__name__: f for f in (op4_simhash, op7_token_files, op8_substrings, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
