@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import packing, simhash, substrings, tokens
+from sluice.llm import digests, mixing, packing, simhash, substrings, tokens, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -22,6 +22,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.resolved(warc.read_archives(*warc.write_archives(table(spark, sf_dir, "pages")), keep_payload=False))
+    return read.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("copies") * F.col("mix_size")).alias("taken"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.read_token_files(*tokens.write_token_files(table(spark, sf_dir, "documents"), TOKENIZER))
 
@@ -35,9 +45,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = digests.with_edits(table(spark, sf_dir, "documents"))
+    text = lambda c: F.lower(F.hex(c))
+    return out.select("doc_id", "n_chars", "edited_sha256", text("digest").alias("fingerprint"), text("edited_digest").alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash, op7_token_files, op8_substrings, op9_packing)}
+    return {f.__name__: f for f in (op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
