@@ -18,6 +18,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -26,42 +27,129 @@ from pyspark.sql import functions as F
 from sluice.llm.common import fresh_path, parts_for, saved
 
 END_ID = 1
-#: Separators of str.split() that the tokenizer keeps as characters.
-ODD = re.compile("[\x1c-\x1f]")
+#: Letters that have just one form, and what may follow them as one run of punctuation.
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 NO_ID = -(2**63)
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
-    """Encodes texts word by word and keeps what it has encoded, up to ``keep`` words.
+    """Encodes texts word by word and keeps what it has encoded, up to ``keep`` words; beyond, those in one slice only go first.
 
     The tokenizer must treat white space as a mere separator (its normaliser and
-    pre-tokeniser drop it), so that a text's ids are its words' ids in a row.
+    pre-tokeniser drop it), so that a text's ids are its words' ids in a row. Where it
+    also makes lower case and splits letters from punctuation, as its end-of-word ids
+    show, new words of letters are encoded many at a time as one text.
     """
 
-    def __init__(self, path: str, keep: int = 600_000) -> None:
+    def __init__(self, path: str, keep: int = 900_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.words = Tokenizer.from_file(path), keep, {}
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        rows = [[t] if ODD.search(t) else t.split() for t in texts]
-        if len(self.words) > self.keep:
-            self.words.clear()
-        new = list(set(chain.from_iterable(rows)).difference(self.words))
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = np.array(got.ids, "<u4").tobytes()
-        of = self.words.__getitem__
-        out = [b"".join(map(of, row)) for row in rows]
-        for word in new:
+        self.tokenizer, self.keep = Tokenizer.from_file(path), keep
+        size = self.tokenizer.get_vocab_size()
+        self.wide = size > 1 << 16
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        self.forget()
+
+    def forget(self) -> None:
+        """at has a word's place in begin and size, which tell where its ids are in pool."""
+        self.at: dict[str, int] = {}
+        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
+        self.begin, self.size, self.hits, self.n = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def trim(self) -> None:
+        """Keeps the words that came in the most slices, half of keep at most."""
+        hits, least = self.hits[: self.n], 2
+        while (hits >= least).sum() > self.keep // 2:
+            least += 1
+        words = [w for w, i in self.at.items() if hits[i] >= least]
+        places = np.array([self.at[w] for w in words], np.int64)
+        ids, ends = self.take(places)
+        often = hits[places] // 2
+        self.forget()
+        self.put(words, ids, np.diff(ends, prepend=0))
+        self.hits[: self.n] = often
+
+    def put(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Keeps words with so many of the ids each."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while self.n + len(words) > len(self.begin):
+            self.begin, self.size, self.hits = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size, self.hits))
+        self.pool[self.used : self.used + len(ids)] = ids
+        here = slice(self.n, self.n + len(words))
+        self.size[here] = sizes
+        self.hits[here] = 0
+        self.begin[here] = self.used + np.cumsum(sizes) - sizes
+        self.at.update(zip(words, range(self.n, self.n + len(words)), strict=True))
+        self.used, self.n = self.used + len(ids), self.n + len(words)
+
+    def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these places in a row, and where each word's end there."""
+        size = self.size[at]
+        ends = np.cumsum(size)
+        return self.pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begin[at] - (ends - size), size)], ends
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [got.ids for i in range(0, len(texts), 4096) for got in self.tokenizer.encode_batch_fast(texts[i : i + 4096], add_special_tokens=False)]
+
+    def put_whole(self, words: list[str]) -> None:
+        ids = self.whole(words)
+        self.put(words, np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64))
+
+    def learn(self, new: list[str]) -> None:
+        plain = [m.groups() if self.ends.any() and (m := PLAIN.fullmatch(w)) else None for w in new]
+        rest = dict.fromkeys(w for w, p in zip(new, plain, strict=True) if not p)
+        rest.update(dict.fromkeys(p[1] for p in plain if p and p[1]))
+        self.put_whole([w for w in rest if w not in self.at])
+        cores = [w for w in dict.fromkeys(p[0].lower() for p in plain if p) if w not in self.at]
+        for i in range(0, len(cores), 1024):
+            part = cores[i : i + 1024]
+            ids = np.array(self.whole([" ".join(part)])[0], np.uint32)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                self.put(part, ids, np.diff(ends, prepend=0))
+            else:
+                self.put_whole(part)
+        both = []
+        for w, p in zip(new, plain, strict=True):
+            if p:
+                core = self.at[p[0].lower()]
+                if p[1]:
+                    both.append((w, core, self.at[p[1]]))
+                else:
+                    self.at[w] = core
+        if both:
+            words, core, tail = zip(*both, strict=True)
+            ids, ends = self.take(np.array([core, tail], np.int64).T.ravel())
+            self.put(list(words), ids, np.diff(ends[1::2], prepend=0))
+
+    def encode(self, texts: pa.Array, step: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The ids of the texts (null: empty), some at a time, in a row, and where each text's end there; step: words at a time."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # words may hold other white space, which the tokenizer sees to
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if self.n > self.keep or self.used > 16 * self.keep:
+            self.trim()
+        at = list(map(self.at.get, words))
+        if None in at:
+            self.learn([w for w, x in zip(words, at, strict=True) if x is None])
+            at = list(map(self.at.__getitem__, words))
+        places = np.array(at, np.int64)
+        self.hits[places] += 1
+        for word in words:
             if len(word) > 64:
-                self.words.pop(word, None)
-        return out
+                self.at.pop(word, None)
+                self.at.pop(word.lower(), None)
+        del words, at
+        edges, indices, low = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py(), coded.indices.to_numpy(), 0
+        while low < len(texts):
+            high = max(low + 1, int(np.searchsorted(edges, edges[low] + step, "right")) - 1)
+            ids, ends = self.take(places[indices[edges[low] : edges[high]]])
+            yield ids, np.concatenate([[0], ends])[edges[low + 1 : high + 1] - edges[low]]
+            low = high
 
 
 def encoder(path: str) -> Encoder:
@@ -72,12 +160,19 @@ def encoder(path: str) -> Encoder:
     return _encoders[key]
 
 
-def encoded(texts: pa.Array, path: str, end_id: int | None = END_ID, step: int = 256) -> Iterator[bytes]:
+def encoded(texts: pa.Array, path: str, end_id: int | None = END_ID, step_bytes: int = 16 << 20) -> Iterator[bytes]:
     """The ids of each text (null: empty) with end_id behind them, as unsigned 32-bit integers."""
     end, of = b"" if end_id is None else np.array([end_id], "<u4").tobytes(), encoder(path)
-    for i in range(0, len(texts), step):
-        for ids in of.encode([t or "" for t in texts.slice(i, step).to_pylist()]):
-            yield ids + end
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    at = 0
+    while at < len(texts):
+        upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + step_bytes, "right")))
+        for ids, ends in of.encode(texts.slice(at, upto - at)):
+            data, a = memoryview(ids.astype("<u4", copy=False)).cast("B"), 0
+            for b in (ends * 4).tolist():
+                yield bytes(data[a:b]) + end
+                a = b
+        at = upto
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = END_ID, part_bytes: int = 64 << 20) -> tuple[DataFrame, str]:
