@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import digests, mixing, packing, simhash, substrings, tokens, warc
+from sluice.llm import digests, mixing, packing, simhash, substrings, tokens, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~toxicity.held_out()))
+    out = toxicity.score(docs, model, score_col="score")
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -52,7 +59,7 @@ def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
+    return {f.__name__: f for f in (op1_toxicity, op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
 
 
 def oracle_sql() -> dict[str, str]:
