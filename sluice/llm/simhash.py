@@ -15,6 +15,7 @@ get one component by alternating large-star and small-star rounds over tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -201,3 +202,123 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of = rooted.join(least, "root").select("fp", "component_id")
     return fps.join(of, "fp").select(id_col, "fp", "component_id")
+
+
+BANDS, ROWS, SKETCH, LEAF = 8, 2, 256, 512
+MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) | 1 for i in range(BANDS * ROWS)], np.uint64)
+
+
+class LeafTree:
+    """A BK-tree over an array of fingerprints; up to LEAF of them stay together in a leaf, which is compared at once."""
+
+    def __init__(self, keys: np.ndarray, rows: np.ndarray | None = None) -> None:
+        self.rows = np.arange(len(keys)) if rows is None else rows
+        self.keys, self.children = keys, {}
+        if len(keys) > LEAF:
+            apart = np.bitwise_count(keys ^ keys[0])
+            if apart.any():
+                self.children = {int(d): LeafTree(keys[apart == d], self.rows[apart == d]) for d in np.unique(apart)}
+
+    def within(self, key: np.uint64, radius: int) -> list[np.ndarray]:
+        if not self.children:
+            return [self.rows[np.bitwise_count(self.keys ^ key) <= radius]]
+        d = int(np.bitwise_count(self.keys[0] ^ key))
+        return [x for edge, child in self.children.items() if d - radius <= edge <= d + radius for x in child.within(key, radius)]
+
+
+def sketched(text: bytes, shingle: int, seed: int = SEED) -> tuple[int, list[int], bytes]:
+    """Fingerprint, band keys and the SKETCH least shingle hashes (32 bits each, ascending) of a text's words."""
+    words = text.lower().split()
+    joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1]) if words else np.zeros(1, np.int64)
+    lasts = ends[shingle - 1 :] if len(words) >= shingle else np.array([len(joined)])
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), lasts.tolist(), strict=True)], np.uint64)
+    least = np.array([((hashes * m) ^ ((hashes * m) >> np.uint64(32))).min() for m in MULTIPLIERS], np.uint64).reshape(BANDS, ROWS)
+    bands = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(least)]
+    return majority(hashes), bands, np.unique((hashes >> np.uint64(32)).astype("<u4"))[:SKETCH].tobytes()
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity by two sketches; exact where both hold all of their text's hashes."""
+    both = np.union1d(a, b)
+    if len(a) == SKETCH or len(b) == SKETCH:
+        both = both[:SKETCH]
+    return np.isin(both, a).__and__(np.isin(both, b)).sum() / len(both)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 18) -> DataFrame:
+    """docs without near copies: of texts that chains of similarities link, the row with the least id stays.
+
+    Texts are alike if the sets of their shingles have the given Jaccard similarity or
+    more, by sketches of 256 hashes. Texts that share both MinHash values of one of eight
+    bands meet in a shard (at 0.8 some pair in 4,000 doesn't); a BK-tree of the shard's SimHash
+    fingerprints gives those within the radius, and the sketches decide. Copies of one word
+    sequence count once. Null texts are empty, and empty texts are copies of each other.
+    Rows with a null id all stay; of rows that share id and copy one stays.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]
+            fps, bands, sketches = zip(*(sketched(t, shingle) for t in texts), strict=True) if texts else ([], [], [])
+            signed = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["id", "whole", "fp", "bands", "sketch"])
+
+    rows = saved(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, f"id {kind}, whole binary, fp long, bands array<long>, sketch binary"), "sketches")
+    first = saved(rows.groupBy("whole").agg(F.min("id").alias("id")), "firsts")
+    keys = saved(rows.join(first, ["whole", "id"], "left_semi").select("id", "whole", F.posexplode("bands").alias("band", "key")).distinct(), "bands")
+    shared = keys.groupBy("band", "key").count().where("count > 1").drop("count")
+    met = keys.join(shared, ["band", "key"]).select("band", "key", "id", "whole")
+    shards = met.join(rows.dropDuplicates(["whole", "id"]).select("whole", "id", "fp", "sketch"), ["whole", "id"])
+
+    def forest_of(fps: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+        parent = list(range(len(fps)))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        tree, sets = LeafTree(fps), [np.frombuffer(s, "<u4") for s in sketches]
+        for i, fp in enumerate(fps):
+            for j in np.concatenate(tree.within(fp, radius)).tolist():
+                if j < i and root(i) != root(j) and alike(sets[i], sets[j]) >= similarity:
+                    a, b = root(i), root(j)
+                    parent[max(a, b)] = min(a, b)
+        return [(i, root(i)) for i in range(len(fps)) if parent[i] != i]
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def grown(held: pa.Table) -> pa.RecordBatch:
+            band, key = held.column(0).to_numpy(), held.column(1).to_numpy()
+            at = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])
+            out: list[tuple[int, int]] = []
+            fps, sketches = held.column(3).to_numpy().view(np.uint64), held.column(4).to_pylist()
+            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(band)], strict=True):
+                out += [(a + i, a + j) for i, j in forest_of(fps[a:b], sketches[a:b])]
+            ids = held.column(2).combine_chunks()
+            return pa.record_batch([ids.take(pa.array([x[k] for x in out], pa.int64())) for k in (0, 1)], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            held = new if held is None else pa.concat_tables([held, new])
+            if not held.num_rows:
+                continue
+            band, key = held.column(0).to_numpy(), held.column(1).to_numpy()
+            cut = int(np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])[-1])
+            if cut:
+                yield grown(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None and held.num_rows:
+            yield grown(held)
+
+    dealt = shards.select("band", "key", "id", "fp", "sketch").repartition("band", "key").sortWithinPartitions("band", "key", "id")
+    edges = dealt.mapInArrow(link, f"a {kind}, b {kind}").where("a != b").distinct()
+    roots = components(edges)
+    stay = first.join(roots.where("node != root"), first.id == F.col("node"), "left_anti").select(F.col("id").alias("__stay")).distinct()
+    kept = docs.join(stay, F.col(id_col) == F.col("__stay")).drop("__stay").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(id_col).isNull()))
