@@ -10,7 +10,7 @@ from sluice.functions.text import FAMILY_PREFIXES, PRIMARY_METRIC, family_of
 
 def exploded(results: DataFrame) -> DataFrame:
     """A row for each of a file's nested results."""
-    return results.select("upstream", F.explode("results").alias("r")).select("upstream", "r.*")
+    return results.select(F.col("upstream").alias("of"), F.explode("results").alias("r")).select("of", "r.*").withColumn("upstream", F.coalesce("upstream", "of")).drop("of")
 
 
 def main_metric(rows: DataFrame, prefixes: dict[str, str] = FAMILY_PREFIXES, metrics: dict[str, str] = PRIMARY_METRIC) -> DataFrame:
