@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import parts_for
+from sluice.llm.common import parts_for, release
 
 WIDTH, GRAM = 13, 5
 NO_ID = 2**63 - 1  # a null id comes after all others
@@ -124,8 +124,10 @@ def shard_of(x: np.ndarray, bits: int, shards: int) -> np.ndarray:
 
 def cells(x: np.ndarray, bits: int, shards: int) -> list[tuple[int, int, int]]:
     """(shard, from, to) of ascending x."""
+    if not len(x):
+        return []
     of = shard_of(x, bits, shards)
-    at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]]) if len(of) else np.zeros(0, np.int64)
+    at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     return list(zip(of[at].tolist(), at.tolist(), [*at[1:].tolist(), len(of)], strict=True))
 
 
@@ -133,6 +135,7 @@ class Bucket:
     """A bucket's rows in the order of id and text, so that every step sees them alike."""
 
     def __init__(self, rows: pa.Table, id_col: str, text_col: str) -> None:
+        release()
         ids = [NO_ID if x is None else x for x in rows.column(id_col).to_pylist()]
         texts = [t or b"" for t in rows.column(text_col).cast(pa.binary()).to_pylist()]
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
@@ -162,8 +165,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts have no words. Rows that share an id are one document's as far as
     owners go, so they don't remove one another's words; rows with a null id come
     after all others and remove nothing. An empty table gives no rows.
-    id_col is an integer; the columns that this adds must not be in docs.
+    id_col is an integer. Columns of docs that are named like those added give way to them.
     """
+    docs = docs.drop("n_words", "n_removed", "removed", "kept_text")
     n = parts_for(docs, text_col, bucket_bytes)
     dealt = docs.withColumn("__bucket", F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")).repartition(n, "__bucket")
 
