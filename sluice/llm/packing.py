@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import saved
-from sluice.llm.tokens import END_ID, encoded
+from sluice.llm.tokens import END_ID, KEEP, encoded
 
 CAPACITY = 2048
 BROADCAST_ROWS = 100_000
@@ -86,8 +86,8 @@ class Plan:
                 at += 1 << bit
         self.bounds = np.array(bounds, np.int64)
         self.sequences = self.windows + self.laid // capacity + len(bounds)
-        self.runs = {x: np.array(r, np.int64) for x, r in runs.items()}
-        self.cut_items = self.laid // capacity + len(bounds)  # at most one item crosses each bound
+        self.runs = {x: np.array(sorted(r), np.int64) for x, r in runs.items()}
+        self.cut_items = self.laid // capacity + len(bounds)  # one item crosses a bound at most
 
     def place(self, length: int, rank: int) -> list[tuple[int, int, int, int]]:
         """(start in the item, length, sequence, offset) of each piece of the item."""
@@ -110,13 +110,13 @@ class Plan:
         return pieces
 
 
-def measured(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, end_id: int | None) -> DataFrame:
+def measured(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, end_id: int | None, keep: int = KEEP) -> DataFrame:
     """A row for each document: id, key (of its text), n (ids), crcs of its full windows, the length and the crc of what remains."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, crcs, rest = [], [], []
-            for data in encoded(batch.column(2), tokenizer, end_id):
+            for data in encoded(batch.column(2), tokenizer, end_id, keep):
                 full = len(data) // (4 * capacity) * 4 * capacity
                 n.append(len(data) // 4)
                 crcs.append([zlib.crc32(data[i : i + 4 * capacity]) for i in range(0, full, 4 * capacity)])
@@ -127,16 +127,17 @@ def measured(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capaci
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, key long, n long, crcs array<long>, rest_crc long")
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int | None = END_ID) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int | None = END_ID, keep: int = KEEP) -> DataFrame:
     """A row for each piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id of every document lies in one piece; sequences are full but for at most
     log2(capacity) ones, each of whose lengths is a power of two. Null texts are empty
     documents, which hold end_id alone; a document without ids has no piece. Rows that
-    repeat are documents of their own. An empty table gives no rows.
+    repeat are documents of their own. An empty table gives no rows. keep: words that the
+    encoder keeps in each Python worker.
     """
     spark = docs.sparkSession
-    rows = saved(measured(docs, tokenizer, id_col, text_col, capacity, end_id).withColumn("uid", F.monotonically_increasing_id()), "measured")
+    rows = saved(measured(docs, tokenizer, id_col, text_col, capacity, end_id, keep).withColumn("uid", F.monotonically_increasing_id()), "measured")
     deals = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // 1_000_000)
     rows = rows.withColumns({"deal": F.pmod(F.xxhash64("uid"), F.lit(deals)), "rest": F.col("n") % capacity})
     counts = saved(rows.groupBy("deal", "rest").agg(F.count("*").alias("n"), F.sum(F.size("crcs")).alias("full")), "lengths")
@@ -174,11 +175,11 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     pieces = saved(rest.unionByName(full), "pieces")
 
     if plan.cut_items:
-        pieces = pieces.where("crc is not null").unionByName(cut_crcs(pieces.where("crc is null").drop("crc"), docs, tokenizer, id_col, text_col, end_id, plan.cut_items <= BROADCAST_ROWS))
+        pieces = pieces.where("crc is not null").unionByName(cut_crcs(pieces.where("crc is null").drop("crc"), docs, tokenizer, id_col, text_col, end_id, keep, plan.cut_items <= BROADCAST_ROWS))
     return pieces.select(F.col("id").alias(id_col), "start", "length", F.col("crc").alias("ids_crc32"), F.col("n").alias("doc_tokens"), "sequence_id", "offset")
 
 
-def cut_crcs(pieces: DataFrame, docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int | None, few: bool) -> DataFrame:
+def cut_crcs(pieces: DataFrame, docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id: int | None, keep: int, few: bool) -> DataFrame:
     """The pieces of documents that were cut, with crc; just these documents are encoded again. few: they may be broadcast."""
     wanted = pieces.groupBy("id", "key").agg(F.collect_set(F.struct("start", "length")).alias("cuts"))
     texts = docs.select(F.col(id_col).alias("id2"), F.xxhash64(text_col).alias("key2"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
@@ -187,7 +188,7 @@ def cut_crcs(pieces: DataFrame, docs: DataFrame, tokenizer: str, id_col: str, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, out = [], []
-            for i, (data, cuts) in enumerate(zip(encoded(batch.column(3), tokenizer, end_id), batch.column(2).to_pylist(), strict=True)):
+            for i, (data, cuts) in enumerate(zip(encoded(batch.column(3), tokenizer, end_id, keep), batch.column(2).to_pylist(), strict=True)):
                 row += [i] * len(cuts)
                 out += [(c["start"], c["length"], zlib.crc32(data[4 * c["start"] : 4 * (c["start"] + c["length"])])) for c in cuts]
             took = batch.take(pa.array(row, pa.int64()))

@@ -24,13 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh_path, parts_for, saved
+from sluice.llm.common import fresh_path, kept, parts_for, saved
 
-END_ID = 1
+END_ID, KEEP = 1, 900_000
 #: Letters that have just one form, and what may follow them as one run of punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 NO_ID = -(2**63)
-_encoders: dict[tuple[str, int], Encoder] = {}
 
 
 class Encoder:
@@ -42,7 +41,7 @@ class Encoder:
     show, new words of letters are encoded many at a time as one text.
     """
 
-    def __init__(self, path: str, keep: int = 900_000) -> None:
+    def __init__(self, path: str, keep: int = KEEP) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -152,17 +151,14 @@ class Encoder:
             low = high
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, keep: int = KEEP) -> Encoder:
     """One encoder for each file and Python worker."""
-    key = (path, os.getpid())
-    if key not in _encoders:
-        _encoders[key] = Encoder(path)
-    return _encoders[key]
+    return kept(("encoder", path, keep, os.getpid()), lambda: Encoder(path, keep))
 
 
-def encoded(texts: pa.Array, path: str, end_id: int | None = END_ID, step_bytes: int = 16 << 20) -> Iterator[bytes]:
-    """The ids of each text (null: empty) with end_id behind them, as unsigned 32-bit integers."""
-    end, of = b"" if end_id is None else np.array([end_id], "<u4").tobytes(), encoder(path)
+def encoded(texts: pa.Array, path: str, end_id: int | None = END_ID, keep: int = KEEP) -> Iterator[bytes]:
+    """The ids of each text (null: empty) with end_id behind them, as unsigned 32-bit integers; keep: words to keep, which with the slices' size bounds the memory."""
+    end, of, step_bytes = b"" if end_id is None else np.array([end_id], "<u4").tobytes(), encoder(path, keep), max(1 << 20, min(16 << 20, 18 * keep))
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
     at = 0
     while at < len(texts):
