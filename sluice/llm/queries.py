@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import digests, mixing, packing, simhash, substrings, tokens, toxicity, warc
+from sluice.llm import digests, media, mixing, packing, sharding, simhash, substrings, tokens, toxicity, warc
+from sluice.llm.common import bounded_batches
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +26,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no pictures, so those of embeddings are drawn: one of each vector, and an edited copy of it."""
+    return media.copies(media.gallery(table(spark, sf_dir, "embeddings")))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"), "depth", "shard", "shard_size", "oversize")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -59,8 +71,8 @@ def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_sharding, op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
+    return {"op3_sharding": sharding.ORACLE, "op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import saved
+from sluice.llm.common import release, saved
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 
@@ -56,6 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """id_col and fp (the fingerprint as a signed long). Null texts are empty; other columns are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             fps = np.fromiter((fingerprint(t or b"", shingle, seed) for t in batch.column(1).cast(pa.binary()).to_pylist()), np.uint64, batch.num_rows)
             yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
@@ -261,6 +262,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]

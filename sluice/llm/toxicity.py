@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import saved
+from sluice.llm.common import kept, saved
 
 #: Plain insults of the four languages that the tables are in; labels add what else is used.
 TERMS = tuple("""
@@ -162,21 +162,15 @@ def quotation(words: list[str], at: int, reach: int = 8) -> float:
     return score * (0.5 if near & ADDRESS else 1.0)
 
 
-_known: dict[str, tuple[Automaton, set[str], dict[str, tuple[str, float]]]] = {}
-
-
 class Scorer:
     """Finds the matches in texts; what it has learnt about words stays with the Python worker. rates: how often clean text has a term, =word or ^stem, by word."""
 
-    def __init__(self, terms: dict[str, float], exact: dict[str, float], clean: frozenset[str] = frozenset(), rates: dict[str, float] | None = None, keep: int = 800_000) -> None:
+    def __init__(self, terms: dict[str, float], exact: dict[str, float], clean: frozenset[str] = frozenset(), rates: dict[str, float] | None = None, keep: int = 300_000) -> None:
         self.name, self.terms, self.exact, self.clean, self.rates, self.keep = uuid.uuid4().hex, terms, exact, clean, rates or {}, keep
 
-    def matches(self, texts: pa.Array, step_bytes: int = 8 << 20) -> Iterator[tuple[int, list[tuple[str, float, float, str]]]]:
+    def matches(self, texts: pa.Array, step_bytes: int = 4 << 20) -> Iterator[tuple[int, list[tuple[str, float, float, str]]]]:
         """Of each text (null: empty) how many words it has; term, =word or ^stem, weight, quotation and plain word of each match."""
-        if self.name not in _known:
-            _known.clear()
-            _known[self.name] = Automaton(self.terms, self.exact, self.clean), set(), {}
-        automaton, clear, hits = _known[self.name]
+        automaton, clear, hits = kept(("scorer", self.name), lambda: (Automaton(self.terms, self.exact, self.clean), set(), {}))
         size, at = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()), 0
         while at < len(texts):
             upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + step_bytes, "right")))
@@ -346,7 +340,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
-    """All rows and columns of docs with the score, 0 to 1; null and empty texts score as texts without any match."""
+    """All rows and columns of docs with the score, 0 to 1; null and empty texts score as texts without any match. A column of docs named score_col gives way."""
+    docs = docs.drop(score_col)
     known = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
