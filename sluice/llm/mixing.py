@@ -18,6 +18,12 @@ WEIGHTS, SHARE, CAP, SEED = (3, 1, 2), (3, 2), 2, "mix"
 
 
 COIN_BITS, BUCKET_BITS = 52, 10
+BROADCAST_ROWS = 100_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df (written, so that counting is cheap) to be broadcast if it has BROADCAST_ROWS at most, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def coin(*key: Column, seed: str = SEED) -> Column:
@@ -70,12 +76,13 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tupl
     of = goal.select(F.col("source").alias("of"), "wanted")
     by_coin = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = sums.withColumn("ahead", F.coalesce(F.sum("n").over(by_coin), F.lit(0))).join(of, same).where((F.col("ahead") <= F.col("wanted")) & (F.col("wanted") < F.col("ahead") + F.col("n"))).select("of", "wanted", "ahead", F.col("bucket").alias("in"))
-    rows = sized.join(edge, same & (bucket == F.col("in"))).groupBy("of", "wanted", "ahead", "in", "coin").agg(F.sum("n").alias("n"))
+    edge = saved(edge, "mix-edge")
+    rows = sized.join(small(edge), same & (bucket == F.col("in"))).groupBy("of", "wanted", "ahead", "in", "coin").agg(F.sum("n").alias("n"))
     reached = F.col("ahead") + F.sum("n").over(Window.partitionBy("of").orderBy("coin"))
     stops = rows.select("of", (F.col("coin") + 1).alias("below"), F.abs(reached - F.col("wanted")).alias("miss"))
     stops = stops.unionByName(edge.select("of", F.shiftleft("in", COIN_BITS - BUCKET_BITS).alias("below"), F.abs(F.col("ahead") - F.col("wanted")).alias("miss")))
     best = stops.groupBy("of").agg(F.min(F.struct("miss", "below"))["below"].alias("below"))
-    return goal.join(best, same, "left").select("source", "source_size", "target", "whole", F.coalesce("below", F.lit(0).cast("long")).alias("below"))
+    return goal.join(best, same, "left").select("source", "source_size", "target", "whole", F.when(F.col("wanted") > 0, F.col("below")).otherwise(F.lit(0).cast("long")).alias("below"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, cap: int = CAP, seed: str = SEED) -> DataFrame:
@@ -83,9 +90,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     A null source is a source of its own, after all others. A source without words has
     target 0 and no copies. Rows that share an id share a coin. An empty table gives no rows.
+    Columns of docs that are named like those added give way to them.
     """
+    docs = docs.drop("mix_size", "source_size", "target", "copies")
     sized = docs.select(F.col(source_col).alias("source"), words(text_col).alias("n"), coin(F.col(id_col), seed=seed).alias("coin"))
-    goal = thresholds(sized, weights, share, cap).withColumnRenamed("source", "__source")
+    goal = small(saved(thresholds(sized, weights, share, cap).withColumnRenamed("source", "__source"), "mix-thresholds"))
     out = docs.withColumns({"mix_size": words(text_col), "__coin": coin(F.col(id_col), seed=seed)}).join(goal, F.col(source_col).eqNullSafe(F.col("__source")))
     return out.withColumn("copies", F.col("whole") + (F.col("__coin") < F.col("below")).cast("long")).drop("__source", "__coin", "whole", "below")
 
