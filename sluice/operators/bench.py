@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.checks import CheckError
 from sluice.functions.text import FAMILY_PREFIXES, PRIMARY_METRIC, family_of
 
 
@@ -42,6 +43,14 @@ def best(scores: DataFrame, name: str, order: Column) -> DataFrame:
     return scores.agg(F.min_by(name, F.struct("score", order.alias("o"))).alias("best"), F.min("score").alias("best_score"), F.count("*").alias("candidates"))
 
 
+def choose(scores: DataFrame, name: str, order: Column) -> tuple[object, float]:
+    """The best candidate and its score; an error without candidates, or if all of them failed."""
+    row = best(scores, name, order).first()
+    if not row.candidates or row.best_score == float("inf"):
+        raise CheckError("no candidate has a score")
+    return row.best, row.best_score
+
+
 def selection_json(scores: DataFrame, name: str) -> DataFrame:
     """all_scores: a JSON map of the candidates' scores, which are few."""
     return scores.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(name).cast("string"), "score"))))).alias("all_scores"))

@@ -58,3 +58,8 @@ def rollup(copied: DataFrame) -> DataFrame:
 def faulty(copied: DataFrame) -> DataFrame:
     """What a run must answer for with a failure."""
     return copied.where(F.col("status").isin("missing", "failed"))
+
+
+def index_totals(index: DataFrame, path: str = "relpath") -> DataFrame:
+    """Files and GB of each top folder."""
+    return index.groupBy(F.split(path, "/")[0].alias("folder")).agg(F.count("*").alias("n"), (F.sum("size") / 1e9).alias("gb"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.checks import CheckError
 from sluice.functions.text import step_of
 
 
@@ -53,3 +54,18 @@ def retained(found: DataFrame, milestones: list[int], newest: int) -> DataFrame:
 def trimmed(curve: DataFrame, resume: int) -> DataFrame:
     """The rows up to the step that a run resumes from; none for 0."""
     return curve.where(F.col("step") <= resume) if resume else curve.where(F.lit(False))
+
+
+def milestones(found: DataFrame, steps: list[int]) -> DataFrame:
+    """step and there of each milestone; those that aren't complete checkpoints aren't there."""
+    wanted = found.sparkSession.createDataFrame([(s,) for s in steps], "step long")
+    return wanted.join(found.where("complete").select("step", F.lit(True).alias("there")), "step", "left").withColumn("there", F.coalesce("there", F.lit(False))).orderBy("step")
+
+
+def usable_step(found: DataFrame, unreadable: DataFrame, explicit: int | None = None) -> int:
+    """The newest complete checkpoint that isn't unreadable, 0 without any; an explicit one must be complete."""
+    if explicit is not None:
+        if found.where((F.col("step") == explicit) & F.col("complete")).isEmpty():
+            raise CheckError(f"checkpoint {explicit} is not complete")
+        return explicit
+    return resume_step(found.join(unreadable.select("step"), "step", "left_anti")).first().step

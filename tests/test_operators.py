@@ -294,6 +294,11 @@ def test_checkpoints(spark):
     found = monitor.checkpoints(values(spark, names, "d string, f string"), "d", "f", ["c", "w"])
     assert [r.step for r in monitor.newest_first(found).collect()] == [10, 3, 2, 1]
     assert monitor.resume_step(found).first().step == 10 and monitor.resume_step(found.where("step > 10")).first().step == 0
+    assert [(r.step, r.there) for r in monitor.milestones(found, [3, 11, 2]).collect()] == [(2, True), (3, True), (11, False)]
+    none = values(spark, [], "step long")
+    assert monitor.usable_step(found, none) == 10 and monitor.usable_step(found, values(spark, [(10,)], "step long")) == 3 and monitor.usable_step(found, none, 2) == 2
+    with pytest.raises(checks.CheckError):
+        monitor.usable_step(found, none, 11)
     six = values(spark, [(i,) for i in range(1, 7)], "step long")
     assert {r.step for r in monitor.retained(six, [2, 5], 2).where("keep").collect()} == {2, 4, 5, 6}
     curve = values(spark, [(500,), (1000,), (1500,), (2000,)], "step long")
@@ -328,6 +333,9 @@ def test_bench(spark, tmp_path):
     assert "—" in report.markdown(["u", "asr"], [(r.upstream, r.asr_mean) for r in wide])
     scores = bench.proxy_score(values(spark, [(1, 0.5), (2, 0.5), (3, None)], "c int, v double"), "c", "v", True)
     best = bench.best(scores, "c", F.col("c")).first()
+    assert bench.choose(scores, "c", F.col("c")) == (1, -0.5)
+    with pytest.raises(checks.CheckError):
+        bench.choose(scores.where("c = 3"), "c", F.col("c"))
     assert best.best == 1 and best.best_score == -0.5 and "Infinity" in bench.selection_json(scores, "c").first()[0]
 
 
@@ -350,6 +358,7 @@ def test_listing_index_and_copy(spark, tmp_path):
         (root / name).write_bytes(b"x" * size)
     found = readers.listing(spark, str(root), ["Si", "Ta"])
     assert [tuple(r) for r in found.collect()] == [("Si/g/c/b.WAV", 5), ("Si/g/c/é.wav", 3), ("Ta/g/c/a.wav", 7)]
+    assert {r.folder: r.n for r in files.index_totals(found).collect()} == {"Si": 2, "Ta": 1}
     writers.index(found, str(tmp_path / "index"))
     assert readers.index(spark, str(tmp_path / "index")).count() == 3
     (tmp_path / "bad.tsv").write_text("path\tsize\n")
