@@ -33,7 +33,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"), "depth", "shard", "shard_size", "oversize")
+    return out.select("doc_id", F.col("doc_size").alias("size"), "depth", "shard", "shard_size", "oversize")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,4 +75,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sharding.ORACLE, "op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE}
+    return {"op3_sharding": sharding.ORACLE, "op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE, "op8_substrings": substrings.ORACLE}

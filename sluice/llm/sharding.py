@@ -50,7 +50,7 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
 
 
 def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
-    """All rows and columns of docs with shard (its bits; '' for the only one), depth, shard_size and oversize.
+    """All rows and columns of docs with shard (its bits; '' for the only one), depth, doc_size, shard_size and oversize.
 
     The size of a row is the text's UTF-8 bytes (null: 0). A row above the limit fits in no
     shard: it gets one of its own, named by its whole hash and a plus sign, and oversize
@@ -58,23 +58,23 @@ def sharded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lim
     the limit together, oversize is true of their shard as well. An empty table gives no
     rows. Columns of docs that are named like those added give way to them.
     """
-    docs = docs.drop("shard", "depth", "shard_size", "oversize")
-    marked = docs.withColumns({"__h": hashed(F.col(id_col)), "__size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")})
+    docs = docs.drop("shard", "depth", "doc_size", "shard_size", "oversize")
+    marked = docs.withColumns({"__h": hashed(F.col(id_col)), "doc_size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")})
     rows = docs.select(hashed(F.col(id_col)).alias("h"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("size"))
     found = saved(directory(rows.where(F.col("size") <= limit), limit), "directory")
     bits = lambda h, depth: F.substr(F.lpad(F.bin(h), HASH_BITS, "0"), F.lit(1), depth)
     out = None
     for level in sorted(r[0] for r in found.select("cell_bits").distinct().collect()):  # eight at most
         of = found.where(F.col("cell_bits") == level).select(F.col("cell").alias("__cell"), F.col("depth").cast("int"))
-        part = marked.where(F.col("__size") <= limit).withColumn("__cell", prefix("__h", level)).join(of, "__cell").drop("__cell")
+        part = marked.where(F.col("doc_size") <= limit).withColumn("__cell", prefix("__h", level)).join(of, "__cell").drop("__cell")
         out = part if out is None else out.unionByName(part)
-    large = marked.where(F.col("__size") > limit).withColumn("depth", F.lit(HASH_BITS))
+    large = marked.where(F.col("doc_size") > limit).withColumn("depth", F.lit(HASH_BITS))
     out = large if out is None else out.unionByName(large)
-    shard = F.concat(bits(F.col("__h"), F.col("depth")), F.when(F.col("__size") > limit, "+").otherwise(""))
+    shard = F.concat(bits(F.col("__h"), F.col("depth")), F.when(F.col("doc_size") > limit, "+").otherwise(""))
     out = out.withColumn("shard", shard)
-    sums = out.groupBy("shard").agg(F.sum("__size").alias("shard_size"))
+    sums = out.groupBy("shard").agg(F.sum("doc_size").alias("shard_size"))
     out = out.join(sums.withColumnRenamed("shard", "__shard"), F.col("shard") == F.col("__shard")).drop("__shard")
-    return out.withColumn("oversize", F.col("shard_size") > limit).drop("__h", "__size")
+    return out.withColumn("oversize", F.col("shard_size") > limit).drop("__h")
 
 
 def write_shards(rows: DataFrame, path: str) -> None:

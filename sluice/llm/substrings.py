@@ -306,3 +306,15 @@ def covered(own: Bucket, first: np.ndarray, doc: np.ndarray, owner: np.ndarray,
         if change:
             gone[a:b] = np.cumsum(change[:-1]) > 0
     return gone
+
+
+#: What op8_substrings returns, over a view documents, by DuckDB.
+ORACLE = r"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+windows as (select doc_id, i, array_to_string(ws[i : i + 12], ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 11)) as i from w)),
+owners as (select g, min(doc_id) as owner from windows group by g),
+gone as (select distinct doc_id, i + k as j from windows join owners using (g), (select unnest(range(13)) as k) where owner < doc_id),
+each as (select doc_id, unnest(range(1, len(ws) + 1)) as j, unnest(ws) as word from w),
+kept as (select e.doc_id, count(g.j) as n_removed, string_agg(case when g.j is null then word end, ' ' order by e.j) as kept from each e left join gone g on e.doc_id = g.doc_id and e.j = g.j group by e.doc_id)
+select w.doc_id, len(ws)::bigint as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from w left join kept k on w.doc_id = k.doc_id
+"""
