@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import fresh_path, kept, parts_for, saved
 
-END_ID, KEEP = 1, 900_000
+END_ID, KEEP = 1, 1_000_000
 #: Letters that have just one form, and what may follow them as one run of punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 NO_ID = -(2**63)
@@ -133,16 +133,19 @@ class Encoder:
         if self.n > self.keep or self.used > 16 * self.keep:
             self.trim()
         at = list(map(self.at.get, words))
-        if None in at:
-            self.learn([w for w, x in zip(words, at, strict=True) if x is None])
-            at = list(map(self.at.__getitem__, words))
+        new = [i for i, x in enumerate(at) if x is None]
+        if new:
+            self.learn([words[i] for i in new])
+            for i in new:
+                at[i] = self.at[words[i]]
         places = np.array(at, np.int64)
         self.hits[places] += 1
-        for word in words:
-            if len(word) > 64:
-                self.at.pop(word, None)
-                self.at.pop(word.lower(), None)
-        del words, at
+        if max(map(len, words), default=0) > 64:
+            for word in words:
+                if len(word) > 64:
+                    self.at.pop(word, None)
+                    self.at.pop(word.lower(), None)
+        del words, at, new
         edges, indices, low = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py(), coded.indices.to_numpy(), 0
         while low < len(texts):
             high = max(low + 1, int(np.searchsorted(edges, edges[low] + step, "right")) - 1)
