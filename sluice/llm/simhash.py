@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import release, saved
 
-BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
+BITS, RADIUS, SHINGLE, SEED, LEAF = 64, 3, 3, 42, 512
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -106,6 +106,24 @@ class BKTree:
         return found
 
 
+class LeafTree:
+    """A BK-tree over an array of fingerprints; up to LEAF of them stay together in a leaf, which is compared at once."""
+
+    def __init__(self, keys: np.ndarray, rows: np.ndarray | None = None) -> None:
+        self.rows = np.arange(len(keys)) if rows is None else rows
+        self.keys, self.children = keys, {}
+        if len(keys) > LEAF:
+            apart = np.bitwise_count(keys ^ keys[0])
+            if apart.any():
+                self.children = {int(d): LeafTree(keys[apart == d], self.rows[apart == d]) for d in np.unique(apart)}
+
+    def within(self, key: np.uint64, radius: int) -> list[np.ndarray]:
+        if not self.children:
+            return [self.rows[np.bitwise_count(self.keys ^ key) <= radius]]
+        d = int(np.bitwise_count(self.keys[0] ^ key))
+        return [x for edge, child in self.children.items() if d - radius <= edge <= d + radius for x in child.within(key, radius)]
+
+
 def forest(keys: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
     """(key, least key of its component) for the keys of a shard that are linked to a lesser one. Keys ascend."""
     parent = list(range(len(keys)))
@@ -115,12 +133,22 @@ def forest(keys: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
             parent[i] = i = parent[parent[i]]
         return i
 
-    tree = BKTree()
-    for i, key in enumerate(keys):
-        for j in tree.within(key, radius):
-            a, b = root(i), root(j)
-            parent[max(a, b)] = min(a, b)
-        tree.add(key)
+    def join(i: int, j: int) -> None:
+        a, b = root(i), root(j)
+        parent[max(a, b)] = min(a, b)
+
+    if len(keys) > LEAF:
+        large, rows = LeafTree(np.array(keys, np.uint64)), np.array(keys, np.uint64)
+        for i in range(len(keys)):
+            for j in np.concatenate(large.within(rows[i], radius)).tolist():
+                if j < i:
+                    join(i, j)
+    else:
+        tree = BKTree()
+        for i, key in enumerate(keys):
+            for j in tree.within(key, radius):
+                join(i, j)
+            tree.add(key)
     return [(key, keys[r]) for i, key in enumerate(keys) if (r := root(i)) != i]
 
 
@@ -205,28 +233,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(of, "fp").select(id_col, "fp", "component_id")
 
 
-BANDS, ROWS, SKETCH, LEAF = 8, 2, 256, 512
+BANDS, ROWS, SKETCH = 8, 2, 256
 MULTIPLIERS = np.array([pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64) | 1 for i in range(BANDS * ROWS)], np.uint64)
 
 
-class LeafTree:
-    """A BK-tree over an array of fingerprints; up to LEAF of them stay together in a leaf, which is compared at once."""
-
-    def __init__(self, keys: np.ndarray, rows: np.ndarray | None = None) -> None:
-        self.rows = np.arange(len(keys)) if rows is None else rows
-        self.keys, self.children = keys, {}
-        if len(keys) > LEAF:
-            apart = np.bitwise_count(keys ^ keys[0])
-            if apart.any():
-                self.children = {int(d): LeafTree(keys[apart == d], self.rows[apart == d]) for d in np.unique(apart)}
-
-    def within(self, key: np.uint64, radius: int) -> list[np.ndarray]:
-        if not self.children:
-            return [self.rows[np.bitwise_count(self.keys ^ key) <= radius]]
-        d = int(np.bitwise_count(self.keys[0] ^ key))
-        return [x for edge, child in self.children.items() if d - radius <= edge <= d + radius for x in child.within(key, radius)]
-
-
 def sketched(text: bytes, shingle: int, seed: int = SEED) -> tuple[int, list[int], bytes]:
     """Fingerprint, band keys and the SKETCH least shingle hashes (32 bits each, ascending) of a text's words."""
     words = text.lower().split()

@@ -61,6 +61,15 @@ def test_leaf_tree_splits():
         assert sorted(np.concatenate(tree.within(k, 5)).tolist()) == np.flatnonzero(np.bitwise_count(keys ^ k) <= 5).tolist()
 
 
+def test_forests_of_small_and_large_shards(monkeypatch):
+    rng = random.Random(3)
+    keys = sorted({k ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for k in (rng.getrandbits(64) for _ in range(40)) for _ in range(5)})
+    want = classes(range(len(keys)), [(a, b) for a in range(len(keys)) for b in range(a) if (keys[a] ^ keys[b]).bit_count() <= 3])
+    for leaf in (512, 10):
+        monkeypatch.setattr(simhash, "LEAF", leaf)
+        assert dict(simhash.forest(keys)) == {keys[i]: keys[r] for i, r in want.items() if i != r}
+
+
 def test_any_blocks_find_all_pairs():
     rng = random.Random(1)
     for blocks in (4, 5, 6):
