@@ -61,7 +61,7 @@ def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, keep=1_150_000)
 
 
 def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -125,7 +125,7 @@ class Encoder:
             ids, ends = self.take(np.array([core, tail], np.int64).T.ravel())
             self.put(list(words), ids, np.diff(ends[1::2], prepend=0))
 
-    def encode(self, texts: pa.Array, step: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, texts: pa.Array, step: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of the texts (null: empty), some at a time, in a row, and where each text's end there; step: words at a time."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # words may hold other white space, which the tokenizer sees to
         coded = lists.flatten().dictionary_encode()
