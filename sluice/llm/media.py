@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -124,15 +125,67 @@ def corners(images: DataFrame, id_col: str, data_col: str) -> DataFrame:
     return images.select(id_col, data_col).mapInArrow(run, f"id {kind}, whole string, x double, y double, turn int, scale double, d0 long, d1 long")
 
 
-NEAR, ALL_PAIRS, SHIFT = 8, 32, 1 << 22
+ALL_PAIRS, CHUNK, SHIFT = 32, 1 << 20, 1 << 22
+#: The 16-bit lanes outside a table's block, and pairs of them: of six lanes three at least agree wholly within three bits, and any three hold one of these pairs.
+OTHERS = np.array([[lane for lane in range(8) if lane // 2 != t] for t in range(BLOCKS)])
+LANES = ((0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (4, 5))
+
+
+def runs(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, one after the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def all_pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """i, j of all pairs of rows with one group, in parts of about CHUNK; equal groups lie together."""
+    at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.arange(0)
+    size = np.diff(np.r_[at, len(group)])
+    left = np.repeat(at + size, size) - np.arange(len(group))
+    i, k, held, n = np.flatnonzero(left > 1), 1, [], 0
+    while len(i):
+        held.append((i, i + k))
+        n, k = n + len(i), k + 1
+        i = i[left[i] > k]
+        if n >= CHUNK or not len(i):
+            yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+            held, n = [], 0
+
+
+def near(group: np.ndarray, table: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """i, j of all pairs of descriptors with one group within APART bits, each once. A group has one table and one value of its block.
+
+    Groups of more than ALL_PAIRS are parted by pairs of the other lanes, which leaves no pair out.
+    """
+
+    def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.bitwise_count((d0[i] ^ d0[j]).view(np.uint64)) + np.bitwise_count((d1[i] ^ d1[j]).view(np.uint64)) <= APART
+
+    _, code, size = np.unique(group, return_inverse=True, return_counts=True)
+    small, large = np.flatnonzero(size[code] <= ALL_PAIRS), np.flatnonzero(size[code] > ALL_PAIRS)
+    for i, j in all_pairs(code[small]):
+        keep = close(small[i], small[j])
+        yield small[i[keep]], small[j[keep]]
+    lanes = np.stack([(d[large] >> 48 - 16 * lane) & 0xFFFF for d in (d0, d1) for lane in range(4)], 1)
+    lanes = np.take_along_axis(lanes, OTHERS[table[large]], 1)
+    values = [lanes[:, u] << 16 | lanes[:, v] for u, v in LANES]
+    for n, value in enumerate(values):
+        order = np.lexsort((value, code[large]))
+        part = np.cumsum(np.r_[True, (np.diff(code[large][order]) != 0) | (np.diff(value[order]) != 0)]) if len(order) else order
+        for i, j in all_pairs(part):
+            i, j = order[i], order[j]
+            keep = close(large[i], large[j])
+            i, j = i[keep], j[keep]
+            for earlier in values[:n]:
+                keep = earlier[i] != earlier[j]
+                i, j = i[keep], j[keep]
+            yield large[i], large[j]
 
 
 def paired(points: DataFrame, votes_of: int) -> DataFrame:
     """a, b and how many corners agree on one turn, scale and shift, for pairs of images that a table brings together; votes_of at least.
 
-    Tables' shards up to ALL_PAIRS corners are compared as a whole. In greater ones, which
-    have many copies of few corners, each meets the NEAR next ones in the order of
-    their bits, and the first of the shard; chains of links make up for the rest.
+    Each table compares all corners of a shard with each other, equal descriptors as one,
+    so a pair that agrees on several blocks counts in the first of their tables only.
     """
     block = lambda i: F.shiftright(F.col(f"d{i // 2}"), 32 * (1 - i % 2)).bitwiseAND(0xFFFFFFFF)
     # place has x and y in eighths, the scale's number and the turn, in one integer; keys have a table's number and a block's value
@@ -142,27 +195,32 @@ def paired(points: DataFrame, votes_of: int) -> DataFrame:
     kind = points.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def met(held: pa.Table) -> pa.RecordBatch:
-            key, place, d0, d1 = (held.column(n).to_numpy() for n in ("key", "place", "d0", "d1"))
-            _, code = np.unique(held.column("id").to_numpy(), return_inverse=True)
-            x, y, turns, scale = (place >> 40) / 8, (place >> 16 & 0xFFFFFF) / 8, place % TURNS, np.array(SCALES)[(place & 0xFFFF) // TURNS - 1]
-            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        def met(held: pa.Table) -> Iterator[pa.RecordBatch]:
+            key, d0, d1 = (held.column(n).to_numpy() for n in ("key", "d0", "d1"))
+            at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (d0[1:] != d0[:-1]) | (d1[1:] != d1[:-1])])
             size = np.diff(np.r_[at, held.num_rows])
-            i = np.concatenate([np.arange(0), *(np.arange(held.num_rows - k) for k in range(1, ALL_PAIRS))])
-            k = np.concatenate([np.arange(0), *(np.full(held.num_rows - k, k) for k in range(1, ALL_PAIRS) if held.num_rows > k)]) if held.num_rows > 1 else np.arange(0)
-            i = i[: len(k)]
-            shard = np.repeat(np.arange(len(at)), size)
-            j = i + k
-            keep = (shard[i] == shard[j]) & ((size[shard[i]] <= ALL_PAIRS) | (k <= NEAR))
-            i, j = i[keep], j[keep]
-            rest = np.flatnonzero(size[shard] > ALL_PAIRS)
-            i, j = np.r_[i, at[shard[rest]]], np.r_[j, rest]
-            e0, e1 = (d0[i] ^ d0[j]).view(np.uint64), (d1[i] ^ d1[j]).view(np.uint64)
-            earlier = np.zeros(len(i), bool)  # a pair counts in the first table that brings it together
-            for t, e in enumerate((e0 >> np.uint64(32), e0 & np.uint64(0xFFFFFFFF), e1 >> np.uint64(32))):
-                earlier |= (e == 0) & (key[i] >> 32 > t)
-            keep = (np.bitwise_count(e0) + np.bitwise_count(e1) <= APART) & (code[i] != code[j]) & ~earlier
-            i, j = i[keep], j[keep]
+            key, d0, d1 = key[at], d0[at], d1[at]
+            code = np.unique(held.column("id").to_numpy(), return_inverse=True)[1]
+            same = np.flatnonzero(size > 1)
+            for p, q in chain([(same, same)], near(key, key >> 32, d0, d1)):
+                new = np.ones(len(p), bool)  # a pair counts in the first table that brings it together
+                for t, d in enumerate((d0 >> 32, d0 & 0xFFFFFFFF, d1 >> 32)):
+                    new &= (d[p] != d[q]) | (key[p] >> 32 <= t)
+                p, q = p[new], q[new]
+                # each corner of p meets all of q: one row of these for each corner of p, in parts of about CHUNK pairs
+                row = np.repeat(at[p], size[p]) + runs(size[p])
+                other = np.repeat(q, size[p])
+                done = np.cumsum(size[other]) // CHUNK
+                for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(done)) + 1):
+                    n = size[other[part]]
+                    i, j = np.repeat(row[part], n), np.repeat(at[other[part]], n) + runs(n)
+                    keep = (code[i] != code[j]) & ((np.repeat(p, size[p])[np.repeat(part, n)] != np.repeat(other[part], n)) | (i < j))
+                    if keep.any():
+                        yield moves(held, code, i[keep], j[keep])
+
+        def moves(held: pa.Table, code: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+            place = held.column("place").to_numpy()
+            x, y, turns, scale = (place >> 40) / 8, (place >> 16 & 0xFFFFFF) / 8, place % TURNS, np.array(SCALES)[(place & 0xFFFF) // TURNS - 1]
             swap = code[i] > code[j]
             i, j = np.where(swap, j, i), np.where(swap, i, j)
             turn = (turns[j] - turns[i]) % TURNS
@@ -183,10 +241,10 @@ def paired(points: DataFrame, votes_of: int) -> DataFrame:
                 continue
             cut = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
             if cut:
-                yield met(held.slice(0, cut))
+                yield from met(held.slice(0, cut))
                 held = held.slice(cut)
         if held is not None and held.num_rows:
-            yield met(held)
+            yield from met(held)
 
     dealt = tables.repartition("key").sortWithinPartitions("key", "d0", "d1", "id")
     found = dealt.mapInArrow(run, f"a {kind}, b {kind}, move long").withColumn("pair", F.xxhash64("a", "b"))

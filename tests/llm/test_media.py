@@ -55,3 +55,19 @@ def test_large_group_of_copies(spark):
         x[0, i % 60] = 255 - x[0, i % 60]
         files.append((i, media.pgm(x)))
     assert {r.class_id for r in media.copies(spark.createDataFrame(files, "image_id long, image binary")).collect()} == {0}
+
+
+def points_of(spark, rows):
+    return spark.createDataFrame([(i, float(x), float(y), 0, 1.0, d0, d1) for i, x, y, d0, d1 in rows], "id long, x double, y double, turn int, scale double, d0 long, d1 long")
+
+
+def test_frequent_block_value(spark):
+    """Images 0 and 1 have four corners two bits apart; 200 corners of others share their block 0 value and lie between them in bit order."""
+    rng = np.random.default_rng(8)
+    half = lambda: int(rng.integers(0, 2**62))
+    rows = []
+    for x in range(4):
+        d0, d1 = 5 << 32 | int(rng.integers(0, 2**29)), half()
+        rows += [(0, 20 * x, 9, d0, d1), (1, 20 * x, 9, d0 | 3 << 30, d1)]
+    rows += [(2 + n, 9, 9, 5 << 32 | 1 << 29 | int(rng.integers(0, 2**29)), half()) for n in range(200)]
+    assert [tuple(r) for r in media.paired(points_of(spark, rows), 4).collect()] == [(0, 1, 4)]
