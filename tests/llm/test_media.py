@@ -71,3 +71,21 @@ def test_frequent_block_value(spark):
         rows += [(0, 20 * x, 9, d0, d1), (1, 20 * x, 9, d0 | 3 << 30, d1)]
     rows += [(2 + n, 9, 9, 5 << 32 | 1 << 29 | int(rng.integers(0, 2**29)), half()) for n in range(200)]
     assert [tuple(r) for r in media.paired(points_of(spark, rows), 4).collect()] == [(0, 1, 4)]
+
+
+def test_large_shards_match_all_pairs(spark):
+    """Every link of 60 images whose corners differ by up to three bits each and share block values; all of them move by nothing."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**62, (6, 2))
+    rows = []
+    for i in range(60):
+        for x, d in enumerate(base):
+            d = d.copy()
+            for bit in rng.choice(124, rng.integers(0, 4), replace=False).tolist():
+                d[bit // 62] ^= 1 << bit % 62
+            rows.append((i, 20 * x, 9, int(d[0]), int(d[1])))
+    near = lambda p, q: (p[3] ^ q[3]).bit_count() + (p[4] ^ q[4]).bit_count() <= 3
+    of = [rows[6 * i : 6 * i + 6] for i in range(60)]
+    want = {(a, b): n for b in range(60) for a in range(b) if (n := sum(map(near, of[a], of[b]))) >= 3}
+    assert len(want) > 100
+    assert {(r.a, r.b): r.n for r in media.paired(points_of(spark, rows), 3).collect()} == want
