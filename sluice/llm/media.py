@@ -23,7 +23,7 @@ from sluice.llm.common import release, saved
 from sluice.llm.simhash import components
 
 SCALES = (1.0, 0.7, 0.5)
-CORNERS, REACH, TURNS, BLOCKS, APART = 10, 7, 32, 4, 3
+REACH, TURNS, BLOCKS, APART = 7, 32, 4, 3
 _rng = np.random.default_rng(7)
 #: 128 pairs of points within REACH of the corner, turned to each of TURNS orientations.
 _points = np.clip(_rng.normal(0, REACH / 2.2, (128, 2, 2)), -REACH + 2, REACH - 2)
@@ -75,7 +75,7 @@ def resized(x: np.ndarray, scale: float) -> np.ndarray:
 
 
 def descriptors(gray: np.ndarray) -> list[tuple[float, float, int, float, int, int]]:
-    """x, y (in the whole image), turn, scale and two 64-bit halves of each corner."""
+    """x, y (in the whole image), turn, scale and two 64-bit halves of each corner above the response threshold."""
     out = []
     for scale in SCALES:
         x = resized(blurred(gray) if scale < 1 else gray, scale)
@@ -91,8 +91,7 @@ def descriptors(gray: np.ndarray) -> list[tuple[float, float, int, float, int, i
         ys, xs = np.nonzero((inner == around) & (inner > 1.0))
         if not len(ys):
             continue
-        best = np.argsort(-inner[ys, xs], kind="stable")[:CORNERS]
-        ys, xs = ys[best] + m, xs[best] + m
+        ys, xs = ys + m, xs + m
         patches = smooth[ys[:, None, None] + _dy, xs[:, None, None] + _dx] * DISC
         angle = np.arctan2((patches * _dy).sum((1, 2)), (patches * _dx).sum((1, 2)))
         turn = np.rint(angle / (2 * np.pi / TURNS)).astype(int) % TURNS

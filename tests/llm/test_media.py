@@ -89,3 +89,12 @@ def test_large_shards_match_all_pairs(spark):
     want = {(a, b): n for b in range(60) for a in range(b) if (n := sum(map(near, of[a], of[b]))) >= 3}
     assert len(want) > 100
     assert {(r.a, r.b): r.n for r in media.paired(points_of(spark, rows), 3).collect()} == want
+
+
+def test_small_part_of_a_busy_picture(spark):
+    """The part's own corners are weaker than those of the rest."""
+    rng = np.random.default_rng(10)
+    gray = np.kron(rng.integers(0, 2, (32, 32)) * 255.0, np.ones((6, 6)))
+    gray[:60, :60] = np.kron(rng.integers(0, 2, (10, 10)) * 40.0 + 100, np.ones((6, 6)))
+    files = [(1, media.pgm(gray)), (2, media.pgm(gray[:56, :56]))]
+    assert {r.class_id for r in media.copies(spark.createDataFrame(files, "image_id long, image binary")).collect()} == {1}
