@@ -135,3 +135,23 @@ def test_one_of_each_finds_near_copies(spark, documents):
         if a not in kept:
             assert near
         assert not [b for b in near if b in kept and a in kept and alike(a, b) >= 0.84]
+
+
+def test_one_of_each_with_a_repeated_line(spark):
+    """Repeats change a text's fingerprint, not its set of shingles: similarity 0.95 and more."""
+    rng = random.Random(4)
+    rows = []
+    for n in range(20):
+        words, line = ([f"{w}{n}x{i}" for i in range(k)] for w, k in (("w", 300), ("l", 10)))
+        rows += [(2 * n, " ".join(words + line)), (2 * n + 1, " ".join(words + line * rng.choice([20, 40, 100])))]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == set(range(0, 40, 2))
+
+
+def test_parities_never_part_alike_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 300, 5000):
+        a = np.unique(rng.integers(0, 2**32, n).astype("<u4"))
+        b = np.union1d(a[n // 10 :], rng.integers(0, 2**32, n // 10).astype("<u4"))
+        x, y = simhash.parities([a, b])
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
