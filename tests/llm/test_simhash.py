@@ -155,3 +155,10 @@ def test_parities_never_part_alike_sets():
         b = np.union1d(a[n // 10 :], rng.integers(0, 2**32, n // 10).astype("<u4"))
         x, y = simhash.parities([a, b])
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_one_of_each_at_the_threshold(spark):
+    """Texts of 900 shingles: similarity 800 / 1000 is enough, 799 / 1001 is not."""
+    rows = [(1000 * c + 2 * n + k, " ".join(f"{n}x{c}x{i if i < 904 - c else -i * k or i}" for i in range(904))) for c in (100, 101) for n in range(20) for k in (0, 1)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in kept.collect()} == {100_000 + 2 * n for n in range(20)} | {101_000 + n for n in range(40)}
