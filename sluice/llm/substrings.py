@@ -1,27 +1,34 @@
-"""Repeated passages across documents: confirmed by shards, located by Aho-Corasick automata.
+"""Repeated passages across documents: confirmed on their words by shards, located by sharded Aho-Corasick automata.
 
-Documents are dealt to buckets by a hash of their id. Within every window of
+Documents are dealt to buckets by a hash of id and text. Within every window of
 ``width`` words the word sequence of ``GRAM`` words with the least hash is the
 window's anchor, so equal windows have equal anchors. The steps:
 
 1. each bucket sends its distinct anchors to shards by hash; a shard tells each
-   bucket which of its anchors other documents have as well;
-2. each bucket sends its distinct windows over such anchors to shards, with the
-   least id that has them there; the shard confirms what recurs and answers with the
-   least id of all, the window's owner;
-3. each bucket joins the windows with an owner before their document to passages,
-   compiles these to an automaton over words with pyahocorasick and streams all of its
-   documents through it; each occurrence in a document after all owners goes.
-
-A bucket sends an anchor or a window once however often it has it, so the rows for a
-very common one are as many as buckets. Windows are compared by 96 hash bits.
+   bucket which of its anchors other documents have as well, and which are hot;
+2. each bucket sends the words of the windows over such anchors to the shards, each
+   distinct stretch once, with the least and the greatest id that has it there. Hot
+   anchors, around which many different texts stand, are sent window by window and
+   dealt by the window, so that no shard gets all of them. A shard compares the
+   words themselves and finds the owner of each window: the least id of all that has it;
+3. a shard sends each bucket the passages (words of adjoining windows with one owner) that some
+   document there has after their owner. The bucket compiles them to an automaton over
+   words with pyahocorasick and streams all of its documents through it; what it finds in a
+   document after the passage's owner goes.
+
+Hashes only nominate: two windows are one where all of their words are equal, and a
+word goes only where the automaton finds a passage around it. A bucket sends a
+stretch once however often it has it, so the rows for a very common one are as many as buckets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,18 +105,17 @@ class Words:
         first = np.flatnonzero(doc[: len(least)] == doc[width - 1 :])
         return first, doc[first], least[first], gram
 
-    def keys(self, first: np.ndarray, gram: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """64 and 32 hash bits of the windows that begin at first."""
+    def keys(self, first: np.ndarray, gram: np.ndarray, width: int) -> np.ndarray:
+        """48 hash bits of the windows that begin at first."""
         n = min(GRAM, width)
-        a = np.full(len(first), width, U)
-        b = np.full(len(first), ~width & 0xFFFF, U)
+        key = np.full(len(first), width, U)
         for j in [*range(0, width - n, n), width - n]:
-            a = mixed(a + gram[first + j])
-            b = mixed(b ^ (gram[first + j] * U(0xD6E8FEB86659FD93)))
-        return a, (b >> U(32)).astype(np.uint32)
+            key = mixed(key + gram[first + j])
+        return key >> U(16)
 
 
 ANCHOR = U((1 << 48) - 1)  # an anchor only nominates; 48 bits of it travel
+HOT = 4096  # an anchor with more occurrences is sent window by window
 
 
 def runs(anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -117,47 +123,112 @@ def runs(anchor: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]) if len(anchor) else np.zeros(0, np.int64)
 
 
-def shard_of(x: np.ndarray, bits: int, shards: int) -> np.ndarray:
-    """Shards ascend with x; of the top 24 of its bits."""
-    return ((x >> U(bits - 24)) * U(shards)) >> U(24)
+def shard_of(x: np.ndarray, shards: int) -> np.ndarray:
+    """Shards ascend with x, which has 48 bits; of the top 32."""
+    return ((x >> U(16)) * U(shards)) >> U(32)
 
 
-def cells(x: np.ndarray, bits: int, shards: int) -> list[tuple[int, int, int]]:
+def cells(x: np.ndarray, shards: int) -> list[tuple[int, int, int]]:
     """(shard, from, to) of ascending x."""
     if not len(x):
         return []
-    of = shard_of(x, bits, shards)
+    of = shard_of(x, shards)
     at = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
     return list(zip(of[at].tolist(), at.tolist(), [*at[1:].tolist(), len(of)], strict=True))
 
 
+def coded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each word of the texts, whose words one space parts; equal numbers just for equal words. Where each text's begin and end."""
+    lists = pc.split_pattern(pa.array(texts, pa.binary()).cast(pa.string()), " ")
+    at = lists.offsets.to_numpy().astype(np.int64)
+    codes = lists.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+    empty = np.fromiter((not t for t in texts), bool, len(texts))
+    return codes, at[:-1], at[1:] - empty
+
+
+def named(codes: np.ndarray, width: int) -> np.ndarray:
+    """A number for the width codes from each place on; equal numbers just for equal codes. By doubling."""
+    name, have = codes, 1
+    while have < width and len(name):
+        step = min(have, width - have)
+        name = np.unique(name[: max(0, len(name) - step)] * (name.max() + 1) + name[step:], return_inverse=True)[1]
+        have += step
+    return name
+
+
+def owned(spans: list[bytes], least: np.ndarray, greatest: np.ndarray, width: int) -> Iterator[tuple[int, bytes, int]]:
+    """(span, passage, owner) of each run of windows of a span that have one owner, before the greatest id of those that have the span.
+
+    spans are words parted by one space, least and greatest the ids of the documents that have them; a
+    window's owner is the least id of all spans in which the same words stand.
+    """
+    codes, starts, ends = coded(spans)
+    name = named(codes, width)
+    sizes = np.maximum(ends - starts - width + 1, 0)
+    of = np.repeat(np.arange(len(spans)), sizes)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    if not len(of):
+        return
+    _, which = np.unique(name[starts[of] + place], return_inverse=True)
+    first = np.full(which.max() + 1, NO_ID, np.int64)
+    np.minimum.at(first, which, least[of])
+    owner = first[which]
+    late = owner < greatest[of]
+    of, place, owner = of[late], place[late], owner[late]
+    if not len(of):
+        return
+    at = np.flatnonzero(np.r_[True, (np.diff(of) != 0) | (np.diff(place) != 1) | (np.diff(owner) != 0)])
+    last, words = -1, []
+    for s, a, b, o in zip(of[at].tolist(), place[at].tolist(), (place[np.r_[at[1:], len(of)] - 1] + width).tolist(), owner[at].tolist(), strict=True):
+        if s != last:
+            last, words = s, spans[s].split(b" ")
+        yield s, b" ".join(words[a:b]), o
+
+
+def located(texts: list[bytes], ids: list[int], passages: dict[bytes, int], width: int) -> list[np.ndarray | None]:
+    """For each text (words parted by one space) which of its words lie in an occurrence of a passage whose owner is before its id; None for none.
+
+    Occurrences come from an automaton over all passages (words -> owner); all texts stream through it.
+    """
+    if not passages:
+        return [None] * len(texts)
+    codes, starts, ends = coded([*texts, *passages])
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    n = len(texts)
+    for a, b, owner in zip(starts[n:].tolist(), ends[n:].tolist(), passages.values(), strict=True):
+        automaton.add_word(tuple(codes[a:b].tolist()), (b - a, owner))
+    automaton.make_automaton()
+    out: list[np.ndarray | None] = []
+    for a, b, own_id in zip(starts[:n].tolist(), ends[:n].tolist(), ids, strict=True):
+        change = None
+        if b - a >= width:
+            for end, (length, owner) in automaton.iter(tuple(codes[a:b].tolist())):
+                if owner < own_id:
+                    if change is None:
+                        change = [0] * (b - a + 1)
+                    change[end + 1 - length] += 1
+                    change[end + 1] -= 1
+        out.append(None if change is None else np.cumsum(change[:-1]) > 0)
+    return out
+
+
 class Bucket:
-    """A bucket's rows in the order of id and text, so that every step sees them alike."""
+    """A bucket's rows in the order of id and text, so that every step sees them alike; one space parts the words of its texts."""
 
     def __init__(self, rows: pa.Table, id_col: str, text_col: str) -> None:
         release()
         ids = [NO_ID if x is None else x for x in rows.column(id_col).to_pylist()]
-        texts = [t or b"" for t in rows.column(text_col).cast(pa.binary()).to_pylist()]
+        texts = [b" ".join(t.split()) if t else b"" for t in rows.column(text_col).cast(pa.binary()).to_pylist()]
         self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
         self.ids = np.array([ids[i] for i in self.order], np.int64)
         self.texts = [texts[i] for i in self.order]
-        self.words = Words(self.texts)
 
-    def candidates(self, recurring: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-        """first, doc of the windows over recurring anchors (ascending); their distinct keys, these keys' first window, and each window's key."""
-        first, doc, anchor, gram = self.words.windows(width)
-        at = runs(anchor, doc)
-        value = anchor[at] & ANCHOR
-        where = np.minimum(np.searchsorted(recurring, value), max(len(recurring) - 1, 0))
-        hit = recurring[where] == value if len(recurring) else np.zeros(len(value), bool)
-        take = np.repeat(hit, np.diff(np.r_[at, len(anchor)]))
-        first, doc = first[take], doc[take]
-        a, b = self.words.keys(first, gram, width)
-        key, index, inverse = np.unique(a, return_index=True, return_inverse=True)
-        return first, doc, key, b[index], index, inverse
 
+def table_of(rows: list[tuple], **columns: pa.DataType) -> pa.Table:
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * len(columns), columns.values(), strict=True)], names=list(columns))
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bucket_bytes: int = 8 << 20) -> DataFrame:
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, bucket_bytes: int = 8 << 20, hot: int = HOT) -> DataFrame:
     """All rows and columns of docs, with n_words, n_removed, removed (spans of words, end exclusive) and kept_text.
 
     A word goes if a window of width words covers it whose word sequence also starts in a
@@ -166,105 +237,101 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     owners go, so they don't remove one another's words; rows with a null id come
     after all others and remove nothing. An empty table gives no rows.
     id_col is an integer. Columns of docs that are named like those added give way to them.
+    hot: occurrences above which an anchor's windows are dealt one by one; it changes no result.
     """
     docs = docs.drop("n_words", "n_removed", "removed", "kept_text")
     n = parts_for(docs, text_col, bucket_bytes)
-    dealt = docs.withColumn("__bucket", F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")).repartition(n, "__bucket")
+    dealt = docs.withColumn("__bucket", F.pmod(F.xxhash64(id_col, text_col), F.lit(n)).cast("int")).repartition(n, "__bucket")
 
     def anchors(rows: pa.Table) -> pa.Table:
         own = Bucket(rows, id_col, text_col)
-        _, doc, anchor, _ = own.words.windows(width)
+        _, doc, anchor, _ = Words(own.texts).windows(width)
         at = runs(anchor, doc)
         value, ids = anchor[at] & ANCHOR, own.ids[doc[at]]
         order = np.argsort(value, kind="stable")
         value, ids = value[order], ids[order]
         start = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(value) else np.zeros(0, np.int64)
+        times = np.minimum(np.diff(np.r_[start, len(value)]), (1 << 15) - 1)
         many = np.minimum.reduceat(ids, start) != np.maximum.reduceat(ids, start) if len(start) else np.zeros(0, bool)
-        value, bucket = value[start], rows.column("__bucket")[0].as_py()
-        out = [(s, bucket, squeezed(np.diff(value[i:j], prepend=U(0))), squeezed(many[i:j])) for s, i, j in cells(value, 48, n)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["__shard", "bucket", "a", "b"])
+        value, bucket, seen = value[start], rows.column("__bucket")[0].as_py(), (times * 2 + many).astype("<u2")
+        out = [(s, bucket, squeezed(np.diff(value[i:j], prepend=U(0))), squeezed(seen[i:j])) for s, i, j in cells(value, n)]
+        return table_of(out, __shard=pa.int32(), bucket=pa.int32(), a=pa.binary(), b=pa.binary())
 
     def nominate(rows: pa.Table) -> pa.Table:
         values = [np.cumsum(unsqueezed(x, "<u8"), dtype=U) for x in rows.column("a").to_pylist()]
-        many = np.concatenate([unsqueezed(x, "?") for x in rows.column("b").to_pylist()])
-        value = np.concatenate(values)
-        order = np.argsort(value, kind="stable")
-        ranked = value[order]
-        twice = np.r_[ranked[1:] == ranked[:-1], False]
-        twice[1:] |= twice[:-1].copy()
-        hit = many
-        hit[order] |= twice
-        # an anchor that one bucket knows to recur is in that bucket alone or in several, where it recurs anyhow
+        seen = np.concatenate([unsqueezed(x, "<u2") for x in rows.column("b").to_pylist()]).astype(np.int64)
+        _, which = np.unique(np.concatenate(values), return_inverse=True)
+        times, own = np.bincount(which, seen >> 1), np.bincount(which, seen & 1)
+        # an anchor recurs if several buckets have it, or two documents of one
+        recurs = ((np.bincount(which) > 1) | (own > 0))[which]
+        marked = np.concatenate(values) << U(1) | (times > hot)[which].astype(U)
         out, at = [], 0
         for bucket, v in zip(rows.column("bucket").to_pylist(), values, strict=True):
-            kept = v[hit[at : at + len(v)]]
+            here = slice(at, at + len(v))
             at += len(v)
-            if len(kept):
-                out.append((bucket, 0, rows.column("__shard")[0].as_py(), squeezed(np.diff(kept, prepend=U(0)))))
-        return side(out)
-
-    def side(out: list[tuple]) -> pa.Table:
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["__bucket", "kind", "shard", "data"])
-
-    def told(rows: pa.Table, kind: int, data: str) -> list[np.ndarray]:
-        """What the shards told a bucket, in their order."""
-        of = sorted((s, x) for k, s, x in zip(rows.column("kind").to_pylist(), rows.column("shard").to_pylist(), rows.column("data").to_pylist(), strict=True) if k == kind)
-        return [unsqueezed(x, data) for _, x in of]
-
-    def recurring(rows: pa.Table) -> np.ndarray:
-        got = [np.cumsum(x, dtype=U) for x in told(rows, 0, "<u8")]
-        return np.concatenate(got) if got else np.zeros(0, U)
+            if recurs[here].any():
+                out.append((bucket, rows.column("__shard")[0].as_py(), squeezed(np.diff(marked[here][recurs[here]], prepend=U(0)))))
+        return table_of(out, __bucket=pa.int32(), shard=pa.int32(), data=pa.binary())
 
     def claim(rows: pa.Table, known: pa.Table) -> pa.Table:
-        names = ["__shard", "bucket", "a", "b", "c"]
-        out = []
+        claims: dict[int, dict[bytes, list[int]]] = {}
         if rows.num_rows and known.num_rows:
             own = Bucket(rows, id_col, text_col)
-            _, doc, key, more, index, _ = own.candidates(recurring(known), width)
-            least, bucket = own.ids[doc[index]], rows.column("__bucket")[0].as_py()
-            out = [(s, bucket, squeezed(np.diff(key[i:j], prepend=U(0))), squeezed(more[i:j]), squeezed(least[i:j])) for s, i, j in cells(key, 64, n)]
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 5, (pa.int32(), pa.int32(), *[pa.binary()] * 3), strict=True)], names=names)
+            words = Words(own.texts)
+            told = sorted(zip(known.column("shard").to_pylist(), known.column("data").to_pylist(), strict=True))
+            marks = np.concatenate([np.cumsum(unsqueezed(x, "<u8"), dtype=U) for _, x in told])
+            recurring, is_hot = marks >> U(1), (marks & U(1)).astype(bool)
+            first, doc, anchor, gram = words.windows(width)
+            at = runs(anchor, doc)
+            end = np.r_[at[1:], len(anchor)] - 1
+            value = anchor[at] & ANCHOR
+            where = np.minimum(np.searchsorted(recurring, value), len(recurring) - 1)
+            hit = recurring[where] == value
+            single = np.repeat(hit & is_hot[where], end - at + 1)
+            cold = hit & ~is_hot[where]
+            shard = np.r_[shard_of(value[cold], n), shard_of(words.keys(first[single], gram, width), n)]
+            begin, last, of = np.r_[first[at[cold]], first[single]], np.r_[first[end[cold]], first[single]] + width, np.r_[doc[at[cold]], doc[single]]
+            order = np.argsort(of, kind="stable")  # by document, so that ids ascend
+            here, text, base = -1, [], words.starts.tolist()
+            ids = own.ids.tolist()
+            for s, d, a, b in zip(*(x[order].tolist() for x in (shard, of, begin, last)), strict=True):
+                if d != here:
+                    here, text = d, own.texts[d].split(b" ")
+                got = claims.setdefault(s, {}).setdefault(b" ".join(text[a - base[d] : b - base[d]]), [ids[d], ids[d]])
+                got[1] = ids[d]
+        bucket = rows.column("__bucket")[0].as_py() if rows.num_rows else 0
+        out = [(s, bucket, zstandard.compress(b"\n".join(c), 1), *(squeezed(np.array(x, "<i8")) for x in zip(*c.values(), strict=True))) for s, c in claims.items()]
+        return table_of(out, __shard=pa.int32(), bucket=pa.int32(), spans=pa.binary(), least=pa.binary(), greatest=pa.binary())
 
     def confirm(rows: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unsqueezed(x, "<u8"), dtype=U) for x in rows.column("a").to_pylist()]
-        key, more, least = np.concatenate(keys), *(np.concatenate([unsqueezed(x, t) for x in rows.column(c).to_pylist()]) for c, t in (("b", "<u4"), ("c", "<i8"))),
-        order = np.lexsort((least, more, key))
-        k, m = key[order], more[order]
-        start = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (m[1:] != m[:-1])])
-        owner = np.empty(len(key), np.int64)
-        owner[order] = np.repeat(least[order][start], np.diff(np.r_[start, len(k)]))
-        owner[owner == least] = -1  # its own; -1 and 0 bytes compress
-        own, out, at = owner == -1, [], 0
-        owner[own] = 0
-        for bucket, part in zip(rows.column("bucket").to_pylist(), keys, strict=True):
-            here = slice(at, at + len(part))
-            at += len(part)
-            shard = rows.column("__shard")[0].as_py()
-            out += [(bucket, 1, shard, squeezed(own[here])), (bucket, 2, shard, squeezed(owner[here]))]
-        return side(out)
+        spans, sizes = [], []
+        for x in rows.column("spans").to_pylist():
+            some = zstandard.decompress(x).split(b"\n")
+            spans += some
+            sizes.append(len(some))
+        least, greatest = (np.concatenate([unsqueezed(x, "<i8") for x in rows.column(c).to_pylist()]) for c in ("least", "greatest"))
+        buckets, ends = rows.column("bucket").to_pylist(), np.cumsum(sizes)
+        found: list[dict[bytes, int]] = [{} for _ in buckets]
+        for span, passage, owner in owned(spans, least, greatest, width):
+            found[int(np.searchsorted(ends, span, "right"))][passage] = owner
+        out = [(bucket, zstandard.compress(b"\n".join(of), 1), squeezed(np.array(list(of.values()), "<i8"))) for bucket, of in zip(buckets, found, strict=True) if of]
+        return table_of(out, __bucket=pa.int32(), passages=pa.binary(), owners=pa.binary())
 
     extra = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_text", pa.string())]
 
     def locate(rows: pa.Table, known: pa.Table) -> pa.Table:
         own = Bucket(rows, id_col, text_col)
-        words, gone = own.words, np.zeros(len(own.words.hashes), bool)
-        if known.num_rows:
-            first, doc, _, _, index, inverse = own.candidates(recurring(known), width)
-            ours = np.concatenate(told(known, 1, "?") or [np.zeros(0, bool)])
-            owner = np.where(ours, own.ids[doc[index]], np.concatenate(told(known, 2, "<i8") or [np.zeros(0, np.int64)]))[inverse]
-            gone = covered(own, *(x[owner < own.ids[doc]] for x in (first, doc, owner)), width)
-        edge = np.diff(np.r_[0, gone.astype(np.int8), 0])
+        passages: dict[bytes, int] = {}
+        for blob, owners in zip(known.column("passages").to_pylist(), known.column("owners").to_pylist(), strict=True):
+            passages.update(zip(zstandard.decompress(blob).split(b"\n"), unsqueezed(owners, "<i8").tolist(), strict=True))
         out: list[list] = [[], [], [], []]
-        for text, a, b in zip(own.texts, words.starts.tolist(), words.ends.tolist(), strict=True):
-            here = gone[a:b]
-            removed = int(here.sum())
-            split = text.split()
-            spans = []
-            if removed:
-                edge = np.flatnonzero(np.diff(np.r_[0, here.astype(np.int8), 0]))
-                spans = [{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()]
-                split = [split[i] for i in np.flatnonzero(~here).tolist()]
-            for column, x in zip(out, (b - a, removed, spans, b" ".join(split).decode()), strict=True):
+        for text, gone in zip(own.texts, located(own.texts, own.ids.tolist(), passages, width), strict=True):
+            spans, n_words, removed = [], text.count(b" ") + bool(text), 0
+            if gone is not None:
+                edge = np.flatnonzero(np.diff(np.r_[0, gone.astype(np.int8), 0]))
+                spans, removed = [{"start": s, "end": e} for s, e in edge.reshape(-1, 2).tolist()], int(gone.sum())
+                text = b" ".join(w for w, x in zip(text.split(b" "), gone.tolist(), strict=True) if not x)
+            for column, x in zip(out, (n_words, removed, spans, text.decode()), strict=True):
                 column.append(x)
         base = rows.drop_columns(["__bucket"]).take(pa.array(own.order, pa.int64()))
         for (name, kind), column in zip(extra, out, strict=True):
@@ -272,40 +339,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return base
 
     first = dealt.groupBy("__bucket").applyInArrow(anchors, "__shard int, bucket int, a binary, b binary")
-    marks = "__bucket int, kind int, shard int, data binary"
-    nominated = first.groupBy("__shard").applyInArrow(nominate, marks)
-    claims = dealt.groupBy("__bucket").cogroup(nominated.groupBy("__bucket")).applyInArrow(claim, "__shard int, bucket int, a binary, b binary, c binary")
-    answers = nominated.unionByName(claims.groupBy("__shard").applyInArrow(confirm, marks))
+    nominated = first.groupBy("__shard").applyInArrow(nominate, "__bucket int, shard int, data binary")
+    claims = dealt.groupBy("__bucket").cogroup(nominated.groupBy("__bucket")).applyInArrow(claim, "__shard int, bucket int, spans binary, least binary, greatest binary")
+    passages = claims.groupBy("__shard").applyInArrow(confirm, "__bucket int, passages binary, owners binary")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return dealt.groupBy("__bucket").cogroup(answers.groupBy("__bucket")).applyInArrow(locate, f"{kinds}, n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string")
-
-
-def covered(own: Bucket, first: np.ndarray, doc: np.ndarray, owner: np.ndarray, width: int) -> np.ndarray:
-    """Which words lie in an occurrence of a passage: of a run of windows (ascending) that have owners before their document."""
-    gone = np.zeros(len(own.words.hashes), bool)
-    if not len(first):
-        return gone
-    start = np.flatnonzero(np.r_[True, (np.diff(first) != 1) | (np.diff(doc) != 0)])
-    last = np.r_[start[1:], len(first)] - 1
-    latest = np.maximum.reduceat(owner, start)
-    _, ids = np.unique(own.words.hashes, return_inverse=True)
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for a, b, late in zip(first[start].tolist(), (first[last] + width).tolist(), latest.tolist(), strict=True):
-        automaton.add_word(tuple(ids[a:b].tolist()), (b - a, late))
-    automaton.make_automaton()
-    for a, b, own_id in zip(own.words.starts.tolist(), own.words.ends.tolist(), own.ids.tolist(), strict=True):
-        if b - a < width:
-            continue
-        change = None
-        for end, (length, late) in automaton.iter(tuple(ids[a:b].tolist())):
-            if late < own_id:
-                if change is None:
-                    change = [0] * (b - a + 1)
-                change[end + 1 - length] += 1
-                change[end + 1] -= 1
-        if change:
-            gone[a:b] = np.cumsum(change[:-1]) > 0
-    return gone
+    return dealt.groupBy("__bucket").cogroup(passages.groupBy("__bucket")).applyInArrow(locate, f"{kinds}, n_words long, n_removed long, removed array<struct<start:long,end:long>>, kept_text string")
 
 
 #: What op8_substrings returns, over a view documents, by DuckDB.

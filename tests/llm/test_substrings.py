@@ -61,3 +61,49 @@ def test_squeezed():
     for kind in ("<u8", "<i8", "<u4", "?"):
         x = np.arange(5).astype(kind)
         assert (substrings.unsqueezed(substrings.squeezed(x), kind) == x).all()
+
+
+def folded_pair(n=10):
+    """Two words of 2^n letters whose polynomial hashes modulo 2^64 are equal for any odd multiplier."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(1 << n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_are_compared_not_hashes(spark):
+    one, other = folded_pair()
+    shared = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{shared} {one}"), (2, f"{shared} {other}"), (3, f"{shared} {other}")]
+    out = {r.doc_id: (r.n_removed, r.kept_text) for r in substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {1: (0, rows[0][1]), 2: (0, rows[1][1]), 3: (13, "")}
+
+
+def test_only_the_automaton_removes():
+    """Without its finds nothing goes; the passages come from shards that have other buckets' words, not positions."""
+    texts, ids = [b"x a b c d y", b"a b c d", b"a b c"], [1, 2, 3]
+    got = substrings.located(texts, ids, {b"a b c d": 1, b"b c d y": 9}, 3)
+    assert [None if x is None else x.tolist() for x in got] == [None, [True] * 4, None]
+    assert substrings.located(texts, ids, {}, 3) == [None] * 3
+
+
+def test_hot_anchors_change_nothing(spark):
+    """One phrase in very many different texts; all of its windows are dealt one by one, or none."""
+    rows = [(i, f"u{i} v{i} w{i} " + " ".join(f"p{j}" for j in range(9)) + f" x{i % 7} y{i % 5} z{i} q{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, gone = brute(rows, 10)
+    want = {d[0]: [i for i, g in enumerate(flags) if g] for d, flags in zip(rows, gone)}
+    assert any(want.values())
+    for hot in (0, 50, 1 << 30):
+        out = substrings.repeated_passages(docs, width=10, bucket_bytes=2048, hot=hot).collect()
+        assert {r.doc_id: [i for s in r.removed for i in range(s.start, s.end)] for r in out} == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=30), st.integers(1, 14))
+def test_named(codes, width):
+    import numpy as np
+
+    got = substrings.named(np.array(codes, np.int64), width).tolist()
+    whole = [tuple(codes[i : i + width]) for i in range(len(codes) - width + 1)]
+    pairs = set(zip(got, whole))
+    assert len(got) == len(whole) or not whole
+    assert not whole or len(pairs) == len(set(got)) == len(set(whole))
