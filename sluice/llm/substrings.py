@@ -23,6 +23,7 @@ stretch once however often it has it, so the rows for a very common one are as m
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import ahocorasick
@@ -193,21 +194,24 @@ def located(texts: list[bytes], ids: list[int], passages: dict[bytes, int], widt
     if not passages:
         return [None] * len(texts)
     codes, starts, ends = coded([*texts, *passages])
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    # a node looks through its branches one by one, so a word is two letters of an alphabet of its own each, which keeps branches few
+    base = math.isqrt(int(codes.max())) + 1
+    letters = np.column_stack([codes // base + 1, codes % base + base + 2]).astype("<u4").tobytes().decode("utf-32-le")
+    automaton = ahocorasick.Automaton()
     n = len(texts)
     for a, b, owner in zip(starts[n:].tolist(), ends[n:].tolist(), passages.values(), strict=True):
-        automaton.add_word(tuple(codes[a:b].tolist()), (b - a, owner))
+        automaton.add_word(letters[2 * a : 2 * b], (b - a, owner))
     automaton.make_automaton()
     out: list[np.ndarray | None] = []
     for a, b, own_id in zip(starts[:n].tolist(), ends[:n].tolist(), ids, strict=True):
         change = None
         if b - a >= width:
-            for end, (length, owner) in automaton.iter(tuple(codes[a:b].tolist())):
+            for end, (length, owner) in automaton.iter(letters[2 * a : 2 * b]):
                 if owner < own_id:
                     if change is None:
                         change = [0] * (b - a + 1)
-                    change[end + 1 - length] += 1
-                    change[end + 1] -= 1
+                    change[end // 2 + 1 - length] += 1
+                    change[end // 2 + 1] -= 1
         out.append(None if change is None else np.cumsum(change[:-1]) > 0)
     return out
 
