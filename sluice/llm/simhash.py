@@ -22,10 +22,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import release, saved
+from sluice.llm.common import discard, release, saved
 
 BITS, RADIUS, SHINGLE, SEED, LEAF = 64, 3, 3, 42, 512
 
@@ -203,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = saved(edges.select("a", "b"), "stars")
     before = None
-    while True:
+    while True:  # a round's table goes once the next one is written
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -214,7 +214,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = low.groupBy("a").agg(F.min("b").alias("m"))
         small = low.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-        edges = saved(small.union(least).distinct(), "stars")
+        old, edges = edges, saved(small.union(least).distinct(), "stars")
+        discard(old)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -265,61 +266,40 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without near copies: of texts that chains of similarities link, the row with the least id stays.
-
-    Texts are alike if the sets of their shingles, as hashes of 32 bits, have the given
-    Jaccard similarity or more. Texts that share both MinHash values of one of 24 bands
-    meet in a shard (at 0.8 all but 2 pairs in 10^11, by calculation). There only pairs
-    that cannot be alike go untested: where parity bits differ, the sets differ in an
-    element for each bit at least. Copies of one word sequence count once. Null texts
-    are empty, and empty texts are copies of each other. Rows with a null id all stay;
-    of rows that share id and copy one stays.
-    """
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        for batch in batches:
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]
-            bands, sets = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [])
-            signed = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["id", "whole", "bands", "set"])
-
-    rows = saved(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, f"id {kind}, whole binary, bands array<long>, set binary"), "sets")
-    first = saved(rows.groupBy("whole").agg(F.min("id").alias("id")), "firsts")
-    keys = saved(rows.join(first, ["whole", "id"], "left_semi").select("id", "whole", F.posexplode("bands").alias("band", "key")).distinct(), "bands")
-    shared = keys.groupBy("band", "key").count().where("count > 1").drop("count")
-    met = keys.join(shared, ["band", "key"]).select("band", "key", "id", "whole")
-    shards = met.join(rows.dropDuplicates(["whole", "id"]).select("whole", "id", "set"), ["whole", "id"])
-
-    def forest_of(held: list[bytes]) -> list[tuple[int, int]]:
-        sets = [np.frombuffer(x, "<u4") for x in held]
-        bits, size, label = parities(sets), np.array([len(x) for x in sets]), np.arange(len(sets))
-        for i in range(1, len(sets)):
-            # a set of n elements and one of m that are alike differ in (1 - similarity) / (1 + similarity) of n + m at most
-            most = (1 - similarity) / (1 + similarity) * (size[:i] + size[i]) + 1e-6
-            could = np.flatnonzero(np.abs(size[:i] - size[i]) <= most)
-            could = could[np.bitwise_count(bits[could] ^ bits[i]).sum(1) <= most[could]]
-            while len(could):
-                j, could = could[0], could[1:]
-                if alike(sets[i], sets[j]) >= similarity:
-                    a, b = label[i], label[j]
-                    label[label == max(a, b)] = min(a, b)
-                    could = could[label[could] != label[i]]
-        return [(i, r) for i, r in enumerate(label.tolist()) if i != r]
+def forest_of(held: list[bytes], root: np.ndarray, part: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """(i, r) of sets of hashes whose chains of similarities lead to a set r before them. Sets of one root are linked already; in a cell of two parts only sets of different parts are compared."""
+    sets = [np.frombuffer(x, "<u4") for x in held]
+    bits, size = parities(sets), np.array([len(x) for x in sets])
+    known, across = np.unique(root, return_index=True, return_inverse=True), part.min() != part.max()
+    start = label = known[1][known[2]]
+    label = start.copy()
+    for i in range(1, len(sets)):
+        # a set of n elements and one of m that are alike differ in (1 - similarity) / (1 + similarity) of n + m at most
+        most = (1 - similarity) / (1 + similarity) * (size[:i] + size[i]) + 1e-6
+        could = np.flatnonzero((np.abs(size[:i] - size[i]) <= most) & (label[:i] != label[i]) & ((part[:i] != part[i]) | (not across)))
+        could = could[np.bitwise_count(bits[could] ^ bits[i]).sum(1) <= most[could]]
+        while len(could):
+            j, could = could[0], could[1:]
+            if alike(sets[i], sets[j]) >= similarity:
+                a, b = label[i], label[j]
+                label[label == max(a, b)] = min(a, b)
+                could = could[label[could] != label[i]]
+    return [(i, r) for i, (r, s) in enumerate(zip(label.tolist(), start.tolist(), strict=True)) if r != s]
+
+
+def alike_within(cells: DataFrame, similarity: float) -> DataFrame:
+    """Edges a, b of nodes that are linked within a cell; cells has cell, node, root (a hash), part, set."""
+    node = cells.schema["node"].dataType.simpleString()
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def grown(held: pa.Table) -> pa.RecordBatch:
-            band, key = held.column(0).to_numpy(), held.column(1).to_numpy()
-            at = np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])
+            cell, root, part = (held.column(c).to_numpy() for c in ("cell", "root", "part"))
+            at, sets = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), held.column("set").to_pylist()
             out: list[tuple[int, int]] = []
-            sets = held.column(3).to_pylist()
-            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(band)], strict=True):
-                out += [(a + i, a + j) for i, j in forest_of(sets[a:b])]
-            ids = held.column(2).combine_chunks()
-            return pa.record_batch([ids.take(pa.array([x[k] for x in out], pa.int64())) for k in (0, 1)], names=["a", "b"])
+            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(cell)], strict=True):
+                out += [(a + i, a + j) for i, j in forest_of(sets[a:b], root[a:b], part[a:b], similarity)]
+            nodes = held.column("node").combine_chunks()
+            return pa.record_batch([nodes.take(pa.array([x[k] for x in out], pa.int64())) for k in (0, 1)], names=["a", "b"])
 
         held = None
         for batch in batches:
@@ -327,17 +307,85 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             held = new if held is None else pa.concat_tables([held, new])
             if not held.num_rows:
                 continue
-            band, key = held.column(0).to_numpy(), held.column(1).to_numpy()
-            cut = int(np.flatnonzero(np.r_[True, (band[1:] != band[:-1]) | (key[1:] != key[:-1])])[-1])
+            cell = held.column("cell").to_numpy()
+            cut = int(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])[-1])
             if cut:
                 yield grown(held.slice(0, cut))
                 held = held.slice(cut)
         if held is not None and held.num_rows:
             yield grown(held)
 
-    dealt = shards.select("band", "key", "id", "set").repartition("band", "key").sortWithinPartitions("band", "key", "id")
-    edges = dealt.mapInArrow(link, f"a {kind}, b {kind}").where("a != b").distinct()
-    roots = components(edges)
-    stay = first.join(roots.where("node != root"), first.id == F.col("node"), "left_anti").select(F.col("id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col(id_col) == F.col("__stay")).drop("__stay").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    dealt = cells.select("cell", "node", "root", "part", "set").repartition("cell").sortWithinPartitions("cell", "node")
+    return dealt.mapInArrow(link, f"a {node}, b {node}").where("a != b").distinct()
+
+
+FIRST_BANDS, CELL = 4, 512
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = CELL) -> DataFrame:
+    """docs without near copies: of texts that chains of similarities link, the row with the least id stays.
+
+    Texts are alike if the sets of their shingles, as hashes of 32 bits, have the given
+    Jaccard similarity or more. Texts that share both MinHash values of one of 24 bands
+    meet in a shard (at 0.8 all but 2 pairs in 10^11, by calculation). There only pairs
+    that cannot be alike go untested: where parity bits differ, the sets differ in an
+    element for each bit at least. Copies of one word sequence count once. Null texts
+    are empty, and empty texts are copies of each other. Rows with a null id all stay.
+    Rows are told apart by id and text: of rows that share an id but are no copies each
+    one stays; of copies with one id that with the text of least MD5, and of rows with one id and text that
+    with the least hash of all columns but maps. An empty table gives no rows.
+
+    Shards are searched twice. In the first four bands, shards of more than ``most`` rows are
+    parted and the first row takes part in each part, which links most copies. Then shards of all bands whose rows
+    are not all linked yet are compared in full, pairs of parts apart where they have more than ``most`` rows.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    key = F.unhex(F.md5(F.coalesce(text_col, F.lit(""))))
+    node = f"struct<id:{kind},key:binary>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]
+            bands, sets = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [])
+            signed = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "whole", "bands", "set"])
+
+    named = docs.where(F.col(id_col).isNotNull())
+    rows = saved(named.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("node"), text_col).mapInArrow(run, f"node {node}, whole binary, bands array<long>, set binary"), "sets")
+    repeats = saved(rows.groupBy("node").count().where("count > 1").select("node"), "repeats")
+    repeated = not repeats.isEmpty()
+    if repeated:
+        old, rows = rows, saved(rows.dropDuplicates(["node"]), "sets")
+        discard(old)
+    first = saved(rows.groupBy("whole").agg(F.min("node").alias("node")).select("node"), "firsts")
+    keys = rows.select("node", "bands").join(first, "node", "left_semi").select("node", F.posexplode("bands").alias("band", "key"))
+    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
+    keys = saved(keys.join(shared, ["band", "key"]).withColumn("parts", F.ceil(F.col("n") / most).cast("int")), "bands")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    sets = rows.select("node", "set")
+    all_parts = F.sequence(F.lit(0), F.col("parts") - 1)
+
+    own = F.when(F.col("node") == F.col("least"), all_parts).otherwise(F.array(part))
+    cells = keys.where(F.col("band") < FIRST_BANDS).select("node", "band", "key", F.explode(own).alias("in"))
+    cells = cells.select("node", F.xxhash64("band", "key", "in").alias("cell"), F.xxhash64("node").alias("root"), F.lit(0).alias("part"))
+    found = saved(alike_within(cells.join(sets, "node"), similarity), "alike")
+
+    roots = saved(components(found), "roots")
+    rooted = keys.join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    open_ = rooted.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("band", "key")
+    pair = F.explode(F.transform(all_parts, lambda k: F.struct(F.least(k, F.col("part")).alias("low"), F.greatest(k, F.col("part")).alias("high"))))
+    cells = rooted.join(open_, ["band", "key"]).withColumn("part", part).select("node", "root", "part", "band", "key", pair.alias("in"))
+    cells = cells.select("node", "root", "part", F.xxhash64("band", "key", "in").alias("cell"))
+    more = saved(alike_within(cells.join(sets, "node"), similarity), "alike")
+
+    roots_of_all = components(found.union(more))
+    stay = saved(first.join(roots_of_all.where("node != root"), "node", "left_anti"), "stay")
+    discard(rows, first, keys, found, more, roots)
+    kept = docs.withColumn("__node", F.struct(F.col(id_col).alias("id"), key.alias("key"))).join(stay.select(F.col("node").alias("__stay")), F.col("__node") == F.col("__stay")).drop("__stay")
+    if repeated:
+        order = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+        many = kept.join(repeats.select(F.col("node").alias("__node")), "__node", "left_semi").withColumn("__n", F.row_number().over(Window.partitionBy("__node").orderBy(order))).where("__n = 1").drop("__n")
+        kept = kept.join(repeats.select(F.col("node").alias("__node")), "__node", "left_anti").unionByName(many)
+    return kept.drop("__node").select(docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
