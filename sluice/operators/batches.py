@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.arrays import mask, padded
-from sluice.operators.ordering import folded, ranked
+from sluice.operators.ordering import folded, ranked, seeded
 
 
 def buffered(rows: DataFrame, order: str, window: int = 256) -> DataFrame:
@@ -35,3 +35,9 @@ def padded_batches(rows: DataFrame, values: str, batch: str) -> DataFrame:
     longest = rows.groupBy(batch).agg(F.max(F.size(values)).alias("__longest"))
     out = rows.join(longest, batch)
     return out.withColumns({"input": padded(F.col(values), F.col("__longest")), "mask": mask(F.col(values), F.col("__longest"))}).drop("__longest")
+
+
+def dealt(batched: DataFrame, seed: int) -> DataFrame:
+    """batched with position: the place of a row's batch among those of its buffer, in a seeded order; the longest don't always come last."""
+    order = seeded(F.concat_ws(":", "buffer", "batch"), seed)
+    return batched.withColumn("position", (F.dense_rank().over(Window.partitionBy("buffer").orderBy(order)) - 1).cast("long"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,13 @@ def choose(scores: DataFrame, name: str, order: Column) -> tuple[object, float]:
     return row.best, row.best_score
 
 
+def selection(scores: DataFrame, name: str, order: Column, task: str, seed: int) -> str:
+    """The choice as JSON: task, seed, best checkpoint and score, and all candidates' scores, which are few."""
+    chosen, score = choose(scores, name, order)
+    made = {str(r[0]): r[1] for r in scores.select(name, "score").orderBy(order).collect()}
+    return json.dumps({"proxy_task": task, "proxy_seed": seed, "best_checkpoint": str(chosen), "best_score": score, "all_scores": made}, indent=2)
+
+
 def selection_json(scores: DataFrame, name: str) -> DataFrame:
     """all_scores: a JSON map of the candidates' scores, which are few."""
     return scores.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(name).cast("string"), "score"))))).alias("all_scores"))

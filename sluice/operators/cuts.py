@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.checks import require_none
 from sluice.operators.ordering import folded, hash_bucket, ranked, seeded
 
 
@@ -47,8 +48,8 @@ def sharded(cuts: DataFrame, seed: int, size: int, id_col: str = "id") -> DataFr
 
 def dealt(shards: DataFrame, seed: int, epoch: int, world: int, workers: int) -> DataFrame:
     """shard_id and worker: each shard goes to one worker of one rank, dealt anew each epoch; one row a shard."""
-    order = Window.orderBy(seeded(F.col("shard_id"), seed + epoch))
-    return shards.withColumn("worker", ((F.row_number().over(order) - 1) % (world * max(1, workers))).cast("long"))
+    out = ranked(shards.withColumn("__order", seeded(F.col("shard_id"), seed + epoch)), [F.col("__order")], hash_bucket(F.col("__order")), "__nth")
+    return out.withColumn("worker", (F.col("__nth") % (world * max(1, workers))).cast("long")).drop("__order", "__nth")
 
 
 def summary(sharded_cuts: DataFrame, length: str = "duration_ms") -> DataFrame:
@@ -58,3 +59,13 @@ def summary(sharded_cuts: DataFrame, length: str = "duration_ms") -> DataFrame:
 def too_long(cuts: DataFrame, most: Column, length: str = "cut_ms") -> Column:
     """A condition for a barrier: a hundredth of a second is let pass."""
     return F.col(length) > most + 10
+
+
+def refuse_too_long(cuts: DataFrame, most: float, length: str = "cut_ms") -> DataFrame:
+    """cuts, unless one is too long: none may survive the splitting."""
+    return require_none(cuts, too_long(cuts, F.lit(most), length), f"cuts longer than {most} ms")
+
+
+def refuse_other_rates(cuts: DataFrame, rate: int, column: str = "sampling_rate") -> DataFrame:
+    """cuts, unless one has another sampling rate than training expects, or none."""
+    return require_none(cuts, ~F.col(column).eqNullSafe(F.lit(rate)), f"cuts whose {column} isn't {rate}")

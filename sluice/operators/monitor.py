@@ -20,6 +20,18 @@ def by_interval(readings: DataFrame, run: str, value: str, every: int) -> DataFr
     return readings.groupBy(run, interval).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.sum(value).alias("total"), F.max_by(value, "step").alias("last"), F.max("step").alias("last_step"))
 
 
+def interval_report(readings: DataFrame, run: str, every: int, means: list[str], norm: str, seconds: str, clock: str) -> DataFrame:
+    """What is logged whenever a whole interval of steps is done: for each run, and the last step of each such interval,
+    the mean of each of means over the readings that give it (0 without any), norm summed by the interval's length, and
+    per_second: the sum of seconds by what the clock (in seconds) has gone on since the interval before, or since the run's first reading."""
+    interval = F.floor((F.col("step") - 1) / every).cast("long").alias("interval")
+    mean = [F.coalesce(F.avg(c), F.lit(0.0)).alias(f"mean_{c}") for c in means]
+    sums = readings.groupBy(run, interval).agg(F.max("step").alias("step"), *mean, (F.coalesce(F.sum(norm), F.lit(0.0)) / every).alias(f"{norm}_norm"), F.sum(seconds).alias("__seconds"), F.max_by(clock, "step").alias("__end"), F.min_by(clock, "step").alias("__start"))
+    elapsed = F.col("__end") - F.coalesce(F.lag("__end").over(Window.partitionBy(run).orderBy("interval")), F.col("__start"))
+    rate = F.when(elapsed > 0, F.col("__seconds") / elapsed).otherwise(0.0)
+    return sums.withColumn("per_second", rate).where(F.col("step") % every == 0).drop("interval", "__seconds", "__end", "__start")
+
+
 def alarms(readings: DataFrame, run: str, value: str, floor: float, streak: int) -> DataFrame:
     """run, first_alarm and readings in alarm: a reading below the floor raises one if streak readings in a row are below."""
     by_run = Window.partitionBy(run).orderBy("step")

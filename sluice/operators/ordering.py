@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ def ranked(df: DataFrame, order: list[Column], bucket: Column, name: str = "rank
     return df.withColumn(name, own).join(ahead, "__bucket").withColumn(name, (F.col(name) + F.col("__ahead")).cast("long")).drop("__bucket", "__ahead")
 
 
-def hash_bucket(hashed: Column, digits: int = 3) -> Column:
+def hash_bucket(hashed: Column, digits: int = 4) -> Column:
     """A bucket for rows in the order of a hexadecimal hash."""
     return F.substring(hashed, 1, digits)
 
@@ -43,22 +43,22 @@ def sum_ahead(df: DataFrame, value: str, hashed: str, by: list[str] | None = Non
 
 
 def folded(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, kind: str, start: Callable[[], object], step: Callable[[object, int], tuple[object, int]]) -> DataFrame:
-    """df with out = what step gives for each row of a group in order, with the state that it carries on.
+    """df with out (of kind int or long) = what step gives for each row of a group in order, with the state that it carries on.
 
     Groups stream through sorted partitions, so a group of any size takes the memory of a batch.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = None, None
         for batch in batches:
             got = []
-            for key, v in zip(batch[keys].itertuples(index=False, name=None), batch[value], strict=True):
+            for *key, v in zip(*(batch.column(c).to_pylist() for c in (*keys, value)), strict=True):
                 if key != last:
                     last, state = key, start()
                 state, result = step(state, v)
                 got.append(result)
-            yield batch.assign(**{out: got})
+            yield pa.record_batch([*batch.columns, pa.array(got, {"int": pa.int32(), "long": pa.int64()}[kind])], names=[*batch.schema.names, out])
 
     dealt = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return dealt.mapInPandas(run, f"{kinds}, {out} {kind}")
+    return dealt.mapInArrow(run, f"{kinds}, {out} {kind}")

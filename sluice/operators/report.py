@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 from collections.abc import Iterable
 
@@ -21,5 +23,43 @@ def stats_json(stats: Row, **maps: DataFrame) -> str:
     return json.dumps(out, indent=2, ensure_ascii=False)
 
 
+def benchmark(rows: Iterable[Row], names: dict[str, str], families: list[str], seeds: object) -> tuple[str, str]:
+    """The wide results (upstream, <family>_mean, <family>_std) as Markdown and as CSV; names has the upstreams in order and what to call them."""
+    of = {r["upstream"]: r for r in rows}
+    cell = lambda r, f: None if r is None or r[f"{f}_mean"] is None else f"{r[f'{f}_mean']:.3f} ± {r[f'{f}_std']:.3f}"
+    text = f"# Benchmark Results\n\nTasks: {', '.join(families)}\n\nSeeds: {seeds}\n\n"
+    text += markdown(["Upstream", *(f.upper() for f in families)], ([names[u], *(cell(of.get(u), f) for f in families)] for u in names))
+    out = io.StringIO()
+    lines = csv.writer(out, lineterminator="\n")
+    lines.writerow(["upstream", *(f"{f.upper()}_{k}" for f in families for k in ("mean", "std"))])
+    lines.writerows([names[u], *(of[u][f"{f}_{k}"] if u in of else None for f in families for k in ("mean", "std"))] for u in names)
+    return text, out.getvalue()
+
+
+def selection(stats: Row, target_hours: float, hours_by_language: dict[str, float], hours_by_genre: dict[str, float], top: Iterable[Row], overlap: int, cleaning: dict[str, int] | None = None) -> str:
+    """The selection as Markdown: totals, cleaning, languages, genres, sources with their part of train, channels.
+
+    cleaning: to_train_rows, repeats_removed, ambiguous, no_match, duplicate_path and candidates. top: rows of split.top_sources.
+    """
+    train = stats.train_ms / 3_600_000
+    parts = [f"# Data Selection Report\n\nTarget: {target_hours}h | Realised: {train:.1f}h\nHoldout: {stats.holdout_ms / 3_600_000:.1f}h\nLongest training clip: {stats.longest_ms / 1000}s\n"]
+    if cleaning:
+        reasons = ("ambiguous", "no_match", "duplicate_path")
+        parts.append("## Catalog cleaning\n\n" + f"- to_train=yes rows: {cleaning['to_train_rows']:,}\n- exact repeats removed: {cleaning['repeats_removed']:,}\n- unresolvable, set aside: {sum(cleaning[r] for r in reasons)} ({', '.join(f'{r} {cleaning[r]}' for r in reasons)})\n- candidates for selection: {cleaning['candidates']:,}\n")
+    listed = lambda pairs: "".join(f"- {k}: {v:.1f}h\n" for k, v in pairs)
+    parts.append("## By Language\n\n" + listed(sorted(hours_by_language.items())))
+    parts.append("## By Genre (top 10)\n\n" + listed(sorted(hours_by_genre.items(), key=lambda x: -x[1])[:10]))
+    share = lambda r: f"{100 * r.total_ms / stats.train_ms if stats.train_ms else 0.0:.1f}%"
+    rows = ([r["rank"], r.channel_id, f"{r.total_ms / 3_600_000:.2f}", share(r), r.n, cell(r.title)] for r in top)
+    parts.append("## Top 10 sources by hours\n\n" + markdown(["Rank", "Source", "Hours", "% of train", "Segments", "Title"], rows))
+    parts.append(f"## Channels: {stats.train_channels} train, {stats.holdout_channels} holdout, {overlap} overlap\n")
+    return "\n".join(parts)
+
+
+def cell(text: str | None) -> str:
+    """A text on one line, with bars that don't end a cell."""
+    return " ".join((text or "").split()).replace("|", "\\|")
+
+
 def top_table(rows: Iterable[Row]) -> str:
     return markdown(["#", "source", "hours", "clips", "title"], ([r["rank"], r.channel_id, f"{r.total_ms / 3_600_000:.2f}", r.n, r.title] for r in rows))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.operators.ordering import folded, seeded, sum_ahead
+from sluice.shared import discard, saved
 
 
 @dataclass(frozen=True)
@@ -39,39 +40,59 @@ def holdout_channels(channels: DataFrame, limits: Limits) -> DataFrame:
     return sum_ahead(ordered, "total_ms", "__order").where(F.col("ahead") < limits.holdout).drop("__order")
 
 
-def capped(clips: DataFrame, limits: Limits) -> DataFrame:
-    """Clips of channels within the cap; of others those that still fit, in seeded order: what doesn't fit is skipped, the scan goes on."""
-    totals = clips.groupBy("channel_id").agg(F.sum("duration_ms").alias("__total"))
-    marked = clips.join(totals, "channel_id")
-    over = marked.where(F.col("__total") > limits.channel).drop("__total").withColumn("__order", seeded(F.col("row_index"), limits.seed))
+def fitting(over: DataFrame, limits: Limits) -> DataFrame:
+    """channel_id, row_index, duration_ms of the clips of too long channels that still fit, in seeded order: what doesn't fit is skipped, the scan goes on."""
+    ordered = over.select("channel_id", "row_index", "duration_ms").withColumn("__order", seeded(F.col("row_index"), limits.seed))
     most = limits.channel
 
     def step(used: int, length: int) -> tuple[int, int]:
         return (used, 0) if used + length > most else (used + length, 1)
 
-    fits = folded(over, ["channel_id"], ["__order"], "duration_ms", "__fits", "int", int, step).where("__fits = 1").drop("__order", "__fits")
-    return marked.where(F.col("__total") <= limits.channel).drop("__total").unionByName(fits)
+    return folded(ordered, ["channel_id"], ["__order"], "duration_ms", "__fits", "int", int, step).where("__fits = 1").drop("__order", "__fits")
 
 
-def split(clips: DataFrame, blocked: DataFrame, limits: Limits) -> DataFrame:
-    """The chosen clips with split: holdout or train.
+def capped(clips: DataFrame, limits: Limits) -> DataFrame:
+    """Clips of channels within the cap; of others those that still fit."""
+    totals = clips.groupBy("channel_id").agg(F.sum("duration_ms").alias("__total"))
+    marked = clips.join(totals, "channel_id")
+    over = marked.where(F.col("__total") > limits.channel)
+    fits = over.join(fitting(over, limits).select("row_index"), "row_index", "left_semi")
+    return marked.where(F.col("__total") <= limits.channel).unionByName(fits).select(clips.columns)
+
+
+def decided(clips: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:
+    """Two written tables: channel_id, split and whole of the chosen channels, and row_index of the clips that stay of those which aren't whole.
 
     Holdout takes whole channels. Train takes, for each language of the mix, the rest's
     channels (of that language by their first clip) in seeded order, capped, for as
     long as those before fall short of the language's share of the target.
     """
-    good = usable(clips, blocked, limits)
-    channels = channel_totals(good)
-    held = holdout_channels(channels, limits).select("channel_id")
-    rest = capped(good.join(held, "channel_id", "left_anti"), limits)
+    channels = saved(channel_totals(clips), "channels")
+    held = saved(holdout_channels(channels, limits).select("channel_id"), "held")
+    rest = channels.join(held, "channel_id", "left_anti").withColumn("whole", F.col("total_ms") <= limits.channel)
+    fits = saved(fitting(clips.join(rest.where("not whole").select("channel_id"), "channel_id", "left_semi"), limits), "fitting")
     shares = {k: int(limits.target * v) for k, v in limits.mix.items()}
     share = F.coalesce(*(F.when(F.col("language") == k, F.lit(v).cast("long")) for k, v in shares.items()))
-    sums = rest.groupBy("channel_id").agg(F.sum("duration_ms").alias("kept_ms"))
     # a channel of which nothing fits has no rows, and takes none of its language's share
-    order = sums.join(channels.select("channel_id", "language"), "channel_id").where(F.col("language").isin(list(shares))).withColumn("__order", seeded(F.col("channel_id"), limits.seed))
-    chosen = sum_ahead(order, "kept_ms", "__order", ["language"]).where(F.col("ahead") < share).select("channel_id")
-    train = rest.join(chosen, "channel_id", "left_semi").withColumn("split", F.lit("train"))
-    return train.unionByName(good.join(held, "channel_id", "left_semi").withColumn("split", F.lit("holdout")))
+    kept = rest.join(fits.groupBy("channel_id").agg(F.sum("duration_ms").alias("fits_ms")), "channel_id", "left").withColumn("kept_ms", F.when(F.col("whole"), F.col("total_ms")).otherwise(F.col("fits_ms")))
+    order = saved(kept.where(F.col("kept_ms").isNotNull() & F.col("language").isin(list(shares))).withColumn("__order", seeded(F.col("channel_id"), limits.seed)), "order")
+    train = sum_ahead(order, "kept_ms", "__order", ["language"]).where(F.col("ahead") < share).select("channel_id", F.lit("train").alias("split"), "whole")
+    both = saved(train.unionByName(held.select("channel_id", F.lit("holdout").alias("split"), F.lit(True).alias("whole"))), "decided")
+    discard(channels, held, order)
+    return both, fits.select("row_index")
+
+
+def split(clips: DataFrame, blocked: DataFrame, limits: Limits) -> DataFrame:
+    """The chosen clips with split: holdout or train.
+
+    Only tables of a row a channel, and the ids of what fits into too long channels, are
+    made on the way; the clips themselves are read once more for the result.
+    """
+    good = usable(clips, blocked, limits)
+    channels, fits = decided(good, limits)
+    marked = good.join(channels, "channel_id")
+    part = marked.where("not whole").join(fits, "row_index", "left_semi")
+    return marked.where("whole").unionByName(part.select(marked.columns)).select(*good.columns, "split")
 
 
 def overlap(clips: DataFrame) -> DataFrame:

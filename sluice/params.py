@@ -68,9 +68,24 @@ class TrainParams:
     keep_last_n: int = 2
     milestones: tuple[int, ...] = ()
     precision: str = "bf16"
+    adam_eps: float = 1e-6
+    weight_decay: float = 0.01
+    max_grad_norm: float = 1.0
+    target_batch_seconds: float = 1600.0
+    per_device_max_seconds: float = 200.0
+    num_workers: int = 0
+    max_gpu_memory_fraction: float = 0.8
+    mask_time_prob: float = 0.65
+    mask_time_length: int = 10
+    diversity_loss_weight: float = 0.1
 
     def __post_init__(self) -> None:
-        _positive(self, "max_updates", "peak_lr", "eval_every_updates", "save_every_updates")
+        _positive(self, "max_updates", "peak_lr", "eval_every_updates", "save_every_updates", "keep_last_n", "max_temp", "min_temp", "temp_decay")
+        _positive(self, "adam_eps", "max_grad_norm", "target_batch_seconds", "per_device_max_seconds", "mask_time_length", "max_gpu_memory_fraction")
+        for name, most in (("weight_decay", None), ("num_workers", None), ("diversity_loss_weight", None), ("mask_time_prob", 1), ("temp_decay", 1), ("max_gpu_memory_fraction", 1)):
+            value = getattr(self, name)
+            if value < 0 or most is not None and value > most:
+                raise ValueError(f"{name} must be {'0 or more' if most is None else f'between 0 and {most}'}, got {value}")
         if self.precision not in ("bf16", "fp16", "fp32"):
             raise ValueError(f"precision must be bf16, fp16 or fp32, got {self.precision}")
         if self.precision == "fp16":
@@ -79,32 +94,49 @@ class TrainParams:
             raise ValueError("warmup_updates must be 0 or more and hold_ratio between 0 and 1")
 
 
+@dataclass(frozen=True)
+class MonitorParams:
+    """So many readings in a row below the floor stop a run; there is a reading each eval_every_updates."""
+
+    perplexity_floor: float = 10.0
+    consecutive_alerts: int = 5
+
+    def __post_init__(self) -> None:
+        _positive(self, "perplexity_floor", "consecutive_alerts")
+
+
+SECTIONS = {"select": SelectParams, "shard": ShardParams, "train": TrainParams, "monitoring": MonitorParams}
+
+
 @dataclass(frozen=True)
 class Params:
     select: SelectParams | None = None
     shard: ShardParams | None = None
     train: TrainParams | None = None
+    monitoring: MonitorParams = field(default_factory=MonitorParams)
     other: dict = field(default_factory=dict)
 
     @classmethod
-    def of(cls, settings: dict) -> Params:
-        """From nested dicts; keys that a section doesn't know are kept in other."""
-        made, other = {}, {k: v for k, v in settings.items() if k not in ("select", "shard", "train")}
-        for name, kind in (("select", SelectParams), ("shard", ShardParams), ("train", TrainParams)):
+    def of(cls, settings: dict, strict: bool = False) -> Params:
+        """From nested dicts; keys that a section doesn't know are kept in other, or refused if strict."""
+        made, other = {}, {k: v for k, v in settings.items() if k not in SECTIONS}
+        for name, kind in SECTIONS.items():
             if name in settings:
                 known = {f.name for f in fields(kind)}
                 made[name] = kind(**{k: tuple(v) if isinstance(v, list) else v for k, v in settings[name].items() if k in known})
                 rest = {k: v for k, v in settings[name].items() if k not in known}
                 if rest:
                     other[name] = rest
+        if strict and other:
+            raise ValueError(f"settings that nothing knows: {other}")
         return cls(**made, other=other)
 
     @classmethod
-    def from_yaml(cls, path: str) -> Params:
+    def from_yaml(cls, path: str, strict: bool = False) -> Params:
         import yaml
 
         with open(path) as f:
-            return cls.of(yaml.safe_load(f))
+            return cls.of(yaml.safe_load(f), strict)
 
     def asdict(self) -> dict:
         return dataclasses.asdict(self)

@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import json
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.checks import require_columns, require_none, require_unique
+from sluice.operators.catalog import metadata
+from sluice.shared import put
 
 
 def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | None = None) -> str:
-    """Writes the catalog to a dated folder and to latest; returns the dated one."""
+    """Writes the catalog to a dated folder and to latest, and its counters to catalog_meta.json; returns the dated folder."""
     require_columns(df, required)
-    path = f"{folder}/catalog_{(now or datetime.now(UTC)):%Y%m%dT%H%M%SZ}"
+    stamp = f"{(now or datetime.now(UTC)):%Y%m%dT%H%M%SZ}"
+    path = f"{folder}/catalog_{stamp}"
     df.write.csv(path, header=True, quote='"', escape='"', emptyValue="")
-    df.sparkSession.read.csv(path, header=True, multiLine=True, quote='"', escape='"').na.fill("").write.mode("overwrite").csv(f"{folder}/catalog_latest", header=True, quote='"', escape='"', emptyValue="")
+    written = df.sparkSession.read.csv(path, header=True, multiLine=True, quote='"', escape='"').na.fill("")
+    written.write.mode("overwrite").csv(f"{folder}/catalog_latest", header=True, quote='"', escape='"', emptyValue="")
+    if {"language", "to_train"} <= set(df.columns):
+        rows = {r["language"]: r for r in metadata(written.na.fill(""), "language", "to_train").collect()}  # one row a language
+        meta = {"timestamp": stamp, "total_rows": rows[None].total if None in rows else 0}
+        meta |= {f"{k}_rows": r.total for k, r in sorted(rows.items(), key=str) if k} | {"to_train_rows": rows[None].to_train if None in rows else 0}
+        put(df.sparkSession, f"{folder}/catalog_meta.json", json.dumps(meta, indent=2))
     return path
 
 

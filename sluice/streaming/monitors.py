@@ -15,6 +15,11 @@ def source(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataF
     return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{path}*")
 
 
+def arriving(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The Parquet files of the folders in a folder as a stream, in the order in which they came; like has their columns."""
+    return spark.readStream.schema(like.schema).parquet(f"{folder}/*")
+
+
 def interval_metrics(events: DataFrame, run: str, step: str, value: str, every: int) -> DataFrame:
     """Readings, mean, sum and last value of each run and interval of steps, as far as read."""
     interval = F.floor(F.col(step) / every).cast("long").alias("interval")

@@ -392,3 +392,96 @@ def test_manifests(spark, tmp_path):
     (tmp_path / "block.txt").write_text(" c1 \n\nc2\n")
     assert {r[0] for r in readers.blocklist(spark, str(tmp_path / "block.txt")).collect()} == {"c1", "c2"}
     assert readers.blocklist(spark, None).count() == 0
+
+
+# reports, barriers and restarts
+
+
+def test_more_settings():
+    base = dict(max_updates=10, warmup_updates=1, peak_lr=1e-3)
+    for bad in ({"adam_eps": 0}, {"mask_time_prob": 1.1}, {"weight_decay": -1}, {"max_gpu_memory_fraction": 0}, {"temp_decay": 2}, {"keep_last_n": 0}, {"num_workers": -1}):
+        with pytest.raises(ValueError):
+            params.TrainParams(**base, **bad)
+    assert params.Params.of({}).monitoring.consecutive_alerts == 5
+    with pytest.raises(ValueError):
+        params.Params.of({"monitoring": {"perplexity_floor": 0}})
+    with pytest.raises(ValueError):
+        params.Params.of({"train": base | {"unknown": 1}}, strict=True)
+
+
+def test_catalog_metadata(spark, tmp_path):
+    rows = values(spark, [("a", "sinhala", "Yes"), ("b", "tamil", "no"), ("c", "tamil", "yes")], "source_id string, language string, to_train string")
+    writers.catalog(rows, str(tmp_path / "out"), ["source_id"], datetime(2025, 1, 2))
+    for _ in range(2):
+        assert json.loads((tmp_path / "out" / "catalog_meta.json").read_text()) == {"timestamp": "20250102T000000Z", "total_rows": 3, "sinhala_rows": 1, "tamil_rows": 2, "to_train_rows": 2}
+        from sluice.shared import put
+
+        put(spark, str(tmp_path / "out" / "catalog_meta.json"), (tmp_path / "out" / "catalog_meta.json").read_text())
+    assert not [p for p in (tmp_path / "out").iterdir() if ".part-" in p.name and not p.name.startswith(".")]
+
+
+def test_benchmark_report(spark):
+    rows = values(spark, [("u", 0.6, 0.1414, None, None)], "upstream string, asr_mean double, asr_std double, sid_mean double, sid_std double").collect()
+    text, table = report.benchmark(rows, {"u": "Mine", "none": "Other"}, ["asr", "sid"], [0, 1])
+    assert "| Mine | 0.600 ± 0.141 | — |" in text and "| Other | — | — |" in text
+    assert table.splitlines() == ["upstream,ASR_mean,ASR_std,SID_mean,SID_std", "Mine,0.6,0.1414,,", "Other,,,,"]
+
+
+def test_selection_report(spark):
+    clips = values(spark, [(0, "big", "A |\nb", 1_800_000), (1, "big", "x", 1_800_000), (2, "small", "s", 1_800_000)], "row_index long, channel_id string, title string, duration_ms long")
+    chosen = clips.withColumns({"split": F.lit("train"), "language": F.lit("en")})
+    stats = split.stats(chosen, split.Limits(target=10_800_000)).first()
+    cleaning = {"to_train_rows": 1234, "repeats_removed": 5, "ambiguous": 1, "no_match": 2, "duplicate_path": 3, "candidates": 1223}
+    text = report.selection(stats, 3.0, {"en": 1.5}, {"a": 0.5, "b": 1.0}, split.top_sources(chosen).collect(), 0, cleaning)
+    for line in ("Target: 3.0h | Realised: 1.5h", "- to_train=yes rows: 1,234", "set aside: 6 (ambiguous 1, no_match 2, duplicate_path 3)", "- en: 1.5h", "| 1 | big | 1.00 | 66.7% | 2 | A \\| b |", "## Channels: 2 train, 0 holdout, 0 overlap"):
+        assert line in text
+    assert text.index("- b: 1.0h") < text.index("- a: 0.5h") and "cleaning" not in report.selection(stats, 3.0, {}, {}, [], 0)
+
+
+def test_selection_of_a_checkpoint(spark):
+    scores = values(spark, [(9000, 0.9), (4500, 0.91)], "c long, score double")
+    assert json.loads(bench.selection(scores, "c", F.col("c"), "asr", 0)) == {"proxy_task": "asr", "proxy_seed": 0, "best_checkpoint": "9000", "best_score": 0.9, "all_scores": {"4500": 0.91, "9000": 0.9}}
+
+
+def test_barriers_of_cuts(spark):
+    rows = values(spark, [(30_005.0, 16_000), (12.0, 16_000)], "cut_ms double, sampling_rate int")
+    assert cuts.refuse_too_long(rows, 30_000).count() == 2 and cuts.refuse_other_rates(rows, 16_000).count() == 2
+    with pytest.raises(checks.CheckError):
+        cuts.refuse_too_long(rows, 29_990)
+    for bad in ((1.0, 8_000), (1.0, None)):
+        with pytest.raises(checks.CheckError):
+            cuts.refuse_other_rates(rows.union(values(spark, [bad], "cut_ms double, sampling_rate int")), 16_000)
+
+
+def test_batch_order(spark):
+    rows = values(spark, [(i, 10 + i) for i in range(600)], "doc_id long, n long")
+    got = batches.dealt(batches.packed(rows, "n", "doc_id", 3000), 7).collect()
+    for buffer in (0, 1, 2):
+        pairs = {(r.batch, r.position) for r in got if r.buffer == buffer}
+        assert sorted(p for _, p in pairs) == list(range(len(pairs))) and len({b for b, _ in pairs}) == len(pairs)
+    assert any(r.batch != r.position for r in got)
+
+
+def test_interval_report(spark):
+    rows = [(1, s, float(s), None if s < 5 else 2.0, 1.0, 100.0 + 2 * s) for s in range(1, 8)]
+    out = [tuple(r) for r in monitor.interval_report(values(spark, rows, "run int, step long, loss double, extra double, grad double, at double"), "run", 3, ["loss", "extra"], "grad", "loss", "at").orderBy("step").collect()]
+    assert out == [(1, 3, 2.0, 0.0, 1.0, 6 / 4), (1, 6, 5.0, 2.0, 1.0, 15 / 6)]
+
+
+def test_streak_across_restarts(spark, tmp_path):
+    """A streak that begins in one run of the stream ends in the next, which goes on from the progress folder."""
+    rows = lambda steps: values(spark, [(1, s, 3.0) for s in steps] + [(2, s, 50.0) for s in steps], "run long, step long, v double")
+    folder, got = str(tmp_path), []
+    for i, steps in enumerate(([1, 2, 3], [4], [5, 6], [7])):
+        rows(steps).write.parquet(f"{folder}/in/lot-{i}")
+        stream = monitors.streak_alarms(monitors.arriving(spark, f"{folder}/in", rows([1])), "run", "step", "v", 10.0, 5)
+        got.append([tuple(r) for r in monitors.run_to_end(stream, "append", folder).collect()])
+    assert got == [[], [], [(1, 5)], [(1, 5)]]
+
+
+def test_split_plan_is_small(spark):
+    """The clips are read twice and no fold is left in the plan of a split."""
+    from sluice.plans.queries import select_split
+
+    plan = select_split(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 10 and plan.count("MapInArrow") + plan.count("MapInPandas") == 0
