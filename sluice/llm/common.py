@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.shared import discard, fresh_path, saved, shared_dir
+
+__all__ = ["WORD", "bounded_batches", "discard", "fresh_path", "kept", "parts_for", "release", "saved", "shared_dir"]
+
 #: Words are runs of anything but space, \t, \n, \v, \f and \r; bytes.split() splits at just these.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -41,39 +43,6 @@ def bounded_batches(spark: SparkSession, size: str = "16m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one of its own in local mode (tests), else an error."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-"))
-        at = spark.sparkContext.getCheckpointDir()
-    return at.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and reread: a lost executor costs no more than the tasks after it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.saved_at = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Removes what saved wrote for these tables, which nothing reads any more."""
-    for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.saved_at)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def parts_for(df: DataFrame, col: str, part_bytes: int) -> int:
     """How many partitions hold the whole column in about part_bytes each, at least the session's shuffle partitions."""
     total = df.agg(F.sum(F.octet_length(col))).first()[0] or 0

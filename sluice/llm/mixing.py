@@ -17,7 +17,7 @@ from sluice.llm.common import WORD, saved
 WEIGHTS, SHARE, CAP, SEED = (3, 1, 2), (3, 2), 2, "mix"
 
 
-COIN_BITS, BUCKET_BITS = 52, 10
+COIN_BITS, BUCKET_BITS, BUCKET_ROWS = 52, 10, 100_000
 BROADCAST_ROWS = 100_000
 
 
@@ -41,32 +41,48 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[i
 
     Sources by code point, null last, weigh the given weights in turn and share out
     share (a fraction) of the sum of all sizes. A target stops at cap times its source's
-    size and the excess is shared out again by weight until none is above. Ordered by
-    cap by weight, the stopped sources come first; a running sum finds where they end.
-    All sums are of integers, so the targets don't depend on the order of rows.
+    size and the excess is shared out again by weight until none is above: each round is one
+    aggregate over the sources, which may be many. They are numbered within ranges, of which only
+    the counts meet in one task. All sums are of integers, so the targets don't depend on the order of rows.
     """
     over, under = share
-    exact = lambda c: F.col(c).cast("decimal(38,0)")
-    ranked = sizes.withColumn("i", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
-    ranked = ranked.withColumns({"w": F.element_at(F.array(*map(F.lit, weights)), (F.col("i") % len(weights) + 1).cast("int")).cast("long"), "most": F.col("source_size") * cap})
-    by_cap = Window.orderBy((F.col("most") / F.col("w")).asc(), "i")
-    ahead, everything = by_cap.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy(F.lit(0))
-    ranked = ranked.withColumns({"all_w": F.sum("w").over(everything), "all_size": F.sum("source_size").over(everything), "ahead_w": F.coalesce(F.sum("w").over(ahead), F.lit(0)), "ahead_most": F.coalesce(F.sum("most").over(ahead), F.lit(0))})
-    left = exact("all_size") * over - exact("ahead_most") * under  # times under
-    stops = exact("most") * under * (F.col("all_w") - F.col("ahead_w")) <= left * F.col("w")
-    ranked = ranked.withColumn("stops", stops)
-    rest = ranked.withColumns({"rest_w": F.coalesce(F.sum(F.when(~F.col("stops"), F.col("w"))).over(everything), F.lit(0)), "stopped": F.coalesce(F.sum(F.when(F.col("stops"), F.col("most"))).over(everything), F.lit(0))})
-    shared = ((F.col("all_size") * over - F.col("stopped") * under) * F.col("w")).cast("double") / (F.col("rest_w") * under).cast("double")
-    return rest.select("source", "source_size", F.when(F.col("stops"), F.col("most").cast("double")).otherwise(shared).alias("target"))
-
-
-def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, cap: int = CAP) -> DataFrame:
+    spark = sizes.sparkSession
+    by_source = F.col("source").asc_nulls_last()
+    ranges = sizes.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), by_source).withColumn("range", F.spark_partition_id())
+    ranges = saved(ranges, "mix-ranges")
+    ahead = ranges.groupBy("range").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    i = F.row_number().over(Window.partitionBy("range").orderBy(by_source)) - 1 + F.col("ahead")
+    w = F.element_at(F.array(*map(F.lit, weights)), (i % len(weights) + 1).cast("int")).cast("long")
+    ranked = saved(ranges.join(ahead, "range").select("source", "source_size", w.alias("w"), (F.col("source_size") * cap).alias("most")), "mix-ranked")
+
+    exact = lambda x: F.lit(str(x)).cast("decimal(38,0)")
+    whole = lambda c: F.coalesce(F.sum(c.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    all_size, rest_w = map(int, ranked.agg(whole(F.col("source_size")), whole(F.col("w"))).first())
+    stopped = 0
+    while True:
+        left = all_size * over - stopped * under  # times under
+        stops = F.col("most") * exact(under * rest_w) <= exact(left) * F.col("w") if rest_w else F.lit(True)
+        now = tuple(map(int, ranked.agg(whole(F.when(stops, F.col("most"))), whole(F.when(~stops, F.col("w")))).first()))
+        if now == (stopped, rest_w):
+            break
+        stopped, rest_w = now
+    most = F.col("most").cast("double")
+    shared = (exact(left) * F.col("w")).cast("double") / F.lit(float(max(1, rest_w * under)))
+    return ranked.select("source", "source_size", F.when(stops, most).otherwise(shared).alias("target"))
+
+
+def bucket_bits(rows: int) -> int:
+    """So many first bits of the coins that a bucket of one source has some BUCKET_ROWS rows at most."""
+    return min(COIN_BITS, max(BUCKET_BITS, (rows // BUCKET_ROWS).bit_length()))
+
+
+def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = SHARE, cap: int = CAP, bits: int = BUCKET_BITS) -> DataFrame:
     """source, source_size, target, whole (copies of every row) and below (coins below it bring one more) for rows of source, n, coin.
 
-    Coins fall to buckets by their first bits; sums by source and bucket tell in which
+    Coins fall to buckets by their first bits (so many); sums by source and bucket tell in which
     bucket the words reach what is wanted, and only that bucket's rows are put in order.
     """
-    bucket = F.shiftright("coin", COIN_BITS - BUCKET_BITS)
+    bucket = F.shiftright("coin", COIN_BITS - bits)
     sums = saved(sized.groupBy("source", bucket.alias("bucket")).agg(F.sum("n").alias("n")), "mix-sums")
     goal = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")), weights, share, cap)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
@@ -80,7 +96,7 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: tupl
     rows = sized.join(small(edge), same & (bucket == F.col("in"))).groupBy("of", "wanted", "ahead", "in", "coin").agg(F.sum("n").alias("n"))
     reached = F.col("ahead") + F.sum("n").over(Window.partitionBy("of").orderBy("coin"))
     stops = rows.select("of", (F.col("coin") + 1).alias("below"), F.abs(reached - F.col("wanted")).alias("miss"))
-    stops = stops.unionByName(edge.select("of", F.shiftleft("in", COIN_BITS - BUCKET_BITS).alias("below"), F.abs(F.col("ahead") - F.col("wanted")).alias("miss")))
+    stops = stops.unionByName(edge.select("of", F.shiftleft("in", COIN_BITS - bits).alias("below"), F.abs(F.col("ahead") - F.col("wanted")).alias("miss")))
     best = stops.groupBy("of").agg(F.min(F.struct("miss", "below"))["below"].alias("below"))
     return goal.join(best, same, "left").select("source", "source_size", "target", "whole", F.when(F.col("wanted") > 0, F.col("below")).otherwise(F.lit(0).cast("long")).alias("below"))
 
@@ -94,7 +110,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """
     docs = docs.drop("mix_size", "source_size", "target", "copies")
     sized = docs.select(F.col(source_col).alias("source"), words(text_col).alias("n"), coin(F.col(id_col), seed=seed).alias("coin"))
-    goal = small(saved(thresholds(sized, weights, share, cap).withColumnRenamed("source", "__source"), "mix-thresholds"))
+    goal = small(saved(thresholds(sized, weights, share, cap, bucket_bits(docs.count())).withColumnRenamed("source", "__source"), "mix-thresholds"))
     out = docs.withColumns({"mix_size": words(text_col), "__coin": coin(F.col(id_col), seed=seed)}).join(goal, F.col(source_col).eqNullSafe(F.col("__source")))
     return out.withColumn("copies", F.col("whole") + (F.col("__coin") < F.col("below")).cast("long")).drop("__source", "__coin", "whole", "below")
 

@@ -32,7 +32,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = sharding.sharded(table(spark, sf_dir, "documents").select("doc_id", "text"), limit=sharding.QUERY_LIMIT)
     return out.select("doc_id", F.col("doc_size").alias("size"), "depth", "shard", "shard_size", "oversize")
 
 

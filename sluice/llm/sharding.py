@@ -82,12 +82,14 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.withColumn("shard_name", F.when(F.col("shard") == "", "all").otherwise(F.col("shard"))).repartition("shard_name").write.partitionBy("shard_name").parquet(path)
 
 
+#: The limit of op3_sharding: small, so that small tables have shards of several depths as well.
+QUERY_LIMIT = 512 << 10
 #: What op3_sharding returns, over a view documents, by DuckDB.
 ORACLE = f"""
 with rows as (select doc_id, coalesce(octet_length(encode(text)), 0)::bigint as size, ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as h from documents),
-levels as (select r.*, d.depth, r.h >> (60 - d.depth)::int as part, sum(r.size) over (partition by d.depth, r.h >> (60 - d.depth)::int) as bytes from rows r, (select unnest(range(0, 61))::int as depth) d where r.size <= {LIMIT}),
-placed as (select doc_id, size, h, min(depth) as depth from levels where bytes <= {LIMIT} or depth = 60 group by doc_id, size, h
-  union all select doc_id, size, h, 60 from rows where size > {LIMIT}),
-named as (select *, lpad(bin(h), 60, '0')[1:depth] || case when size > {LIMIT} then '+' else '' end as shard from placed)
-select doc_id, size, depth, shard, (sum(size) over (partition by shard))::bigint as shard_size, sum(size) over (partition by shard) > {LIMIT} as oversize from named
+levels as (select r.*, d.depth, r.h >> (60 - d.depth)::int as part, sum(r.size) over (partition by d.depth, r.h >> (60 - d.depth)::int) as bytes from rows r, (select unnest(range(0, 61))::int as depth) d where r.size <= {QUERY_LIMIT}),
+placed as (select doc_id, size, h, min(depth) as depth from levels where bytes <= {QUERY_LIMIT} or depth = 60 group by doc_id, size, h
+  union all select doc_id, size, h, 60 from rows where size > {QUERY_LIMIT}),
+named as (select *, lpad(bin(h), 60, '0')[1:depth] || case when size > {QUERY_LIMIT} then '+' else '' end as shard from placed)
+select doc_id, size, depth, shard, (sum(size) over (partition by shard))::bigint as shard_size, sum(size) over (partition by shard) > {QUERY_LIMIT} as oversize from named
 """

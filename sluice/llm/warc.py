@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import fresh_path, saved
+from sluice.llm.mixing import small
 
-MIN_REVISIT, SEGMENT_BYTES, CHUNK_BYTES = 100, 32 << 10, 8 << 10
+MIN_REVISIT, SEGMENT_BYTES, CHUNK_BYTES, READER_BYTES = 100, 32 << 10, 8 << 10, 32 << 20
 DATE = "2025-01-01T00:00:00Z"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -86,39 +87,50 @@ def records(page: int | None, name: str, url: str | None, payload: bytes, digest
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit: int = MIN_REVISIT, segment_bytes: int = SEGMENT_BYTES, folder: str | None = None) -> tuple[DataFrame, str]:
-    """Writes a record for each row; returns a manifest (file, records) and the folder.
+    """Writes a record for each row; returns a manifest (file, records, bytes) and the folder.
 
     A null payload is empty. Of the rows with equal payloads of min_revisit bytes or more
-    the one with the least id (nulls after all others; of rows with one id the first read)
-    is a response and the others revisit it. A task writes one file under another name
+    the one with the least id, then the least URL (nulls after all others) is a response and the others
+    revisit it; of rows that are equal in all three one is the response. What a row becomes depends on the table alone, never on the
+    order in which a task reads it: responses that others refer to are named by id and payload. Payloads stay where they are read
+    while the repeated ones' digests are few enough to be broadcast, beyond that they go through a join by digest. A task writes one file under another name
     and moves it into place, so that a task that runs again replaces its file.
     """
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
     payload = F.coalesce(F.encode(payload_col, "UTF-8"), F.lit(b""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).withColumns({"uid": F.monotonically_increasing_id(), "digest": F.sha2("payload", 256)})
-    first = F.min(F.struct(F.col("page").isNull().alias("null"), F.col("page").alias("page"), F.col("uid").alias("uid"))).alias("first")
-    # the hash of the payload joins; rows below min_revisit have no partner
-    groups = rows.where(F.octet_length("payload") >= min_revisit).groupBy("digest").agg(first, F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("of"), "first")
-    joined = rows.join(groups, (F.col("digest") == F.col("of")) & (F.octet_length("payload") >= min_revisit), "left")
-    refers = F.when(F.col("first.uid") != F.col("uid"), F.col("first"))
-    ready = joined.select("page", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "uid", "digest", refers["page"].alias("refers_page"), refers["uid"].alias("refers_uid"))
+    rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
+    large = F.octet_length("payload") >= min_revisit
+    each = rows.where(large).groupBy("digest", "page", "url").agg(F.count("*").alias("twins"))
+    first = F.min(F.struct(F.col("page").isNull().alias("p"), "page", F.col("url").isNull().alias("u"), "url", "twins")).alias("first")
+    repeated = each.groupBy("digest").agg(first, F.sum("twins").alias("n")).where("n > 1").select(F.col("digest").alias("of"), F.col("first.page").alias("first_page"), F.col("first.url").alias("first_url"), F.col("first.twins").alias("twins"))
+    repeated = saved(repeated, "repeated")
+    joined = rows.join(small(repeated), (F.col("digest") == F.col("of")) & large, "left")
+    chief = F.col("of").isNotNull() & F.col("page").eqNullSafe(F.col("first_page")) & F.col("url").eqNullSafe(F.col("first_url"))
+    revisit = F.col("of").isNotNull() & ~chief
+    ready = joined.select("page", "url", F.when(~revisit, F.col("payload")).alias("payload"), "digest", "first_page", chief.alias("chief"), revisit.alias("revisit"), F.when(chief, F.col("twins") - 1).otherwise(0).alias("more"))
+    if not repeated.where("twins > 1").isEmpty():  # of equal rows one stands for all
+        one = ready.where("more > 0").groupBy("page", "url", "digest", "first_page", "chief", "revisit", "more").agg(F.first("payload").alias("payload"))
+        ready = ready.where("more = 0").unionByName(one)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
-        name, n = f"part-{TaskContext.get().partitionId():06d}.warc.gz", 0
+        part = TaskContext.get().partitionId()
+        name, n, size = f"part-{part:06d}.warc.gz", 0, 0
         attempt = f"{root}/{name}.{uuid.uuid4().hex}"
         with fs.open_output_stream(attempt, compression=None) as out:
-            for page, url, data, uid, digest, refers_page, refers_uid in (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns), strict=True)):
-                refers = None if refers_uid is None else (refers_page, f"page:{refers_page}:{refers_uid}")
-                for x in records(page, f"page:{page}:{uid}", url, data or b"", digest, refers, segment_bytes):
-                    out.write(x)
-                    n += 1
+            for page, url, data, digest, first_page, is_chief, is_revisit, more in (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("page", "url", "payload", "digest", "first_page", "chief", "revisit", "more")), strict=True)):
+                to = (first_page, f"page:{first_page}:{digest}")
+                for refers in [to if is_revisit else None, *[to] * more]:
+                    own = to[1] if is_chief and refers is None else f"page:{page}:{part}:{n}"
+                    for x in records(page, own, url, data or b"", digest, refers, segment_bytes):
+                        out.write(x)
+                        n, size = n + 1, size + len(x)
         fs.move(attempt, f"{root}/{name}")
-        yield pa.record_batch([[name], [n]], names=["file", "records"])
+        yield pa.record_batch([[name], [n], [size]], names=["file", "records", "bytes"])
 
-    return saved(ready.mapInArrow(run, "file string, records long"), "manifest"), folder
+    return saved(ready.mapInArrow(run, "file string, records long, bytes long"), "manifest"), folder
 
 
 def members(stream: BinaryIO, read: int = 1 << 20) -> Iterator[bytes]:
@@ -218,7 +230,9 @@ def read_archives(manifest: DataFrame, folder: str, keep_payload: bool = True) -
         if rows:
             yield flush()
 
-    files = manifest.where("records > 0").select("file").repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    total = manifest.agg(F.sum("bytes")).first()[0] or 0
+    readers = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // READER_BYTES))
+    files = manifest.where("records > 0").select("file").repartition(readers)
     found = saved(files.mapInArrow(run, f"{FIELDS}, {cut}"), "records")
 
     def gather(rows: pa.Table) -> pa.Table:
