@@ -7,7 +7,8 @@ nodes with the edits spent, made when first met. So a word is looked up in one
 pass over its letters, which mostly ends after a few. A window of words around a
 match tells quotation (quotation marks, verbs of saying) from abuse (words of address).
 A term counts by how far it exceeds what clean text of that length has of it. A
-logistic model of direct and quoted weights, fitted to the same rows, gives the score.
+logistic model of direct and quoted weights and of the text's length (the same uses say less in a long
+text), fitted to the same rows, gives the score.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import kept, saved
+from sluice.llm.simhash import MULTIPLIERS
 
 #: Plain insults of the four languages that the tables are in; labels add what else is used.
 TERMS = tuple("""
@@ -43,7 +46,8 @@ dijo dice escribió escribe llamó palabra término
 ADDRESS = frozenset("you your you're youre u tu toi vous votre ton ta du dich dir ihr euch eres te ti usted tú".split())
 OPENING, CLOSING = "\"'“‘„«‹", "\"'”’“»›"
 LETTERS = str.maketrans("013457@$!", "oieastasi")
-PRIOR_WEIGHT, PRIOR = 4.0, np.array([-3.5, 1.2, 0.1])
+#: Coefficients before any row is seen: base, direct use, quoted use, length.
+PRIOR_WEIGHT, PRIOR = 4.0, np.array([-3.5, 1.2, 0.1, 0.0])
 TOP_WEIGHT, MOST_WEIGHT = 8.0, 16.0
 
 
@@ -89,6 +93,10 @@ class Automaton:
                 at = self.children[at][c]
                 self.room[at] = max(self.room[at], room)
             self.term[at] = word
+        self.forget()
+
+    def forget(self) -> None:
+        """Lets go of all states; they are made again when met."""
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.next: list[dict[str, int]] = []
@@ -163,10 +171,14 @@ def quotation(words: list[str], at: int, reach: int = 8) -> float:
 
 
 class Scorer:
-    """Finds the matches in texts; what it has learnt about words stays with the Python worker. rates: how often clean text has a term, =word or ^stem, by word."""
+    """Finds the matches in texts; what it has learnt about words stays with the Python worker.
+
+    rates: how often clean text has a term, =word or ^stem, by word. keep, states: how many words without and with a match, and how many states of
+    the automaton, a worker holds before it begins anew, which costs time and changes no result.
+    """
 
-    def __init__(self, terms: dict[str, float], exact: dict[str, float], clean: frozenset[str] = frozenset(), rates: dict[str, float] | None = None, keep: int = 300_000) -> None:
-        self.name, self.terms, self.exact, self.clean, self.rates, self.keep = uuid.uuid4().hex, terms, exact, clean, rates or {}, keep
+    def __init__(self, terms: dict[str, float], exact: dict[str, float], clean: frozenset[str] = frozenset(), rates: dict[str, float] | None = None, keep: int = 300_000, states: int = 50_000) -> None:
+        self.name, self.terms, self.exact, self.clean, self.rates, self.keep, self.states = uuid.uuid4().hex, terms, exact, clean, rates or {}, keep, states
 
     def matches(self, texts: pa.Array, step_bytes: int = 4 << 20) -> Iterator[tuple[int, list[tuple[str, float, float, str]]]]:
         """Of each text (null: empty) how many words it has; term, =word or ^stem, weight, quotation and plain word of each match."""
@@ -178,8 +190,11 @@ class Scorer:
             flat = lists.flatten()
             coded = flat.dictionary_encode()
             words = coded.dictionary.to_pylist()
-            if len(clear) > self.keep:
-                clear.clear()
+            for known in (clear, hits):
+                if len(known) > self.keep:
+                    known.clear()
+            if len(automaton.sets) > self.states:
+                automaton.forget()
             for word in words:
                 if word not in clear and word not in hits:
                     found = automaton.match(word)
@@ -191,6 +206,7 @@ class Scorer:
             places = np.flatnonzero(hot[coded.indices.to_numpy()])
             edges = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
             bounds = np.searchsorted(places, edges).tolist()
+            filled = np.r_[0, np.cumsum(pc.binary_length(flat).to_numpy() > 0)]  # blanks at a text's ends leave empty words
             for i in range(upto - at):
                 found, low, high = [], int(edges[i]), int(edges[i + 1])
                 for place in places[bounds[i] : bounds[i + 1]].tolist():
@@ -199,12 +215,12 @@ class Scorer:
                     pairs = [(j, w) for j, w in enumerate(around) if w]
                     term, weight = hits[around[place - start]]
                     found.append((term, weight, quotation([w for _, w in pairs], next(k for k, (j, _) in enumerate(pairs) if j == place - start)), plain(around[place - start])))
-                yield high - low, found
+                yield int(filled[high] - filled[low]), found
             at = upto
 
 
-    def features(self, n: int, found: list[tuple[str, float, float, str]]) -> tuple[float, float]:
-        """Weights of direct and of quoted use, each up to MOST_WEIGHT."""
+    def features(self, n: int, found: list[tuple[str, float, float, str]]) -> tuple[float, float, float]:
+        """Weights of direct and of quoted use, each up to MOST_WEIGHT, and the logarithm of the length in words."""
         direct: dict[str, list[float]] = {}
         quoted = 0.0
         for term, weight, quote, _ in found:
@@ -213,12 +229,12 @@ class Scorer:
             uses[1] = max(uses[1], weight)
             quoted += weight * quote
         usual = {t: self.rates.get(t, 0.0) * n for t in direct}
-        return min(MOST_WEIGHT, sum(w * max(0.0, k - usual[t] - 1.5 * math.sqrt(usual[t])) for t, (k, w) in direct.items())), min(MOST_WEIGHT, quoted)
+        return min(MOST_WEIGHT, sum(w * max(0.0, k - usual[t] - 1.5 * math.sqrt(usual[t])) for t, (k, w) in direct.items())), min(MOST_WEIGHT, quoted), math.log1p(n / 100)
 
 
 def fitted(x: np.ndarray, y: np.ndarray, pull: float = 1.0, rounds: int = 100) -> np.ndarray:
     """Logistic coefficients by damped Newton steps, drawn to PRIOR: what they are without rows."""
-    x = np.column_stack([np.ones(len(x)), x]) if len(x) else np.empty((0, 3))
+    x = np.column_stack([np.ones(len(x)), x]) if len(x) else np.empty((0, len(PRIOR)))
 
     def loss(b: np.ndarray) -> float:
         z = x @ b
@@ -227,7 +243,7 @@ def fitted(x: np.ndarray, y: np.ndarray, pull: float = 1.0, rounds: int = 100) -
     b, now = PRIOR.copy(), loss(PRIOR)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + pull * np.eye(3), x.T @ (y - p) - pull * (b - PRIOR))
+        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + pull * np.eye(len(PRIOR)), x.T @ (y - p) - pull * (b - PRIOR))
         while (then := loss(b + step)) > now and np.abs(step).max() > 1e-10:
             step = step / 2
         b, gain, now = b + step, now - then, then
@@ -241,17 +257,49 @@ class Model:
         self.scorer, self.coefficients = scorer, coefficients
 
     def scores(self, texts: pa.Array) -> Iterator[float]:
-        b0, b1, b2 = self.coefficients.tolist()
+        b0, *b = self.coefficients.tolist()
         for n, found in self.scorer.matches(texts):
-            direct, quoted = self.scorer.features(n, found)
-            yield 1 / (1 + math.exp(-max(-30.0, min(30.0, b0 + b1 * direct + b2 * quoted))))
+            z = b0 + sum(x * y for x, y in zip(b, self.scorer.features(n, found), strict=True))
+            yield 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+BANDS, ROWS = 5, 3
+
+
+def bands(text: str, shingle: int = 5) -> list[bytes]:
+    """BANDS keys of ROWS MinHash values each of a text's shingles of so many words; copies share most of them, unlike texts none."""
+    words = text.lower().encode().split()
+    grams = {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, grams), np.uint64, len(grams))
+    least = np.array([((hashes * m) ^ ((hashes * m) >> np.uint64(32))).min() for m in MULTIPLIERS[: BANDS * ROWS]], np.uint64)
+    return [row.tobytes() for row in least.reshape(BANDS, ROWS)]
+
 
+def without_copies(rows: DataFrame) -> DataFrame:
+    """text, y without near copies of one label: band by band, of the rows that share the band's key the one with the least hash stays."""
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_terms: int = 2_000) -> Model:
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [bands(t or "") for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([*batch.columns, *(pa.array([k[i] for k in keys], pa.binary()) for i in range(BANDS))], names=["text", "y", *names])
+
+    names = [f"k{i}" for i in range(BANDS)]
+    rows = saved(rows.mapInArrow(marked, f"text string, y int, {', '.join(f'{n} binary' for n in names)}").withColumn("h", F.xxhash64("text")), "labelled")
+    left = rows.select("y", "h", *names)
+    for n in names:
+        left = left.groupBy("y", n).agg(F.min(F.struct("h", *(m for m in names if m != n))).alias("row")).select("y", n, "row.*")
+    kept = rows.join(left.select("y", "h"), ["y", "h"], "left_semi").groupBy("y", "h").agg(F.first("text").alias("text")).select("text", "y")
+    return saved(kept, "distinct")
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_terms: int = 2_000, max_clean: int = 100_000) -> Model:
     """A model from the labels given (the caller leaves out what is held out).
 
     max_rows bounds the labelled rows that take part, by least hash of their ids; the
-    lexicon gets max_terms learnt words and stems at most. Labels other than 0
+    lexicon gets max_terms learnt words and stems at most, by evidence, and max_clean words of
+    clean rows at most, the most frequent ones, are known not to be misspellings of a term. Of rows with one label whose
+    five-word shingles share the three MinHash values of one of five bands one takes part: copies
+    would pass for so many proofs. Labels other than 0
     and 1 don't count; of an id's labels the greatest does. Without labels the model is
     the prior one over TERMS.
     """
@@ -260,13 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(max_rows)  # bounded, so it may be broadcast
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(known), "__id").select("text", "y")
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = [" ".join(sorted(set((t or "").split()), key=lambda w: (-len(w), w))[:3]) for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([*batch.columns, pa.array(keys, pa.string())], names=["text", "y", "key"])
-
-    # texts with the same three longest words are taken for copies, which would pass for so many proofs
-    rows = saved(rows.mapInArrow(marked, "text string, y int, key string").groupBy("key").agg(F.max(F.struct("y", "text")).alias("row")).select("row.text", "row.y"), "labelled")
+    rows = without_copies(rows)
     rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     sums = {r.y: (r.n, r.words) for r in rows.groupBy("y").agg(F.count("*").alias("n"), F.sum(F.size(F.split("text", r"\s+"))).alias("words")).collect()}
     (toxic, _), (clear, clear_words) = sums.get(1, (0, 0)), sums.get(0, (0, 0))
@@ -278,7 +320,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 here: Counter = Counter()
                 for raw, n in Counter((text or "").split()).items():
                     word = bare(raw)
-                    if 3 <= len(word) <= 40:
+                    if word:
                         here[f"={word}"] += n
                         for k in (4, 5, 6):
                             if len(word) > k:
@@ -325,18 +367,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.record_batch([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["word", "n"])
 
     # words of clean rows that are near a term: no misspellings of it
-    clean = frozenset(r.word for r in rows.mapInArrow(seen, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(100_000).collect())
+    clean = frozenset(r.word for r in rows.mapInArrow(seen, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(max_clean).collect())
     scorer = Scorer(terms, exact, clean, rates)
     second = spark.sparkContext.broadcast(scorer)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([second.value.features(n, f) for n, f in second.value.matches(batch.column(0))]).reshape(-1, 2)
-            yield pa.record_batch([pa.array(x[:, 0].copy()), pa.array(x[:, 1].copy()), batch.column(1)], names=["x", "q", "y"])
+            x = np.array([second.value.features(n, f) for n, f in second.value.matches(batch.column(0))]).reshape(-1, len(PRIOR) - 1)
+            yield pa.record_batch([*(pa.array(c.copy()) for c in x.T), batch.column(1)], names=["x", "q", "n", "y"])
 
-    points = np.array([(r.x, r.q, r.y) for r in rows.mapInArrow(measure, "x double, q double, y int").collect()]).reshape(-1, 3)  # max_rows at most
+    points = np.array([(r.x, r.q, r.n, r.y) for r in rows.mapInArrow(measure, "x double, q double, n double, y int").collect()]).reshape(-1, len(PRIOR))  # max_rows at most
     points = points[np.lexsort(points.T)]
-    return Model(scorer, fitted(points[:, :2], points[:, 2]))
+    return Model(scorer, fitted(points[:, :-1], points[:, -1]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
