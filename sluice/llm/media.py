@@ -1,10 +1,11 @@
 """Cropped and edited copies of images by local descriptors.
 
 Corners are found at several scales; each gets its orientation from the centroid of
-its patch and 128 bits from brightness tests turned by it. Descriptors within three
-bits agree wholly on one of four 32-bit blocks, so four tables keyed by block and
-value bring them together. Matches of two images vote for the turn, scale and shift
-that would make one of the other; enough votes for one of them link the images.
+its patch and 128 bits from brightness tests turned by it. A corner alone says little: the corners of
+any two boxes look alike. So corners are joined with their nearest ones to pairs, and two Hamming tables, each keyed by
+one half of both descriptors, bring together equal pairs and those whose differing bits leave a half of both
+untouched. Each such meeting votes for the turn, scale and shift that would make one image of the other; enough
+votes for one of them link the images.
 """
 
 from __future__ import annotations
@@ -12,18 +13,20 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import release, saved
+from sluice.llm.common import discard, release, saved
 from sluice.llm.simhash import components
 
-SCALES = (1.0, 0.7, 0.5)
-REACH, TURNS, BLOCKS, APART = 7, 32, 4, 3
+#: A fourth of an octave apart.
+SCALES = tuple(2 ** (-i / 4) for i in range(5))
+REACH, TURNS = 7, 32
+#: So many votes link images, and so many for a corner of the image with fewer corners.
+VOTES, SHARE = 2, 0.08
 _rng = np.random.default_rng(7)
 #: 128 pairs of points within REACH of the corner, turned to each of TURNS orientations.
 _points = np.clip(_rng.normal(0, REACH / 2.2, (128, 2, 2)), -REACH + 2, REACH - 2)
@@ -102,201 +105,198 @@ def descriptors(gray: np.ndarray) -> list[tuple[float, float, int, float, int, i
     return out
 
 
-def corners(images: DataFrame, id_col: str, data_col: str) -> DataFrame:
-    """id, whole (MD5 of the file), x, y, turn, scale, d0, d1 of all corners of all images; an image without any has a row without them."""
+NEIGHBOURS, REACHED = 2, 255
+
+
+def doublets(found: list[tuple[float, float, int, float, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and places of an image's corner pairs: each corner with its nearest ones of the same scale (ties too), in each Hamming table.
+
+    A key has the table's number and what both descriptors have in the table's half, the lesser first. A
+    place has the first corner's x and y (half pixels of the whole image), the offset of the second (half pixels of its scale), the
+    first one's turn and its scale's number.
+    """
+    if len(found) < 2:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x, y, turn, scale, d0, d1 = (np.array(c) for c in zip(*found, strict=True))
+    pairs = []
+    for s in np.unique(scale):
+        here = np.flatnonzero(scale == s)
+        px, py, k = x[here] * s, y[here] * s, min(NEIGHBOURS, len(here) - 1)
+        for at in range(0, len(here) if k else 0, 512):
+            far = (px[at : at + 512, None] - px) ** 2 + (py[at : at + 512, None] - py) ** 2
+            far[np.arange(len(far)), np.arange(at, at + len(far))] = np.inf
+            i, j = np.nonzero(far <= np.minimum(np.partition(far, k - 1, axis=1)[:, k - 1 : k] + 1e-6, REACHED**2))
+            i, j = here[i + at], here[j]
+            pairs.append(np.stack([np.minimum(i, j), np.maximum(i, j)], 1))
+    i, j = np.unique(np.concatenate(pairs), axis=0).T if pairs else np.zeros((2, 0), np.int64)
+    level = np.array([SCALES.index(s) for s in scale.tolist()])
+    keys, places = [], []
+    for table, half in enumerate((d0, d1)):
+        swap = half[i] > half[j]
+        first, second = np.where(swap, j, i), np.where(swap, i, j)
+        same = half[i] == half[j]  # either may come first
+        first, second = np.r_[first, second[same]], np.r_[second, first[same]]
+        u, v = half[first].view(np.uint64), half[second].view(np.uint64)
+        key = (u ^ (u >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(table)
+        key = (key ^ (key >> np.uint64(32)) ^ v) * np.uint64(0x94D049BB133111EB)
+        keys.append(((key ^ (key >> np.uint64(31)))).view(np.int64))
+        off = [np.rint(2 * (c[second] - c[first]) * scale[first]).astype(np.int64) + 512 for c in (x, y)]
+        spot = [np.rint(2 * c[first]).astype(np.int64) & 0xFFFF for c in (x, y)]
+        places.append(spot[0] << 44 | spot[1] << 28 | off[0] << 18 | off[1] << 8 | turn[first] << 3 | level[first])
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def described(images: DataFrame, id_col: str, data_col: str) -> DataFrame:
+    """id, whole (MD5 of the file), n_corners, keys and places of the corner pairs of all images."""
     kind = images.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
-            row, out, whole = [], [], []
-            for i, data in enumerate(batch.column(1).to_pylist()):
-                gray = gray_of(data)
-                whole.append(hashlib.md5(data or b"").hexdigest())
-                found = descriptors(gray) if gray is not None else []
-                row += [i] * max(1, len(found))
-                out += found or [(None,) * 6]
-            if row:
-                columns = list(zip(*out, strict=True))
-                types = [pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.int64(), pa.int64()]
-                yield pa.record_batch([batch.column(0).take(pa.array(row, pa.int64())), pa.array([whole[i] for i in row]), *map(pa.array, columns, types)], names=["id", "whole", "x", "y", "turn", "scale", "d0", "d1"])
-
-    return images.select(id_col, data_col).mapInArrow(run, f"id {kind}, whole string, x double, y double, turn int, scale double, d0 long, d1 long")
-
-
-ALL_PAIRS, CHUNK, SHIFT = 32, 1 << 20, 1 << 22
-#: The 16-bit lanes outside a table's block, and pairs of them: of six lanes three at least agree wholly within three bits, and any three hold one of these pairs.
-OTHERS = np.array([[lane for lane in range(8) if lane // 2 != t] for t in range(BLOCKS)])
-LANES = ((0, 1), (0, 2), (1, 2), (3, 4), (3, 5), (4, 5))
-
-
-def runs(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each of the sizes, one after the other."""
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-
-
-def all_pairs(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """i, j of all pairs of rows with one group, in parts of about CHUNK; equal groups lie together."""
-    at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.arange(0)
-    size = np.diff(np.r_[at, len(group)])
-    left = np.repeat(at + size, size) - np.arange(len(group))
-    i, k, held, n = np.flatnonzero(left > 1), 1, [], 0
-    while len(i):
-        held.append((i, i + k))
-        n, k = n + len(i), k + 1
-        i = i[left[i] > k]
-        if n >= CHUNK or not len(i):
-            yield np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
-            held, n = [], 0
-
-
-def near(group: np.ndarray, table: np.ndarray, d0: np.ndarray, d1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """i, j of all pairs of descriptors with one group within APART bits, each once. A group has one table and one value of its block.
-
-    Groups of more than ALL_PAIRS are parted by pairs of the other lanes, which leaves no pair out.
-    """
+            for at in range(0, batch.num_rows, 256):
+                some, out = batch.slice(at, 256), []
+                for data in some.column(1).to_pylist():
+                    gray = gray_of(data)
+                    found = descriptors(gray) if gray is not None else []
+                    out.append((hashlib.md5(data or b"").hexdigest(), len(found), *doublets(found)))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True)]
+                yield pa.record_batch([some.column(0), *columns], names=["id", "whole", "n_corners", "keys", "places"])
+
+    return images.select(id_col, data_col).mapInArrow(run, f"id {kind}, whole string, n_corners long, keys array<long>, places array<long>")
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """x, y of the first corner, offset of the second (both in pixels of the whole image), turn and scale."""
+    scale = np.array(SCALES)[place & 7]
+    x, y = (place >> 44 & 0xFFFF) / 2, (place >> 28 & 0xFFFF) / 2
+    return x, y, ((place >> 18 & 1023) - 512) / 2 / scale, ((place >> 8 & 1023) - 512) / 2 / scale, place >> 3 & 31, scale
+
+
+def moves(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Turn, scale and shift (quarter pixels) that make the first corner of p that of q, one row each; and whether the second corners agree."""
+    x, y, dx, dy, turn, scale = unpacked(p)
+    x2, y2, dx2, dy2, turn2, scale2 = unpacked(q)
+    turn, ratio = (turn2 - turn) % TURNS, scale / scale2
+    c, s = ratio * np.cos(turn * 2 * np.pi / TURNS), ratio * np.sin(turn * 2 * np.pi / TURNS)
+    off = np.hypot(c * dx - s * dy - dx2, s * dx + c * dy - dy2)
+    rows = np.stack([turn, np.rint(4 * np.log2(ratio)).astype(np.int64), np.rint(4 * (x2 - c * x + s * y)).astype(np.int64), np.rint(4 * (y2 - s * x - c * y)).astype(np.int64)])
+    return rows, off <= np.maximum(4, 0.3 * np.hypot(dx2, dy2))
 
-    def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return np.bitwise_count((d0[i] ^ d0[j]).view(np.uint64)) + np.bitwise_count((d1[i] ^ d1[j]).view(np.uint64)) <= APART
-
-    _, code, size = np.unique(group, return_inverse=True, return_counts=True)
-    small, large = np.flatnonzero(size[code] <= ALL_PAIRS), np.flatnonzero(size[code] > ALL_PAIRS)
-    for i, j in all_pairs(code[small]):
-        keep = close(small[i], small[j])
-        yield small[i[keep]], small[j[keep]]
-    lanes = np.stack([(d[large] >> 48 - 16 * lane) & 0xFFFF for d in (d0, d1) for lane in range(4)], 1)
-    lanes = np.take_along_axis(lanes, OTHERS[table[large]], 1)
-    values = [lanes[:, u] << 16 | lanes[:, v] for u, v in LANES]
-    for n, value in enumerate(values):
-        order = np.lexsort((value, code[large]))
-        part = np.cumsum(np.r_[True, (np.diff(code[large][order]) != 0) | (np.diff(value[order]) != 0)]) if len(order) else order
-        for i, j in all_pairs(part):
-            i, j = order[i], order[j]
-            keep = close(large[i], large[j])
-            i, j = i[keep], j[keep]
-            for earlier in values[:n]:
-                keep = earlier[i] != earlier[j]
-                i, j = i[keep], j[keep]
-            yield large[i], large[j]
-
-
-def paired(points: DataFrame, votes_of: int) -> DataFrame:
-    """a, b and how many corners agree on one turn, scale and shift, for pairs of images that a table brings together; votes_of at least.
-
-    Each table compares all corners of a shard with each other, equal descriptors as one,
-    so a pair that agrees on several blocks counts in the first of their tables only.
+
+def agreeing(votes: DataFrame, corners: DataFrame, least: int, share: float) -> DataFrame:
+    """a, b of the pairs of images for which enough corner pairs of a agree on one turn, scale and shift; votes has a, b, pa, pb (a before b).
+
+    Enough are least, and share by the corners of the image with fewer: one box that two whole pictures have in common is
+    not enough, though as many corners may be all that a small part of a picture has. corners has id, n_corners.
     """
-    block = lambda i: F.shiftright(F.col(f"d{i // 2}"), 32 * (1 - i % 2)).bitwiseAND(0xFFFFFFFF)
-    # place has x and y in eighths, the scale's number and the turn, in one integer; keys have a table's number and a block's value
-    place = F.shiftleft(F.rint(F.col("x") * 8).cast("long"), 40) + F.shiftleft(F.rint(F.col("y") * 8).cast("long"), 16) + F.array_position(F.array(*map(F.lit, SCALES)), F.col("scale")) * TURNS + F.col("turn")
-    keys = F.array(*(F.shiftleft(F.lit(i).cast("long"), 32) + block(i) for i in range(BLOCKS)))
-    tables = points.select("id", place.alias("place"), "d0", "d1", F.explode(keys).alias("key"))
-    kind = points.schema["id"].dataType.simpleString()
+    kind = votes.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def met(held: pa.Table) -> Iterator[pa.RecordBatch]:
-            key, d0, d1 = (held.column(n).to_numpy() for n in ("key", "d0", "d1"))
-            at = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (d0[1:] != d0[:-1]) | (d1[1:] != d1[:-1])])
-            size = np.diff(np.r_[at, held.num_rows])
-            key, d0, d1 = key[at], d0[at], d1[at]
-            code = np.unique(held.column("id").to_numpy(), return_inverse=True)[1]
-            same = np.flatnonzero(size > 1)
-            for p, q in chain([(same, same)], near(key, key >> 32, d0, d1)):
-                new = np.ones(len(p), bool)  # a pair counts in the first table that brings it together
-                for t, d in enumerate((d0 >> 32, d0 & 0xFFFFFFFF, d1 >> 32)):
-                    new &= (d[p] != d[q]) | (key[p] >> 32 <= t)
-                p, q = p[new], q[new]
-                # each corner of p meets all of q: one row of these for each corner of p, in parts of about CHUNK pairs
-                row = np.repeat(at[p], size[p]) + runs(size[p])
-                other = np.repeat(q, size[p])
-                done = np.cumsum(size[other]) // CHUNK
-                for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(done)) + 1):
-                    n = size[other[part]]
-                    i, j = np.repeat(row[part], n), np.repeat(at[other[part]], n) + runs(n)
-                    keep = (code[i] != code[j]) & ((np.repeat(p, size[p])[np.repeat(part, n)] != np.repeat(other[part], n)) | (i < j))
-                    if keep.any():
-                        yield moves(held, code, i[keep], j[keep])
-
-        def moves(held: pa.Table, code: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
-            place = held.column("place").to_numpy()
-            x, y, turns, scale = (place >> 40) / 8, (place >> 16 & 0xFFFFFF) / 8, place % TURNS, np.array(SCALES)[(place & 0xFFFF) // TURNS - 1]
-            swap = code[i] > code[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            turn = (turns[j] - turns[i]) % TURNS
-            ratio = scale[i] / scale[j]
-            angle = turn * 2 * np.pi / TURNS
-            tx = x[j] - ratio * (np.cos(angle) * x[i] - np.sin(angle) * y[i])
-            ty = y[j] - ratio * (np.sin(angle) * x[i] + np.cos(angle) * y[i])
-            ids = held.column("id").combine_chunks()
-            move = np.rint(tx * 4).astype(np.int64) + SHIFT << 40 | np.rint(ty * 4).astype(np.int64) + SHIFT << 16 | np.rint(2 * np.log2(ratio)).astype(np.int64) + 64 << 8 | turn
-            return pa.record_batch([ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(move)], names=["a", "b", "move"])
-
-        held = None
-        for batch in batches:
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new])
-            key = held.column("key").to_numpy()
-            if not len(key):
-                continue
-            cut = int(np.flatnonzero(np.r_[True, key[1:] != key[:-1]])[-1])
-            if cut:
-                yield from met(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
-            yield from met(held)
-
-    dealt = tables.repartition("key").sortWithinPartitions("key", "d0", "d1", "id")
-    found = dealt.mapInArrow(run, f"a {kind}, b {kind}, move long").withColumn("pair", F.xxhash64("a", "b"))
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted(held: pa.Table) -> pa.RecordBatch:
-            pair, move = held.column("pair").to_numpy(), held.column("move").to_numpy()
+            pair, p, q = (held.column(c).to_numpy() for c in ("pair", "pa", "pb"))
             at = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
             of, best = np.repeat(np.arange(len(at)), np.diff(np.r_[at, len(pair)])), np.zeros(len(at), np.int64)
+            move, right = moves(p, q)
             # votes are counted in bins of four grids, so that no bound between bins parts votes that agree
             for dx, dy in ((0, 0), (0, 16), (16, 0), (16, 16)):
-                u, v = ((move >> 40) + dx) // 32, ((move >> 16 & 0xFFFFFF) + dy) // 32
-                rows = np.stack([of, move & 0xFFFF, u, v])
-                order = np.lexsort(rows)
-                first = np.flatnonzero(np.r_[True, (np.diff(rows[:, order]) != 0).any(0)])
-                np.maximum.at(best, of[order][first], np.diff(np.r_[first, len(order)]))
-            keep = np.flatnonzero(best >= votes_of)
-            some = held.take(pa.array(at[keep]))
-            return pa.record_batch([some.column("a").combine_chunks(), some.column("b").combine_chunks(), pa.array(best[keep])], names=["a", "b", "n"])
-
-        held = None
-        for batch in batches:
-            new = pa.Table.from_batches([batch])
-            held = new if held is None else pa.concat_tables([held, new])
-            pair = held.column("pair").to_numpy()
-            if not len(pair):
-                continue
-            cut = int(np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])[-1])
-            if cut:
-                yield counted(held.slice(0, cut))
-                held = held.slice(cut)
-        if held is not None and held.num_rows:
+                rows = np.stack([p, (move[3] + dy) // 32, (move[2] + dx) // 32, move[1], move[0], of])[:, right]
+                rows = rows[:, np.lexsort(rows)]
+                if not rows.shape[1]:
+                    continue
+                new = np.r_[True, (np.diff(rows) != 0).any(0)]  # a corner pair that both tables found counts once
+                rows = rows[:, new]
+                first = np.flatnonzero(np.r_[True, (np.diff(rows[1:]) != 0).any(0)])
+                np.maximum.at(best, rows[5][first], np.diff(np.r_[first, rows.shape[1]]))
+            some = held.take(pa.array(at[best >= least]))
+            return pa.record_batch([some.column("a").combine_chunks(), some.column("b").combine_chunks(), pa.array(best[best >= least])], names=["a", "b", "n"])
+
+        for held in whole_groups(batches, "pair"):
             yield counted(held)
 
-    return found.repartition("pair").sortWithinPartitions("pair", "a", "b").mapInArrow(agree, f"a {kind}, b {kind}, n long")
+    dealt = votes.select("a", "b", "pa", "pb", F.xxhash64("a", "b").alias("pair")).repartition("pair").sortWithinPartitions("pair", "a", "b")
+    found = dealt.mapInArrow(run, f"a {kind}, b {kind}, n long")
+    for c in ("a", "b"):
+        found = found.join(corners.select(F.col("id").alias(c), F.col("n_corners").alias(f"corners_{c}")), c)
+    return found.where(F.col("n") >= F.least("corners_a", "corners_b") * share).select("a", "b")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Sorted batches as tables of whole groups of rows with one key."""
+    held = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        held = new if held is None else pa.concat_tables([held, new])
+        values = held.column(key).to_numpy()
+        if not len(values):
+            continue
+        cut = int(np.flatnonzero(np.r_[True, values[1:] != values[:-1]])[-1])
+        if cut:
+            yield held.slice(0, cut)
+            held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
 
 
-def copies(images: DataFrame, id_col: str = "image_id", data_col: str = "image", votes: int = 4) -> DataFrame:
-    """id_col, class_id (the least id that links reach), n_links (of the image's content with others) and n_corners.
+def linked(pairs: DataFrame, corners: DataFrame, votes: int, share: float) -> DataFrame:
+    """node, root of the images that chains of links join; pairs has id, key, place of the corner pairs of distinct images, corners their id and n_corners.
 
-    Equal files are one content, linked to others once. Anything but a binary PGM file,
-    nulls among it, has no corners and is linked to equal files only. An empty table gives no rows.
+    Images that share a key vote. At first all of a key's images vote with the least one only, which
+    joins most copies. Then, for keys whose images aren't all joined by that, all images that aren't joined vote with each other, so
+    no link between different classes is left out, and a class of any size costs little more than its rows.
+    """
+    kind = pairs.schema["id"].dataType.simpleString()
+    by_key = Window.partitionBy("key").orderBy("id", "place")
+    first = pairs.select("key", "id", "place", F.first("id").over(by_key).alias("a"), F.first("place").over(by_key).alias("pa"))
+    star = saved(first.where("id != a").select("key", "a", "pa", F.col("id").alias("b"), F.col("place").alias("pb")), "image-votes")
+    found = saved(agreeing(star, corners, votes, share), "image-links")
+    downward = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    roots = saved(components(downward(found)), "image-roots")
+
+    def rooted(df: DataFrame, column: str) -> DataFrame:
+        of = roots.select(F.col("node").alias("__node"), F.col("root").alias(f"root_{column}"))
+        return df.join(of, F.col(column) == F.col("__node"), "left").drop("__node").withColumn(f"root_{column}", F.coalesce(f"root_{column}", column))
+
+    open_ = rooted(rooted(star, "a"), "b").withColumn("apart", F.col("root_a") != F.col("root_b"))
+    keys = open_.groupBy("key").agg(F.count("*").alias("n"), F.max("apart").alias("apart")).where("apart and n > 1").select("key")
+    there = open_.join(keys, "key")
+    members = there.select("key", F.col("b").alias("id"), F.col("pb").alias("place"), F.col("root_b").alias("root"))
+
+    def all_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in whole_groups(batches, "key"):
+            key, root, place = (held.column(c).to_numpy() for c in ("key", "root", "place"))
+            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            ids = held.column("id").combine_chunks()
+            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
+                for i in range(a, b - 1):
+                    j = np.flatnonzero(root[i + 1 : b] != root[i]) + i + 1
+                    if len(j):
+                        n = np.full(len(j), i)
+                        yield pa.record_batch([ids.take(pa.array(n)), pa.array(place[n]), ids.take(pa.array(j)), pa.array(place[j])], names=["a", "pa", "b", "pb"])
+
+    dealt = members.select("key", "id", "place", F.xxhash64("root").alias("root")).repartition("key").sortWithinPartitions("key", "id", "place")
+    more = dealt.mapInArrow(all_apart, f"a {kind}, pa long, b {kind}, pb long")
+    rest = saved(agreeing(open_.where("apart").select("a", "pa", "b", "pb").unionByName(more), corners, votes, share), "image-links")
+    discard(star)
+    return components(downward(found.union(rest)))
+
+
+def copies(images: DataFrame, id_col: str = "image_id", data_col: str = "image", votes: int = VOTES, share: float = SHARE) -> DataFrame:
+    """id_col, class_id (the least id that links reach) and n_corners.
+
+    Images are linked if so many of their corner pairs agree on one turn, scale and shift: votes, and
+    share by the corners of the image with fewer. Equal files are one content.
+    Anything but a binary PGM file, nulls among it, has no corners and is linked to equal files only; rows with a
+    null id take part, but give a class its id only where it has no other. An empty table gives no rows.
     """
-    points = saved(corners(images, id_col, data_col), "corners")
-    whole = points.groupBy("whole").agg(F.min("id").alias("first"), F.count("*").alias("__n"))
-    first = saved(whole.select("whole", "first"), "contents")
-    distinct = points.where("d0 is not null").join(first, (points.whole == first.whole) & (F.col("id") == F.col("first"))).select("id", "x", "y", "turn", "scale", "d0", "d1")
-    edges = saved(paired(distinct, votes).select("a", "b"), "image-links")
-    roots = components(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    both = edges.union(edges.select("b", "a")).groupBy("a").agg(F.count("*").alias("n_links"))
-    classes = first.join(roots, F.col("first") == F.col("node"), "left").join(both, F.col("first") == F.col("a"), "left").select("whole", F.coalesce("root", "first").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    each = points.groupBy("id", "whole").agg(F.count("d0").alias("n_corners"))
-    return each.join(classes, "whole").select(F.col("id").alias(id_col), "class_id", "n_links", "n_corners")
+    rows = saved(described(images, id_col, data_col), "corners")
+    first = saved(rows.groupBy("whole").agg(F.min("id").alias("first")), "contents")
+    chief = rows.join(first.select("first"), F.col("id") == F.col("first"), "left_semi")
+    # a content is told by its least id; of several contents of one id the one with the least MD5 takes part for all of them
+    distinct = chief.join(chief.groupBy("id").agg(F.min("whole").alias("whole")), ["id", "whole"]).dropDuplicates(["id"])
+    pairs = distinct.select("id", F.explode(F.arrays_zip("keys", "places")).alias("p")).select("id", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
+    roots = linked(pairs, distinct.select("id", "n_corners"), votes, share)
+    classes = first.join(roots, F.col("first") == F.col("node"), "left").select(F.col("whole").alias("of"), F.coalesce("root", "first").alias("class_id"))
+    return rows.join(classes, F.col("whole") == F.col("of")).select(F.col("id").alias(id_col), "class_id", "n_corners")
 
 
 def rendered(vector: np.ndarray, size: int = 64) -> np.ndarray:
