@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import discard, release, saved
+from sluice.llm.mixing import small
 from sluice.llm.simhash import components
 
 #: A fourth of an octave apart.
@@ -237,45 +238,75 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield held
 
 
-def linked(pairs: DataFrame, corners: DataFrame, votes: int, share: float) -> DataFrame:
-    """node, root of the images that chains of links join; pairs has id, key, place of the corner pairs of distinct images, corners their id and n_corners.
+def pairs_within(group: np.ndarray, other: np.ndarray, chunk: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """i < j of all rows of one group (which lie together) that differ in other, about chunk at a time."""
+    at = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    held, n = [], 0
+    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(group)], strict=True):
+        for i in range(a, b - 1):
+            j = np.flatnonzero(other[i + 1 : b] != other[i]) + i + 1
+            if len(j):
+                held.append((np.full(len(j), i), j))
+                n += len(j)
+                if n >= chunk:
+                    yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                    held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def first_votes(pairs: DataFrame) -> DataFrame:
+    """key, a, pa, b, pb: the least of a key's images with each of its others; pairs has id, key, place of the corner pairs of distinct images."""
+    by_key = Window.partitionBy("key").orderBy("id", "place")
+    first = pairs.select("key", "id", "place", F.first("id").over(by_key).alias("a"), F.first("place").over(by_key).alias("pa"))
+    return saved(first.where("id != a").select("key", "a", "pa", F.col("id").alias("b"), F.col("place").alias("pb")), "image-votes")
+
+
+def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> DataFrame:
+    """node, root of the images that chains of links join; star is what first_votes gave, corners has id, n_corners.
 
     Images that share a key vote. At first all of a key's images vote with the least one only, which
-    joins most copies. Then, for keys whose images aren't all joined by that, all images that aren't joined vote with each other, so
-    no link between different classes is left out, and a class of any size costs little more than its rows.
+    joins most copies. Then images that aren't joined, but have keys in common, are brought together by two keys at once, since
+    a link needs two votes at least (so votes is 2 or more): each image has a row for every two of its keys whose images aren't all
+    joined, and just images with such a row in common vote, by all the keys that they share. So no link between different classes is left out, and neither
+    large classes nor corner pairs that many unlike pictures have cost much more than their rows.
     """
-    kind = pairs.schema["id"].dataType.simpleString()
-    by_key = Window.partitionBy("key").orderBy("id", "place")
-    first = pairs.select("key", "id", "place", F.first("id").over(by_key).alias("a"), F.first("place").over(by_key).alias("pa"))
-    star = saved(first.where("id != a").select("key", "a", "pa", F.col("id").alias("b"), F.col("place").alias("pb")), "image-votes")
+    if votes < 2:
+        raise ValueError("votes must be 2 or more")
+    kind = star.schema["a"].dataType.simpleString()
     found = saved(agreeing(star, corners, votes, share), "image-links")
     downward = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     roots = saved(components(downward(found)), "image-roots")
 
     def rooted(df: DataFrame, column: str) -> DataFrame:
-        of = roots.select(F.col("node").alias("__node"), F.col("root").alias(f"root_{column}"))
-        return df.join(of, F.col(column) == F.col("__node"), "left").drop("__node").withColumn(f"root_{column}", F.coalesce(f"root_{column}", column))
+        return df.join(small(roots.select(F.col("node").alias("__node"), F.col("root").alias(f"root_{column}"))), F.col(column) == F.col("__node"), "left").drop("__node").withColumn(f"root_{column}", F.coalesce(f"root_{column}", column))
 
     open_ = rooted(rooted(star, "a"), "b").withColumn("apart", F.col("root_a") != F.col("root_b"))
-    keys = open_.groupBy("key").agg(F.count("*").alias("n"), F.max("apart").alias("apart")).where("apart and n > 1").select("key")
+    keys = open_.groupBy("key").agg(F.max("apart").alias("apart")).where("apart").select("key")
     there = open_.join(keys, "key")
-    members = there.select("key", F.col("b").alias("id"), F.col("pb").alias("place"), F.col("root_b").alias("root"))
+    side = lambda x: there.select("key", F.col(x).alias("id"), F.col(f"p{x}").alias("place"), F.xxhash64(f"root_{x}").alias("root"))
+    members = side("b").unionByName(side("a").distinct())
+
+    def by_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in whole_groups(batches, "image"):
+            key, place, root = (held.column(c).to_numpy() for c in ("key", "place", "root"))
+            ids = held.column("id").combine_chunks()
+            for i, j in pairs_within(held.column("image").to_numpy(), place):
+                two = (key[i].view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) ^ (key[j].view(np.uint64) * np.uint64(0x94D049BB133111EB))
+                yield pa.record_batch([pa.array((two ^ (two >> np.uint64(31))).view(np.int64)), ids.take(pa.array(i)), pa.array(root[i]), pa.array(place[i]), pa.array(place[j])], names=["two", "id", "root", "p", "q"])
 
     def all_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in whole_groups(batches, "key"):
-            key, root, place = (held.column(c).to_numpy() for c in ("key", "root", "place"))
-            at = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for held in whole_groups(batches, "two"):
+            root, p, q = (held.column(c).to_numpy() for c in ("root", "p", "q"))
             ids = held.column("id").combine_chunks()
-            for a, b in zip(at.tolist(), [*at[1:].tolist(), len(key)], strict=True):
-                for i in range(a, b - 1):
-                    j = np.flatnonzero(root[i + 1 : b] != root[i]) + i + 1
-                    if len(j):
-                        n = np.full(len(j), i)
-                        yield pa.record_batch([ids.take(pa.array(n)), pa.array(place[n]), ids.take(pa.array(j)), pa.array(place[j])], names=["a", "pa", "b", "pb"])
-
-    dealt = members.select("key", "id", "place", F.xxhash64("root").alias("root")).repartition("key").sortWithinPartitions("key", "id", "place")
-    more = dealt.mapInArrow(all_apart, f"a {kind}, pa long, b {kind}, pb long")
-    rest = saved(agreeing(open_.where("apart").select("a", "pa", "b", "pb").unionByName(more), corners, votes, share), "image-links")
+            for i, j in pairs_within(held.column("two").to_numpy(), root):
+                both = [ids.take(pa.array(np.r_[x, x])) for x in (i, j)]
+                yield pa.record_batch([both[0], pa.array(np.r_[p[i], q[i]]), both[1], pa.array(np.r_[p[j], q[j]])], names=["a", "pa", "b", "pb"])
+
+    grouped = members.withColumn("image", F.xxhash64("id")).repartition("image").sortWithinPartitions("image", "key", "place")
+    twos = grouped.select("image", "id", "key", "place", "root").mapInArrow(by_two, f"two long, id {kind}, root long, p long, q long")
+    more = twos.repartition("two").sortWithinPartitions("two", "id", "p", "q").mapInArrow(all_apart, f"a {kind}, pa long, b {kind}, pb long")
+    rest = saved(agreeing(more, corners, votes, share), "image-links")
     discard(star)
     return components(downward(found.union(rest)))
 
@@ -286,15 +317,22 @@ def copies(images: DataFrame, id_col: str = "image_id", data_col: str = "image",
     Images are linked if so many of their corner pairs agree on one turn, scale and shift: votes, and
     share by the corners of the image with fewer. Equal files are one content.
     Anything but a binary PGM file, nulls among it, has no corners and is linked to equal files only; rows with a
-    null id take part, but give a class its id only where it has no other. An empty table gives no rows.
+    null id are of the class of equal files that have one; without such a file their class_id is null. An empty table gives no rows.
     """
-    rows = saved(described(images, id_col, data_col), "corners")
+    found = saved(described(images, id_col, data_col), "corners")
+    rows = saved(found.select("id", "whole", "n_corners"), "images")
+    each = rows.where("id is not null").groupBy("id", "whole").agg(F.count("*").alias("n"), F.min("n_corners").alias("n_corners"))
     first = saved(rows.groupBy("whole").agg(F.min("id").alias("first")), "contents")
-    chief = rows.join(first.select("first"), F.col("id") == F.col("first"), "left_semi")
     # a content is told by its least id; of several contents of one id the one with the least MD5 takes part for all of them
-    distinct = chief.join(chief.groupBy("id").agg(F.min("whole").alias("whole")), ["id", "whole"]).dropDuplicates(["id"])
+    chief = first.groupBy(F.col("first").alias("id")).agg(F.min("whole").alias("whole"))
+    others = saved(each.join(chief, ["id", "whole"], "left_anti").select("id", "whole"), "copies")
+    distinct = found.where("id is not null").join(small(others), ["id", "whole"], "left_anti")
+    if not each.where("n > 1").isEmpty():
+        distinct = distinct.dropDuplicates(["id"])
     pairs = distinct.select("id", F.explode(F.arrays_zip("keys", "places")).alias("p")).select("id", F.col("p.keys").alias("key"), F.col("p.places").alias("place"))
-    roots = linked(pairs, distinct.select("id", "n_corners"), votes, share)
+    star = first_votes(pairs)
+    discard(found)
+    roots = linked(star, each.join(chief, ["id", "whole"], "left_semi").select("id", "n_corners"), votes, share)
     classes = first.join(roots, F.col("first") == F.col("node"), "left").select(F.col("whole").alias("of"), F.coalesce("root", "first").alias("class_id"))
     return rows.join(classes, F.col("whole") == F.col("of")).select(F.col("id").alias(id_col), "class_id", "n_corners")
 

@@ -102,7 +102,7 @@ def test_links_match_all_pairs(spark):
         pairs.append((i, 77, int(rng.integers(0, 200) << 44 | rng.integers(0, 200) << 28 | 530 << 18 | 540 << 8)))
     want = brute(pairs, corners, 2, 0.08)
     assert 15 < len(set(want.values())) < 55
-    roots = media.linked(spark.createDataFrame(pairs, "id long, key long, place long"), spark.createDataFrame(list(corners.items()), "id long, n_corners long"), 2, 0.08)
+    roots = media.linked(media.first_votes(spark.createDataFrame(pairs, "id long, key long, place long")), spark.createDataFrame(list(corners.items()), "id long, n_corners long"), 2, 0.08)
     assert {r.node: r.root for r in roots.collect() if r.node != r.root} == {i: r for i, r in want.items() if i != r}
 
 
