@@ -112,7 +112,7 @@ NEIGHBOURS, REACHED = 2, 255
 def doublets(found: list[tuple[float, float, int, float, int, int]]) -> tuple[np.ndarray, np.ndarray]:
     """Keys and places of an image's corner pairs: each corner with its nearest ones of the same scale (ties too), in each Hamming table.
 
-    A key has the table's number and what both descriptors have in the table's half, the lesser first. A
+    A key has the table's number, what both descriptors have in the table's half, the lesser first, and their distance (half octaves). A
     place has the first corner's x and y (half pixels of the whole image), the offset of the second (half pixels of its scale), the
     first one's turn and its scale's number.
     """
@@ -139,7 +139,8 @@ def doublets(found: list[tuple[float, float, int, float, int, int]]) -> tuple[np
         first, second = np.r_[first, second[same]], np.r_[second, first[same]]
         u, v = half[first].view(np.uint64), half[second].view(np.uint64)
         key = (u ^ (u >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(table)
-        key = (key ^ (key >> np.uint64(32)) ^ v) * np.uint64(0x94D049BB133111EB)
+        span = np.rint(2 * np.log2(np.maximum(1, np.hypot(x[second] - x[first], y[second] - y[first]) * scale[first]))).astype(np.uint64)
+        key = (key ^ (key >> np.uint64(32)) ^ v ^ (span << np.uint64(56))) * np.uint64(0x94D049BB133111EB)
         keys.append(((key ^ (key >> np.uint64(31)))).view(np.int64))
         off = [np.rint(2 * (c[second] - c[first]) * scale[first]).astype(np.int64) + 512 for c in (x, y)]
         spot = [np.rint(2 * c[first]).astype(np.int64) & 0xFFFF for c in (x, y)]
