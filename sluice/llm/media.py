@@ -257,10 +257,10 @@ def pairs_within(group: np.ndarray, other: np.ndarray, chunk: int = 1 << 18) ->
 
 
 def first_votes(pairs: DataFrame) -> DataFrame:
-    """key, a, pa, b, pb: the least of a key's images with each of its others; pairs has id, key, place of the corner pairs of distinct images."""
+    """key, a, pa, b, pb: the least of a key's images with each of its others, and with itself for its other places; pairs has id, key, place of the corner pairs of distinct images."""
     by_key = Window.partitionBy("key").orderBy("id", "place")
     first = pairs.select("key", "id", "place", F.first("id").over(by_key).alias("a"), F.first("place").over(by_key).alias("pa"))
-    return saved(first.where("id != a").select("key", "a", "pa", F.col("id").alias("b"), F.col("place").alias("pb")), "image-votes")
+    return saved(first.where("id != a or place != pa").select("key", "a", "pa", F.col("id").alias("b"), F.col("place").alias("pb")), "image-votes")
 
 
 def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> DataFrame:
@@ -275,7 +275,7 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
     if votes < 2:
         raise ValueError("votes must be 2 or more")
     kind = star.schema["a"].dataType.simpleString()
-    found = saved(agreeing(star, corners, votes, share), "image-links")
+    found = saved(agreeing(star.where("a != b"), corners, votes, share), "image-links")
     downward = lambda e: e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     roots = saved(components(downward(found)), "image-roots")
 

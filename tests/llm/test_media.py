@@ -106,6 +106,29 @@ def test_links_match_all_pairs(spark):
     assert {r.node: r.root for r in roots.collect() if r.node != r.root} == {i: r for i, r in want.items() if i != r}
 
 
+def test_turned_links_match_all_pairs(spark):
+    """Turned and scaled copies, a key that a picture has twice, and turns that don't agree: the same classes as by all pairs."""
+    rng = np.random.default_rng(13)
+    pairs, corners = [], {}
+    for i in range(80):
+        corners[i] = int(rng.integers(2, 40))
+        group, quarter, level = i % 11, i % 4, int(rng.integers(0, 2)) * 4 if i % 5 else int(rng.integers(0, 5))
+        for key in rng.choice(20, 6, replace=False).tolist():
+            own = np.random.default_rng(100 * group + key)
+            for spot in own.integers(20, 200, (1 + (key < 4), 2)).tolist():
+                turn = 3 + 8 * quarter if rng.random() < 0.9 else int(rng.integers(0, 32))
+                c, s = [(1, 0), (0, 1), (-1, 0), (0, -1)][quarter]
+                x, y, scale = c * spot[0] - s * spot[1], s * spot[0] + c * spot[1], media.SCALES[level]
+                x, y, dx, dy = (int(round(v)) for v in (400 + x / scale, 400 + y / scale, 512 + 18 * c - 28 * s, 512 + 18 * s + 28 * c))
+                # an unlike picture may have a key too, as any two boxes have
+                pairs.append((i, 1000 * group + key if rng.random() < 0.8 else key, x << 44 | y << 28 | dx << 18 | dy << 8 | turn % 32 << 3 | level))
+    want = brute(pairs, corners, 2, 0.08)
+    assert 15 < len(set(want.values())) < 70
+    votes = media.first_votes(spark.createDataFrame(pairs, "id long, key long, place long"))
+    roots = media.linked(votes, spark.createDataFrame(list(corners.items()), "id long, n_corners long"), 2, 0.08)
+    assert {r.node: r.root for r in roots.collect() if r.node != r.root} == {i: r for i, r in want.items() if i != r}
+
+
 def test_doublets_of_many_corners():
     rng = np.random.default_rng(12)
     found = [(float(x), float(y), 0, 1.0, int(a), int(b)) for x, y, a, b in zip(rng.permutation(3000)[:1200], rng.permutation(3000)[:1200], rng.integers(0, 2**62, 1200), rng.integers(0, 2**62, 1200))]
