@@ -256,6 +256,22 @@ def pairs_within(group: np.ndarray, other: np.ndarray, chunk: int = 1 << 18) ->
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
+def turnings(held: pa.Table) -> np.ndarray:
+    """For each row a set, as bits, of the turns and scales that would bring its place to one of the key's places whose image isn't joined with its own.
+
+    ways has the turns and scales of the key's places, lows and highs the least and greatest root of the images of each.
+    """
+    place, root, ways = held.column("place").to_numpy(), held.column("root").to_numpy(), held.column("ways").combine_chunks()
+    of = np.repeat(np.arange(len(place)), np.diff(ways.offsets.to_numpy()))
+    way, low, high = (held.column(c).combine_chunks().flatten().to_numpy() for c in ("ways", "lows", "highs"))
+    apart = (low != root[of]) | (high != root[of])
+    of, way = of[apart], way[apart]
+    bit = ((way >> 3) - (place[of] >> 3 & 31) & 31) * 9 + (way & 7) - (place[of] & 7) + 4
+    sets = np.zeros((len(place), 5), np.uint64)  # 32 turns by 9 differences of scale
+    np.bitwise_or.at(sets, (of, bit >> 6), np.uint64(1) << (bit & 63).astype(np.uint64))
+    return sets
+
+
 def first_votes(pairs: DataFrame) -> DataFrame:
     """key, a, pa, b, pb: the least of a key's images with each of its others, and with itself for its other places; pairs has id, key, place of the corner pairs of distinct images."""
     by_key = Window.partitionBy("key").orderBy("id", "place")
@@ -268,8 +284,9 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
 
     Images that share a key vote. At first all of a key's images vote with the least one only, which
     joins most copies. Then images that aren't joined, but have keys in common, are brought together by two keys at once, since
-    a link needs two votes at least (so votes is 2 or more): each image has a row for every two of its keys whose images aren't all
-    joined, and just images with such a row in common vote, by all the keys that they share. So no link between different classes is left out, and neither
+    a link needs two votes at least (so votes is 2 or more): each image has a row for every two of its keys that one turn and scale could bring to
+    images it isn't joined with, as votes that agree have both in common; and just images with such a row in common (two keys and
+    how they are turned and scaled to each other) vote. So no link between different classes is left out, and neither
     large classes nor corner pairs that many unlike pictures have cost much more than their rows.
     """
     if votes < 2:
@@ -287,14 +304,25 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
     there = open_.join(keys, "key")
     side = lambda x: there.select("key", F.col(x).alias("id"), F.col(f"p{x}").alias("place"), F.xxhash64(f"root_{x}").alias("root"))
     members = side("b").unionByName(side("a").distinct())
+    # a place's low byte has its turn and scale: so few are there for a key of any size
+    kinds = members.groupBy("key", (F.col("place").bitwiseAND(255)).alias("way")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    kinds = kinds.groupBy("key").agg(F.collect_list("way").alias("ways"), F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
 
     def by_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in whole_groups(batches, "image"):
             key, place, root = (held.column(c).to_numpy() for c in ("key", "place", "root"))
-            ids = held.column("id").combine_chunks()
+            ids, open_to = held.column("id").combine_chunks(), turnings(held)
             for i, j in pairs_within(held.column("image").to_numpy(), place):
+                some = (open_to[i] & open_to[j]).any(1)
+                i, j = i[some], j[some]
+                swapped = key[i] == key[j]  # either may come first
+                i, j = np.r_[i, j[swapped]], np.r_[j, i[swapped]]
+                if not len(i):
+                    continue
+                way = ((place[j] >> 3) - (place[i] >> 3) & 31) << 4 | (place[j] & 7) - (place[i] & 7) + 4
                 two = (key[i].view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) ^ (key[j].view(np.uint64) * np.uint64(0x94D049BB133111EB))
-                yield pa.record_batch([pa.array((two ^ (two >> np.uint64(31))).view(np.int64)), ids.take(pa.array(i)), pa.array(root[i]), pa.array(place[i]), pa.array(place[j])], names=["two", "id", "root", "p", "q"])
+                two = (two ^ (two >> np.uint64(31)) ^ (way.astype(np.uint64) << np.uint64(55))) * np.uint64(0x9E3779B97F4A7C15)
+                yield pa.record_batch([pa.array((two ^ (two >> np.uint64(32))).view(np.int64)), ids.take(pa.array(i)), pa.array(root[i]), pa.array(place[i]), pa.array(place[j])], names=["two", "id", "root", "p", "q"])
 
     def all_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in whole_groups(batches, "two"):
@@ -304,8 +332,8 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
                 both = [ids.take(pa.array(np.r_[x, x])) for x in (i, j)]
                 yield pa.record_batch([both[0], pa.array(np.r_[p[i], q[i]]), both[1], pa.array(np.r_[p[j], q[j]])], names=["a", "pa", "b", "pb"])
 
-    grouped = members.withColumn("image", F.xxhash64("id")).repartition("image").sortWithinPartitions("image", "key", "place")
-    twos = grouped.select("image", "id", "key", "place", "root").mapInArrow(by_two, f"two long, id {kind}, root long, p long, q long")
+    grouped = members.join(kinds, "key").withColumn("image", F.xxhash64("id")).repartition("image").sortWithinPartitions("image", "key", "place")
+    twos = grouped.select("image", "id", "key", "place", "root", "ways", "lows", "highs").mapInArrow(by_two, f"two long, id {kind}, root long, p long, q long")
     more = twos.repartition("two").sortWithinPartitions("two", "id", "p", "q").mapInArrow(all_apart, f"a {kind}, pa long, b {kind}, pb long")
     rest = saved(agreeing(more, corners, votes, share), "image-links")
     discard(star)
