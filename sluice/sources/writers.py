@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.checks import require_columns, require_none, require_unique
 from sluice.operators.catalog import metadata
-from sluice.shared import put
+from sluice.shared import located, put
 
 
 def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | None = None) -> str:
@@ -56,3 +57,27 @@ def curve(df: DataFrame, path: str) -> None:
 def text(content: str, path: str, spark) -> None:
     """A small report as one text file."""
     spark.createDataFrame([(content.rstrip("\n"),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def checkpoint(spark: SparkSession, folder: str, step: int, files: dict[str, str], tables: dict[str, DataFrame] | None = None) -> str:
+    """Small files and tables as folder/checkpoint-<step>: made under another name, then renamed, so that it is there whole or not at all.
+
+    An older checkpoint of the step stays until the new one is whole. Names that begin
+    with a dot are left out by the listing, so what a stopped run leaves behind is no checkpoint.
+    """
+    part, to = f"{folder}/.checkpoint-{step}-{uuid.uuid4().hex}", f"{folder}/checkpoint-{step}"
+    fs, made = located(spark, part)
+    fs.mkdirs(made)
+    try:
+        for name, df in (tables or {}).items():
+            df.write.parquet(f"{part}/{name}")
+        for name, content in files.items():
+            put(spark, f"{part}/{name}", content)
+        _, at = located(spark, to)
+        fs.delete(at, True)
+        if not fs.rename(made, at):
+            raise OSError(f"{to} could not be written")
+    except BaseException:
+        fs.delete(made, True)
+        raise
+    return to

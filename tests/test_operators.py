@@ -485,3 +485,17 @@ def test_split_plan_is_small(spark):
 
     plan = select_split(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 10 and plan.count("MapInArrow") + plan.count("MapInPandas") == 0
+
+
+def test_checkpoint_is_whole_or_absent(spark, tmp_path):
+    root, needed = str(tmp_path), ["trainer.json", "model.json"]
+    made = writers.checkpoint(spark, root, 30, {n: "{}" for n in needed}, {"curve": spark.range(3)})
+    assert made == f"{root}/checkpoint-30" and spark.read.parquet(f"{made}/curve").count() == 3
+    writers.checkpoint(spark, root, 30, {"trainer.json": '{"step": 30}', "model.json": "{}"})
+    assert json.loads((tmp_path / "checkpoint-30" / "trainer.json").read_text()) == {"step": 30}
+    assert not (tmp_path / "checkpoint-30" / "curve").exists()
+    with pytest.raises(Exception):
+        writers.checkpoint(spark, root, 60, {"trainer.json": None, "model.json": "{}"})
+    assert [p.name for p in tmp_path.iterdir()] == ["checkpoint-30"]
+    found = monitor.checkpoints(readers.checkpoint_listing(spark, root), "folder", "file", needed)
+    assert [tuple(r) for r in found.collect()] == [(30, True)]
