@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import digests, media, mixing, packing, sharding, simhash, substrings, tokens, toxicity, warc
+from sluice.llm import alignment, digests, media, mixing, packing, ranked_search, secret_scan, sharding, simhash, substrings, tokens, toxicity, warc
 from sluice.llm.common import bounded_batches
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,9 +71,25 @@ def op10_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", "edited_sha256", text("digest").alias("fingerprint"), text("edited_digest").alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE]
+    of = lambda some: F.filter("spans", lambda s: s["kind"].isin(some))
+    base, counts = of(kinds), [F.size(of([k])).cast("long").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_sharding, op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests)}
+    return {f.__name__: f for f in (op1_toxicity, op2_media, op3_sharding, op4_simhash, op5_warc, op6_mixing, op7_token_files, op8_substrings, op9_packing, op10_digests, op11_secrets, op12_alignment, op13_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_sharding": sharding.ORACLE, "op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE, "op8_substrings": substrings.ORACLE}
+    return {"op3_sharding": sharding.ORACLE, "op5_warc": warc.ORACLE, "op6_mixing": mixing.ORACLE, "op8_substrings": substrings.ORACLE, "op11_secrets": secret_scan.ORACLE, "op13_search": ranked_search.ORACLE}
