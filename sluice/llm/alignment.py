@@ -78,7 +78,7 @@ class Both:
         self.a_bytes = [bytes(letters[c] for c in x) if all(c in letters for c in x) else x.encode() for x in names]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := re.fullmatch("<0x([0-9A-F]{2})>", x)) else x.replace("▁", " ").encode() for x in pieces]
-        self.apart = not any(re.search(r"[^\s▁][\s▁]", x) for x in pieces) and not any(re.search(rb"[^\s][ ]", x) for x in self.a_bytes)
+        self.apart = not any(re.search(r"[^\s▁]▁", x) for x in pieces) and not any(re.search(r"\S ", x.decode(errors="replace")) for x in self.a_bytes)
         self.a_size, self.b_size = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
         self.wide = max(len(names), len(pieces)) > 1 << 16
         self.forget()
@@ -111,7 +111,7 @@ class Both:
             a += [x.ids for x in self.a.encode_batch_fast([" " + w for w in some], add_special_tokens=False)]
             b += self.b.encode(some, num_threads=1)
         joined = lambda table, ids: b"".join([table[x] for x in ids])
-        exact = [(raw := b" " + w.encode()) == joined(self.a_bytes, x) == joined(self.b_bytes, y) and raw != b"" for w, x, y in zip(words, a, b, strict=True)]
+        exact = [(raw := b" " + w.encode()) == joined(self.a_bytes, x) == joined(self.b_bytes, y) for w, x, y in zip(words, a, b, strict=True)]
         return a, b, exact
 
     def places(self, words: list[str]) -> np.ndarray:

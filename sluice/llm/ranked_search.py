@@ -194,7 +194,7 @@ def build_shard(group: pa.Table, corpus: Corpus, cluster: int) -> pa.Table:
     cell = term * (n // cluster + 1) + at // cluster
     starts = np.flatnonzero(np.diff(cell, prepend=-1))
     most = np.maximum.reduceat(impact, starts) if len(starts) else impact
-    cells = lambda x: pa.array([x.tolist()])
+    cells = lambda x: pa.array([x.tolist()], pa.list_(pa.int64()))
     whole = np.maximum.reduceat(impact, np.flatnonzero(np.diff(term, prepend=-1))) if len(term) else impact
     columns = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(group["id"].chunks).take(pa.array(order))), cells(names), cells(whole)]
     columns += [pa.array([x.astype(kind).tobytes()]) for x, kind in ((term[starts], "<i4"), (at[starts] // cluster, "<i4"), (starts, "<i4"), (most, "<i8"), (at, "<i4"), (impact, "<i8"))]
