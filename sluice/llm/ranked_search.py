@@ -156,10 +156,11 @@ def counted(docs: DataFrame, vocabulary: dict[bytes, int], id_col: str, text_col
 def dealt(rows: DataFrame, n_docs: int, n_terms: int, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
     """rows with their shard: the leaf to which the fitted splits lead, and a part of it where more documents than ``shard`` go there.
 
-    The splits are fitted on ``sample`` documents, those of the least hashes; every document is dealt.
+    The splits are fitted on about ``sample`` documents, by a hash of their places, twice as many at most; every document is dealt.
     """
-    some = rows.select("terms", F.xxhash64("id", "terms", "tfs").alias("h")).orderBy("h").limit(sample).select("terms")
-    known = [np.array(r.terms, np.int64) for r in some.collect()]  # bounded by sample and vocabulary
+    chance = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.lit(1 << 30))
+    some = rows.select("terms", chance.alias("h")).where(F.col("h") < int((1 << 30) * min(1.0, sample / max(1, n_docs)))).select("terms")
+    known = [np.array(r.terms, np.int64) for r in some.limit(2 * sample).collect()]  # bounded by sample and vocabulary
     levels = max(0, min(math.ceil(math.log2(max(1, n_docs) / shard)), int(math.log2(max(1, len(known)) / 8))))
     splits = fitted(known, n_terms, levels)
 
