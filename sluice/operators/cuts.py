@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.checks import require_none
-from sluice.operators.ordering import folded, hash_bucket, ranked, seeded
+from sluice.operators.fits import lots
+from sluice.operators.ordering import hash_bucket, ranked, seeded
 
 
 def split_long(cuts: DataFrame, most: int, id_col: str = "id", length: str = "duration_ms") -> DataFrame:
@@ -25,14 +26,11 @@ def merge_short(cuts: DataFrame, least: int, target: int, id_col: str = "id", ch
 
     A channel's short cuts are gathered in order until they reach target, then anew; the
     last lot stays if it has least. A lot of one keeps its id, others are concat-<first id>-x<n>.
+    A channel of any size is several tasks' work (``fits.lots``).
     """
     base = cuts.select(F.col(id_col).alias("cut_id"), F.col(channel).alias("channel"), F.col(length).cast("long").alias("total_ms"), F.col(order).cast("long").alias("first_row"))
 
-    def step(state: tuple[int, int], v: int) -> tuple[tuple[int, int], int]:
-        total, lot = state[0] + v, state[1]
-        return ((0, lot + 1), lot) if total >= target else ((total, lot), lot)
-
-    short = folded(base.where(F.col("total_ms") < least), ["channel"], ["first_row"], "total_ms", "lot", "long", lambda: (0, 0), step)
+    short = lots(base.where(F.col("total_ms") < least), "channel", "first_row", "total_ms", target)
     merged = short.groupBy("channel", "lot").agg(F.min_by("cut_id", "first_row").alias("first_id"), F.count("*").alias("n"), F.sum("total_ms").alias("total_ms"), F.min("first_row").alias("first_row"))
     merged = merged.where(F.col("total_ms") >= min(least, target))
     name = F.when(F.col("n") == 1, F.col("first_id")).otherwise(F.concat(F.lit("concat-"), "first_id", F.lit("-x"), F.col("n").cast("string")))

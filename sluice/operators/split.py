@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.operators.ordering import folded, seeded, sum_ahead
+from sluice.operators.fits import skip_fit
+from sluice.operators.ordering import seeded, sum_ahead
 from sluice.shared import discard, saved
 
 
@@ -43,21 +44,16 @@ def holdout_channels(channels: DataFrame, limits: Limits) -> DataFrame:
 def fitting(over: DataFrame, limits: Limits) -> DataFrame:
     """channel_id, row_index, duration_ms of the clips of too long channels that still fit, in seeded order: what doesn't fit is skipped, the scan goes on."""
     ordered = over.select("channel_id", "row_index", "duration_ms").withColumn("__order", seeded(F.col("row_index"), limits.seed))
-    most = limits.channel
+    return skip_fit(ordered, "channel_id", "row_index", "duration_ms", "__order", limits.channel)
 
-    def step(used: int, length: int) -> tuple[int, int]:
-        return (used, 0) if used + length > most else (used + length, 1)
 
-    return folded(ordered, ["channel_id"], ["__order"], "duration_ms", "__fits", "int", int, step).where("__fits = 1").drop("__order", "__fits")
-
-
-def capped(clips: DataFrame, limits: Limits) -> DataFrame:
-    """Clips of channels within the cap; of others those that still fit."""
-    totals = clips.groupBy("channel_id").agg(F.sum("duration_ms").alias("__total"))
-    marked = clips.join(totals, "channel_id")
-    over = marked.where(F.col("__total") > limits.channel)
+def capped(clips: DataFrame, limits: Limits, totals: DataFrame | None = None) -> DataFrame:
+    """Clips of channels within the cap; of others those that still fit. totals: channel_id and total_ms of these clips' channels, if known."""
+    totals = saved(channel_totals(clips).select("channel_id", "total_ms"), "totals") if totals is None else totals
+    over = clips.join(totals.where(F.col("total_ms") > limits.channel).select("channel_id"), "channel_id", "left_semi")
     fits = over.join(fitting(over, limits).select("row_index"), "row_index", "left_semi")
-    return marked.where(F.col("__total") <= limits.channel).unionByName(fits).select(clips.columns)
+    whole = clips.join(totals.where(F.col("total_ms") <= limits.channel).select("channel_id"), "channel_id", "left_semi")
+    return whole.unionByName(fits.select(whole.columns)).select(clips.columns)
 
 
 def decided(clips: DataFrame, limits: Limits) -> tuple[DataFrame, DataFrame]:

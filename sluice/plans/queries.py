@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import arrays, schedules, text
 from sluice.operators import batches, bench, catalog, cuts, files, labels, monitor, resolve, split
-from sluice.shared import fresh_path
+from sluice.shared import fresh_path, saved
 from sluice.streaming import monitors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,8 +168,10 @@ def holdout_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with recursive {CAP} select row_index, channel_id, duration_ms from capped")
 def channel_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = split.usable(clips(spark, sf_dir), blocked(spark), LIMITS)
-    rest = good.join(split.holdout_channels(split.channel_totals(good), LIMITS).select("channel_id"), "channel_id", "left_anti")
-    return split.capped(rest, LIMITS).select("row_index", "channel_id", "duration_ms")
+    channels = saved(split.channel_totals(good), "channels")
+    held = saved(split.holdout_channels(channels, LIMITS).select("channel_id"), "held")
+    without = lambda rows: rows.join(held, "channel_id", "left_anti")
+    return split.capped(without(good), LIMITS, without(channels)).select("row_index", "channel_id", "duration_ms")
 
 
 @query(f"with recursive {SPLIT} select row_index, channel_id, language, duration_ms, split from chosen")
