@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,3 +60,12 @@ def put(spark: SparkSession, path: str, content: str) -> None:
     fs.delete(to, False)
     if not fs.rename(part, to):
         raise OSError(f"{path} could not be written")
+
+
+def files_at(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, as pyarrow.fs knows it, and the path there; for executors, which have no JVM to ask."""
+    if "://" in uri or uri.startswith("file:"):
+        fs, path = pafs.FileSystem.from_uri(uri)
+    else:
+        fs, path = pafs.LocalFileSystem(), os.path.abspath(uri)
+    return fs, path.rstrip("/")

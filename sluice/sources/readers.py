@@ -1,17 +1,17 @@
-"""Readers: catalog CSVs, file listings, indexes, manifests, lists, results."""
+"""Readers: catalog CSVs, indexes, manifests, lists, results; file listings are in ``tree``."""
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.checks import CheckError, require_none, require_unique
+from sluice.checks import CheckError, require_unique
 from sluice.functions.text import last_language, step_of, stripped
 from sluice.operators.catalog import refuse_contradictions, tagged, union_tabs
+from sluice.sources.tree import walk as listing
+
+__all__ = ["blocklist", "catalog", "checkpoint_listing", "csv", "index", "listing", "manifest", "manifest_cuts", "manifest_names", "results", "shards"]
 
 INDEX_HEADER = "relpath\tsize"
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "filename", "name_in_drive", "language", "genre", "speaking_style", "language_formality", "code_switching", "channel_id")] + [T.StructField("duration", T.DoubleType())])
@@ -37,25 +37,6 @@ def catalog(spark: SparkSession, paths: list[str], languages: list[str]) -> Data
     return union_tabs(tabs)
 
 
-def listing(spark: SparkSession, root: str, folders: list[str], suffix: str = "wav") -> DataFrame:
-    """relpath and size of all files with the suffix (any case) in folders of root; contents aren't read.
-
-    Files and folders whose names begin with _ or . are left out by Spark's readers. A
-    folder without files, and paths with tabs or line ends, are errors.
-    """
-    either = "".join(f"[{c.lower()}{c.upper()}]" for c in suffix)
-    root = root.rstrip("/")
-    plain = urlparse(root).path or root
-    found = []
-    for folder in folders:
-        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{either}").load(f"{root}/{folder}")
-        at = F.instr("path", f"{plain}/{folder}/")
-        found.append(rows.select(F.substr("path", at + F.lit(len(plain) + 1)).alias("relpath"), F.col("length").alias("size")))
-    out = reduce(DataFrame.unionByName, found)
-    require_none(out, F.col("relpath").rlike(r"[\t\r\n]"), "tabs or line ends in paths")
-    return out.orderBy("relpath")
-
-
 def index(spark: SparkSession, path: str) -> DataFrame:
     """relpath, size from a TSV whose first line is just that."""
     first = spark.read.text(path).first()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.checks import CheckError, require_none
-from sluice.shared import fresh_path
+from sluice.shared import files_at, fresh_path
 
 #: A task hands its other folders back after so many entries.
 ENTRIES = 20_000
@@ -35,15 +35,14 @@ def walk(spark: SparkSession, root: str, folders: list[str], suffix: str = "wav"
     one task busy. Names that begin with _ or . count like others, empty folders give nothing, symbolic links
     aren't followed. A folder of ``folders`` that isn't there, and tabs or line ends in a path, are errors.
     """
-    fs, base = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), os.path.abspath(root))
-    base = base.rstrip("/")
+    fs, base = files_at(root)
     for info in fs.get_file_info([f"{base}/{f}" for f in folders]):
         if info.type != pafs.FileType.Directory:
             raise CheckError(f"{info.path} is no folder")
     end, at, level = f".{suffix.lower()}", fresh_path(spark, "tree"), 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pafs.FileSystem.from_uri(root)[0] if "://" in root or root.startswith("file:") else pafs.LocalFileSystem()
+        own, _ = files_at(root)
         todo, seen, rows = [p for b in batches for p in b.column(0).to_pylist()], 0, []
         while todo and seen < entries:
             for path, size, is_folder in listed(own, todo.pop()):
