@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import os
 import shutil
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.shared import files_at
+
 
 def plan(wanted: DataFrame, source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """wanted with status and bytes: missing in the source, skipped where the target has the size, else copied. source and target have key, size."""
@@ -20,6 +24,25 @@ def plan(wanted: DataFrame, source: DataFrame, target: DataFrame, key: str) -> D
     return out.withColumns({"status": status, "bytes": F.coalesce("__ss", F.lit(0)).cast("long")}).drop("__s", "__ss", "__t", "__ts")
 
 
+def write(rows: DataFrame, root: str, name: str, content: str) -> DataFrame:
+    """name and bytes of each row's content (binary; null: empty), written below root by the executors, each under another name and then moved into place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = files_at(root)
+        for batch in batches:
+            sizes, names = [], batch.column(0).to_pylist()
+            for path, data in zip(names, batch.column(1).to_pylist(), strict=True):
+                to = f"{base}/{path}"
+                fs.create_dir(to.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(part := f"{to}.{uuid.uuid4().hex}.part") as f:
+                    f.write(data or b"")
+                fs.move(part, to)
+                sizes.append(len(data or b""))
+            yield pa.record_batch([batch.column(0), pa.array(sizes, pa.int64())], names=[name, "bytes"])
+
+    return rows.select(name, content).mapInArrow(run, f"`{name}` string, bytes long")
+
+
 def copy_one(source: str, target: str) -> tuple[str, int, str | None]:
     """Copies through a .part file and an atomic rename; a target of the same size stays as it is."""
     if not os.path.exists(source):

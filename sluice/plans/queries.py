@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sluice.functions import arrays, schedules, text
 from sluice.operators import batches, bench, catalog, cuts, files, labels, monitor, resolve, split
 from sluice.shared import fresh_path, saved
-from sluice.streaming import monitors
+from sluice.sources import archives, paged, readers, tree, writers
+from sluice.streaming import epochs, monitors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -281,6 +282,64 @@ def shard_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuts.summary(cuts.sharded(clips(spark, sf_dir), 1337, 100))
 
 
+DEALT = """deal as (select epoch, shard_id, (row_number() over (partition by epoch order by md5((1337 + epoch)::varchar || ':' || shard_id::varchar)) - 1) % 8 as worker
+  from (select distinct shard_id from shards), (select unnest([0, 1]) as epoch))"""
+
+
+@query(f"with {SHARDED}, {DEALT} select row_index, shard_id from shards join deal using (shard_id) where epoch = 1 and worker = 3")
+def worker_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one worker reads in an epoch: its shards' folders only."""
+    path = fresh_path(spark, "shards")
+    writers.shards(cuts.sharded(clips(spark, sf_dir), 1337, 100).select("row_index", "position", "shard_id"), path)
+    deal = saved(cuts.dealt(spark.read.parquet(path).select("shard_id").distinct(), 1337, 1, 4, 2), "deal")
+    return readers.shards(spark, path, deal=deal.where("worker = 3")).select("row_index", F.col("shard_id").cast("long").alias("shard_id"))
+
+
+@query(f"with {SHARDED}, {DEALT} select epoch, worker, shard_id, row_index from shards join deal using (shard_id)")
+def stream_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two epochs over written shards; the stream stops after its first batch, and another goes on from there."""
+    folder = fresh_path(spark, "epochs")
+    writers.shards(cuts.sharded(clips(spark, sf_dir), 1337, 100).select("row_index", "position", "shard_id"), f"{folder}/shards")
+    stream = lambda: epochs.epochs(spark, f"{folder}/shards", f"{folder}/progress", 1337, 2, shards_per_batch=64, world=4, workers=2)
+    epochs.run_epochs(stream(), f"{folder}/run", stop_after=1)
+    return epochs.run_epochs(stream(), f"{folder}/run").select("epoch", "worker", "shard_id", "row_index")
+
+
+@query(f"with {SHARDED} select shard_id, position - shard_id * 100 as nth, 'c' || doc_id::varchar as id, strlen(text) as bytes, md5(text) as digest from shards join documents on doc_id = row_index")
+def shard_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts as archives of a hundred each, read back."""
+    path = fresh_path(spark, "archives")
+    rows = cuts.sharded(table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("id"), F.col("text").cast("binary").alias("payload"), "lang"), 1337, 100)
+    archives.write_archives(rows, path, extension="txt")
+    back = archives.read_archives(spark, path)
+    return back.select("shard_id", F.col("position").alias("nth"), "id", F.octet_length("payload").cast("long").alias("bytes"), F.md5("payload").alias("digest"))
+
+
+TREE = "lang || '/' || case when doc_id % 3 = 0 then '_' else '' end || source || '/.' || (doc_id % 10)::varchar || '/' || doc_id::varchar || case when doc_id % 5 = 0 then '.WAV' when doc_id % 5 = 1 then '.txt' else '.wav' end"
+
+
+@query(f"select relpath, size from (select {TREE} as relpath, strlen(text) as size from documents) where lower(relpath) like '%.wav' order by relpath")
+def tree_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts as files of a tree, which is then walked."""
+    path, id_text = fresh_path(spark, "files"), F.col("doc_id").cast("string")
+    name = F.concat("lang", F.lit("/"), F.when(F.col("doc_id") % 3 == 0, "_").otherwise(""), "source", F.lit("/."), (F.col("doc_id") % 10).cast("string"), F.lit("/"), id_text, F.when(F.col("doc_id") % 5 == 0, ".WAV").when(F.col("doc_id") % 5 == 1, ".txt").otherwise(".wav"))
+    rows = table(spark, sf_dir, "documents").select(name.alias("name"), F.col("text").cast("binary").alias("content"), "lang")
+    files.write(rows, path, "name", "content").agg(F.sum("bytes")).collect()
+    folders = [r.lang for r in rows.select("lang").distinct().collect()]  # a row a language
+    return tree.walk(spark, path, folders)
+
+
+@query("select lang as tab, doc_id, n_chars from documents where lang in ('en', 'fr') and n_chars >= 500")
+def paged_tabs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as pages of tabs, read with a condition that goes to the source."""
+    folder = fresh_path(spark, "pages")
+    rows = table(spark, sf_dir, "documents").select("lang", "doc_id", "n_chars", F.floor(F.col("doc_id") / 400).alias("page"))
+    paged.export(rows, folder, "lang", "page")
+    tabs = [r.lang for r in rows.select("lang").distinct().collect()]  # a row a tab
+    pages = paged.paged(spark, paged.FolderClient(folder, ("n_chars",)), sorted(tabs), "doc_id long, n_chars long")
+    return pages.where(F.col("tab").isin("en", "fr") & (F.col("n_chars") >= 500))
+
+
 @query("""with recursive b as (select doc_id, n_chars, (row_number() over (order by doc_id) - 1) // 256 as buffer from documents), o as (select *, row_number() over (partition by buffer order by n_chars, doc_id) as i from b),
 f as (select buffer, i, doc_id, 1::bigint as n, 0::bigint as batch from o where i = 1
   union all select o.buffer, o.i, o.doc_id, case when (f.n + 1) * o.n_chars > 20000 then 1 else f.n + 1 end, case when (f.n + 1) * o.n_chars > 20000 then f.batch + 1 else f.batch end from f join o on o.buffer = f.buffer and o.i = f.i + 1)

@@ -72,9 +72,11 @@ def manifest_cuts(rows: DataFrame, files: DataFrame, names: tuple[str, ...] = ("
     return rows.withColumn("custom", F.create_map(*pairs))
 
 
-def shards(spark: SparkSession, path: str, ids: list[int] | None = None) -> DataFrame:
-    """Written shards, all or some; only the wanted folders are read."""
+def shards(spark: SparkSession, path: str, ids: list[int] | None = None, deal: DataFrame | None = None) -> DataFrame:
+    """Written shards, all or some; only the wanted folders are read. deal: shard_id of the wanted ones, a row a shard, as ``cuts.dealt`` deals them to a worker; it prunes the folders while the query runs."""
     rows = spark.read.parquet(path)
+    if deal is not None:
+        rows = rows.join(F.broadcast(deal.select(F.col("shard_id").cast(rows.schema["shard_id"].dataType))), "shard_id")
     return rows if ids is None else rows.where(F.col("shard_id").isin(ids))
 
 

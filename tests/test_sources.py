@@ -158,3 +158,10 @@ def test_epochs_come_whole_and_go_on(spark, tmp_path):
         want = {r.shard_id: r.worker for r in cuts.dealt(rows.select("shard_id").distinct(), 5, epoch, 2, 2).collect()}
         assert {s: w for w, ss in workers.items() for s in ss} == want
     assert len({tuple(sorted({(r.shard_id, r.worker) for r in found if r.epoch == e})) for e in range(3)}) == 3
+
+
+def test_worker_shards_prunes_folders_while_it_runs(spark):
+    from sluice.plans.queries import worker_shards
+
+    plan = worker_shards(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
