@@ -11,7 +11,7 @@ from sluice.functions import arrays, schedules, text
 from sluice.operators import batches, bench, catalog, cuts, files, labels, monitor, resolve, split
 from sluice.shared import fresh_path, saved
 from sluice.sources import archives, paged, readers, tree, writers
-from sluice.streaming import epochs, monitors
+from sluice.streaming import epochs, monitors, resumed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -528,5 +528,22 @@ def stream_streak_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+RESUMED = "(select min(event_id) + (max(event_id) - min(event_id)) // 2 from events)"
+
+
+@query(f"""with low as (select *, value < 20 as low, sum(case when value < 20 then 0 else 1 end) over (partition by user_id order by event_id) as island from events),
+runs as (select user_id, event_id, row_number() over (partition by user_id, island order by event_id) as n from low where low)
+select user_id, 'alarm' as kind, min(event_id) as step from runs where n >= 5 and event_id > {RESUMED} group by user_id""")
+def stream_resumed_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of the events is the curve from which the runs resume; the stream has the second half, and replays the end of the first."""
+    events, folder = table(spark, sf_dir, "events"), fresh_path(spark, "stream")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    at = low + (high - low) // 2
+    events.where(F.col("event_id") > at - (at - low) // 4).write.parquet(f"{folder}/in/lot-0")
+    curve = monitor.trimmed(events.withColumnRenamed("event_id", "step"), at).withColumnRenamed("step", "event_id")
+    stream = resumed.resumed_alarms(monitors.arriving(spark, f"{folder}/in", events), curve, "user_id", "event_id", "value", 20.0, 5)
+    return monitors.run_to_end(stream, "append", folder)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_split(spark, sf_dir)
