@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.arrays import mask, padded
-from sluice.operators.ordering import folded, ranked, seeded
+from sluice.operators.ordering import folded, placed, seeded
 
 
 def buffered(rows: DataFrame, order: str, window: int = 256) -> DataFrame:
-    """rows with buffer: window of them each in the order of an integer column."""
-    out = ranked(rows, [F.col(order)], F.floor(F.col(order) / 65_536), "__rank")
+    """rows with buffer: window of them each in the order of a column, however its values lie."""
+    out = placed(rows, [F.col(order)], "__rank")
     return out.withColumn("buffer", F.floor(F.col("__rank") / window).cast("long")).drop("__rank")
 
 

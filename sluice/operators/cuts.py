@@ -54,14 +54,14 @@ def summary(sharded_cuts: DataFrame, length: str = "duration_ms") -> DataFrame:
     return sharded_cuts.groupBy("shard_id").agg(F.count("*").alias("n"), F.sum(length).alias("total_ms"), F.max(length).alias("longest_ms"))
 
 
-def too_long(cuts: DataFrame, most: Column, length: str = "cut_ms") -> Column:
+def too_long(length: Column, most: float) -> Column:
     """A condition for a barrier: a hundredth of a second is let pass."""
-    return F.col(length) > most + 10
+    return length > most + 10
 
 
 def refuse_too_long(cuts: DataFrame, most: float, length: str = "cut_ms") -> DataFrame:
     """cuts, unless one is too long: none may survive the splitting."""
-    return require_none(cuts, too_long(cuts, F.lit(most), length), f"cuts longer than {most} ms")
+    return require_none(cuts, too_long(F.col(length), most), f"cuts longer than {most} ms")
 
 
 def refuse_other_rates(cuts: DataFrame, rate: int, column: str = "sampling_rate") -> DataFrame:

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.shared import files_at
+from sluice.operators.ordering import placed
+from sluice.shared import files_at, saved
 
 
 def plan(wanted: DataFrame, source: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -43,33 +42,69 @@ def write(rows: DataFrame, root: str, name: str, content: str) -> DataFrame:
     return rows.select(name, content).mapInArrow(run, f"`{name}` string, bytes long")
 
 
-def copy_one(source: str, target: str) -> tuple[str, int, str | None]:
-    """Copies through a .part file and an atomic rename; a target of the same size stays as it is."""
-    if not os.path.exists(source):
-        return "missing", 0, None
-    size = os.path.getsize(source)
-    if os.path.exists(target) and os.path.getsize(target) == size:
-        return "skipped", size, None
+def copy_one(source: pafs.FileSystem, at: str, target: pafs.FileSystem, to: str) -> tuple[str, int, str | None]:
+    """Copies through a .part file and a move; a target of the same size stays as it is."""
     try:
-        os.makedirs(os.path.dirname(target), exist_ok=True)
-        shutil.copyfile(source, f"{target}.part")
-        if os.path.getsize(f"{target}.part") != size:
+        there, old = source.get_file_info(at), target.get_file_info(to)
+        if there.type != pafs.FileType.File:
+            return "missing", 0, None
+        if old.type == pafs.FileType.File and old.size == there.size:
+            return "skipped", there.size, None
+        target.create_dir(to.rpartition("/")[0], recursive=True)
+        part = f"{to}.{uuid.uuid4().hex}.part"
+        with source.open_input_stream(at) as data, target.open_output_stream(part) as out:
+            while chunk := data.read(8 << 20):
+                out.write(chunk)
+        if target.get_file_info(part).size != there.size:
+            target.delete_file(part)
             return "failed", 0, "size differs"
-        os.replace(f"{target}.part", target)
+        try:
+            target.move(part, to)
+        except OSError:
+            target.delete_file(part)
+            raise
     except OSError as e:
         return "failed", 0, str(e)
-    return "copied", size, None
+    return "copied", there.size, None
 
 
-def copy(names: DataFrame, source_root: str, target_root: str, name: str = "filename") -> DataFrame:
-    """name, status, bytes, error of each file, copied by the executors, which must see both roots."""
+def binned(names: DataFrame, size: str, key: str, bins: int) -> DataFrame:
+    """names with bin: the longest first, dealt to and fro over the bins, so that all have about the same bytes."""
+    ranked = placed(names, [F.col(size).desc_nulls_last(), F.col(key)], "__rank")
+    nth, turn = F.col("__rank") % bins, F.floor(F.col("__rank") / bins) % 2
+    return ranked.withColumn("bin", F.when(turn == 0, nth).otherwise(bins - 1 - nth).cast("int")).drop("__rank")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(n, *copy_one(os.path.join(source_root, n), os.path.join(target_root, n))) for n in batch[name]]
-            yield pd.DataFrame(rows, columns=[name, "status", "bytes", "error"])
 
-    return names.select(name).mapInPandas(run, f"{name} string, status string, bytes long, error string")
+def copy(names: DataFrame, source_root: str, target_root: str, name: str = "filename", size: str | None = None, bins: int | None = None) -> DataFrame:
+    """name, status, bytes, error of each file, copied by the executors. Roots are paths that all executors see, or URIs that pyarrow.fs knows.
+
+    size: a column with the files' bytes; the files are then dealt to ``bins`` tasks (as many as there are shuffle partitions) of about the same bytes.
+    """
+    bins = bins or int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (source, a), (target, b) = files_at(source_root), files_at(target_root)
+        for batch in batches:
+            rows = [copy_one(source, f"{a}/{n}", target, f"{b}/{n}") for n in batch.column(0).to_pylist()]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.record_batch([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string()), strict=True))], names=[name, "status", "bytes", "error"])
+
+    dealt = names.select(name) if size is None else binned(names.select(name, size), size, name, bins).repartitionById(bins, "bin").select(name)
+    return dealt.mapInArrow(run, f"`{name}` string, status string, bytes long, error string")
+
+
+def copy_until_done(names: DataFrame, source_root: str, target_root: str, name: str = "filename", size: str | None = None, tries: int = 3) -> DataFrame:
+    """What ``copy`` gives, after files that failed were tried again, up to tries times in all; each round's list is written."""
+    done, todo = None, names
+    for i in range(tries):
+        round_ = saved(copy(todo, source_root, target_root, name, size if i == 0 else None), "copied")
+        last = i + 1 == tries or round_.where("status = 'failed'").isEmpty()
+        part = round_ if last else round_.where("status <> 'failed'")
+        done = part if done is None else done.unionByName(part)
+        if last:
+            break
+        todo = round_.where("status = 'failed'").select(name)
+    return done
 
 
 def rollup(copied: DataFrame) -> DataFrame:

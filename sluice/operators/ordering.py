@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.shared import saved
+
 AHEAD = (Window.unboundedPreceding, -1)
 
 
@@ -28,6 +30,22 @@ def ranked(df: DataFrame, order: list[Column], bucket: Column, name: str = "rank
     return df.withColumn(name, own).join(ahead, "__bucket").withColumn(name, (F.col(name) + F.col("__ahead")).cast("long")).drop("__bucket", "__ahead")
 
 
+def placed(df: DataFrame, order: list[Column], name: str = "rank", parts: int | None = None) -> DataFrame:
+    """df with name: 0 for its first row in order, and so on; for orders of any kind, however their values lie.
+
+    Rows are dealt to ranges of sampled bounds and sorted there; only the ranges' counts meet in one task. The
+    dealt rows are written, as ranges sampled anew might differ. order should tell rows apart, so that ranges are even.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    in_range = F.monotonically_increasing_id()  # the range's number above 33 bits of the row's place in it
+    dealt = saved(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", in_range), "placed")
+    range_of = F.shiftright("__at", 33)
+    counts = dealt.groupBy(range_of.alias("__range")).agg(F.count("*").alias("__n"))
+    ahead = counts.withColumn("__ahead", F.coalesce(F.sum("__n").over(Window.orderBy("__range").rowsBetween(*AHEAD)), F.lit(0))).drop("__n")
+    joined = dealt.withColumn("__range", range_of).join(F.broadcast(ahead), "__range")  # a row a range
+    return joined.withColumn(name, (F.col("__ahead") + F.col("__at").bitwiseAND((1 << 33) - 1)).cast("long")).drop("__range", "__at", "__ahead")
+
+
 def hash_bucket(hashed: Column, digits: int = 4) -> Column:
     """A bucket for rows in the order of a hexadecimal hash."""
     return F.substring(hashed, 1, digits)

@@ -9,9 +9,10 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.checks import require_columns, require_none, require_unique
+from sluice.checks import published, require_columns
 from sluice.operators.catalog import metadata
-from sluice.shared import located, put
+from sluice.operators.cuts import too_long
+from sluice.shared import discard, located, put, saved
 
 
 def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | None = None) -> str:
@@ -21,7 +22,7 @@ def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | Non
     path = f"{folder}/catalog_{stamp}"
     df.write.csv(path, header=True, quote='"', escape='"', emptyValue="")
     written = df.sparkSession.read.csv(path, header=True, multiLine=True, quote='"', escape='"').na.fill("")
-    written.write.mode("overwrite").csv(f"{folder}/catalog_latest", header=True, quote='"', escape='"', emptyValue="")
+    published(written, f"{folder}/catalog_latest", lambda rows, at: rows.write.csv(at, header=True, quote='"', escape='"', emptyValue=""))
     if {"language", "to_train"} <= set(df.columns):
         rows = {r["language"]: r for r in metadata(written.na.fill(""), "language", "to_train").collect()}  # one row a language
         meta = {"timestamp": stamp, "total_rows": rows[None].total if None in rows else 0}
@@ -31,27 +32,46 @@ def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | Non
 
 
 def index(df: DataFrame, path: str) -> None:
-    df.select("relpath", "size").coalesce(1).sortWithinPartitions("relpath").write.mode("overwrite").csv(path, sep="\t", header=True, quote="")
+    """The index by relpath, in as many part files as its size asks for, each with the header; parts and their lines ascend."""
+    df.select("relpath", "size").repartitionByRange("relpath").sortWithinPartitions("relpath").write.mode("overwrite").csv(path, sep="\t", header=True, quote="")
 
 
 def manifest(df: DataFrame, path: str, id_col: str = "id", path_col: str = "name_in_drive") -> None:
-    """JSON lines with all fields; rows without a path and repeated ids are errors."""
-    require_none(df, F.coalesce(path_col, F.lit("")) == "", "rows without a path")
-    require_unique(df, id_col)
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    """JSON lines with all fields; with a row without a path or a repeated id nothing is published."""
+    published(df, path, lambda rows, at: rows.write.option("ignoreNullFields", False).json(at), {"rows without a path": F.coalesce(path_col, F.lit("")) == ""}, id_col)
 
 
 def unresolved(df: DataFrame, path: str, columns: list[str], order: str = "row_index") -> None:
     df.where("status <> 'resolved'").orderBy(order).select(F.col("status").alias("reason"), *columns).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
-def shards(df: DataFrame, path: str) -> None:
-    """A folder for each shard_id; what a shard holds is written by one task."""
-    df.repartition("shard_id").sortWithinPartitions("shard_id", "position").write.mode("overwrite").partitionBy("shard_id").parquet(path)
-
-
-def curve(df: DataFrame, path: str) -> None:
-    df.write.mode("append").csv(path, header=True)
+def shards(df: DataFrame, path: str, most: float | None = None, length: str = "cut_ms") -> None:
+    """A folder for each shard_id; what a shard holds is written by one task. With a cut longer than most nothing is published."""
+    rules = {} if most is None else {f"cuts longer than {most} ms": too_long(F.col(length), most)}
+    dealt = df.repartition("shard_id").sortWithinPartitions("shard_id", "position")
+    published(dealt, path, lambda rows, at: rows.write.partitionBy("shard_id").parquet(at), rules)
+
+
+def curve(df: DataFrame, path: str, run: str = "run", interval: str = "interval") -> None:
+    """Readings of a curve, a folder a run and interval: intervals that are written again replace what was there, all others stay."""
+    df.repartition(run, interval).sortWithinPartitions(run, interval).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run, interval).parquet(path)
+
+
+def trim_curve(spark: SparkSession, path: str, resume: int, step: str = "step", run: str = "run", interval: str = "interval") -> None:
+    """Takes the steps behind the one that runs resume from out of a written curve; 0 takes all. Only intervals that have such steps are touched."""
+    fs, at = located(spark, path)
+    if not fs.exists(at):
+        return
+    rows = spark.read.parquet(path)
+    stale = rows.where((F.col(step) > resume) | F.lit(resume == 0)).select(run, interval).distinct()
+    stale = saved(stale, "stale")
+    keep = rows.join(F.broadcast(stale), [run, interval]).where((F.col(step) <= resume) & F.lit(resume != 0))
+    keep = saved(keep, "trimmed")
+    rest = stale.join(keep.select(run, interval).distinct(), [run, interval], "left_anti")
+    curve(keep.select(rows.columns), path, run, interval)
+    for r in rest.toLocalIterator():  # folders of which nothing stays
+        fs.delete(located(spark, f"{path}/{run}={r[0]}/{interval}={r[1]}")[1], True)
+    discard(stale, keep)
 
 
 def text(content: str, path: str, spark) -> None:
