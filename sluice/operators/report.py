@@ -15,9 +15,9 @@ def markdown(header: list[str], rows: Iterable[Iterable[object]], blank: str = "
     return "\n".join([line(header), "|" + "---|" * len(header), *map(line, rows)]) + "\n"
 
 
-def stats_json(stats: Row, **maps: DataFrame) -> str:
-    """A stats row with maps (name -> frame of a key and a number) beside it, keys in order, numbers rounded to 2 places."""
-    out = stats.asDict()
+def stats_json(stats: Row, cleaning: dict[str, int] | None = None, **maps: DataFrame) -> str:
+    """A stats row with maps (name -> frame of a key and a number) beside it, keys in order, numbers rounded to 2 places, and what became of the catalog's rows."""
+    out = stats.asDict() | ({"cleaning": cleaning} if cleaning else {})
     for name, frame in maps.items():
         out[name] = {str(r[0]): round(r[1], 2) for r in sorted(frame.collect(), key=lambda r: str(r[0]))}
     return json.dumps(out, indent=2, ensure_ascii=False)
@@ -36,24 +36,23 @@ def benchmark(rows: Iterable[Row], names: dict[str, str], families: list[str], s
     return text, out.getvalue()
 
 
-def selection(stats: Row, target_hours: float, hours_by_language: dict[str, float], hours_by_genre: dict[str, float], top: Iterable[Row], overlap: int, cleaning: dict[str, int] | None = None) -> str:
-    """The selection as Markdown: totals, cleaning, languages, genres, sources with their part of train, channels.
+def selection(stats: Row, target_hours: float, languages: Iterable[Row], genres: Iterable[Row], sources: Iterable[Row], overlap: int, cleaning: dict[str, int] | None = None) -> str:
+    """The selection as Markdown tables: both sides, what became of the catalog's rows, train by language and genre, the longest sources.
 
-    cleaning: to_train_rows, repeats_removed, ambiguous, no_match, duplicate_path and candidates. top: rows of split.top_sources.
+    languages: rows of split.hours_by. genres: rows of split.top_by_hours, in their order. sources: rows of split.top_sources. cleaning:
+    rows by what became of them, in the order in which they are told.
     """
-    train = stats.train_ms / 3_600_000
-    parts = [f"# Data Selection Report\n\nTarget: {target_hours}h | Realised: {train:.1f}h\nHoldout: {stats.holdout_ms / 3_600_000:.1f}h\nLongest training clip: {stats.longest_ms / 1000}s\n"]
+    hours = lambda ms: f"{ms / 3_600_000:.2f}"
+    part = lambda ms: f"{ms / stats.train_ms:.1%}" if stats.train_ms else None
+    sides = [("train", hours(stats.train_ms), stats.train_segments, stats.train_channels), ("holdout", hours(stats.holdout_ms), stats.holdout_segments, stats.holdout_channels)]
+    out = ["# Selected clips", markdown(["side", "hours", "clips", "channels"], sides)]
+    out.append(f"Train was to have {target_hours:.2f} hours and falls short by {max(0.0, stats.shortfall_pct):.1f} %. Its longest clip takes {stats.longest_ms / 1000:g} s. Channels on both sides: {overlap}.\n")
     if cleaning:
-        reasons = ("ambiguous", "no_match", "duplicate_path")
-        parts.append("## Catalog cleaning\n\n" + f"- to_train=yes rows: {cleaning['to_train_rows']:,}\n- exact repeats removed: {cleaning['repeats_removed']:,}\n- unresolvable, set aside: {sum(cleaning[r] for r in reasons)} ({', '.join(f'{r} {cleaning[r]}' for r in reasons)})\n- candidates for selection: {cleaning['candidates']:,}\n")
-    listed = lambda pairs: "".join(f"- {k}: {v:.1f}h\n" for k, v in pairs)
-    parts.append("## By Language\n\n" + listed(sorted(hours_by_language.items())))
-    parts.append("## By Genre (top 10)\n\n" + listed(sorted(hours_by_genre.items(), key=lambda x: -x[1])[:10]))
-    share = lambda r: f"{100 * r.total_ms / stats.train_ms if stats.train_ms else 0.0:.1f}%"
-    rows = ([r["rank"], r.channel_id, f"{r.total_ms / 3_600_000:.2f}", share(r), r.n, cell(r.title)] for r in top)
-    parts.append("## Top 10 sources by hours\n\n" + markdown(["Rank", "Source", "Hours", "% of train", "Segments", "Title"], rows))
-    parts.append(f"## Channels: {stats.train_channels} train, {stats.holdout_channels} holdout, {overlap} overlap\n")
-    return "\n".join(parts)
+        out += ["## Rows of the catalog", markdown(["rows", "number"], cleaning.items())]
+    out += ["## Train by language", markdown(["language", "hours"], ((r[0], f"{r[1]:.2f}") for r in sorted(languages, key=lambda r: str(r[0]))))]
+    out += ["## Train by genre", markdown(["genre", "hours", "share"], ((r[0], hours(r[1]), part(r[1])) for r in genres))]
+    out += ["## Longest sources of train", markdown(["", "source", "hours", "share", "clips", "title"], ((r["rank"], r.channel_id, hours(r.total_ms), part(r.total_ms), r.n, cell(r.title)) for r in sources))]
+    return "\n".join(out)
 
 
 def cell(text: str | None) -> str:

@@ -54,44 +54,73 @@ class ShardParams:
             raise ValueError("a merged item could be longer than max_cut_seconds: it must be target_cut_seconds + min_cut_seconds at least")
 
 
+#: The least and the greatest value of a setting, and whether the least itself is permitted; names and limits are fixed values.
+PRETRAIN_RANGES: dict[str, tuple[float, float | None, bool]] = {
+    "max_updates": (0, None, False),
+    "warmup_updates": (0, None, True),
+    "peak_lr": (0, None, False),
+    "hold_ratio": (0, 1, True),
+    "adam_eps": (0, None, False),
+    "weight_decay": (0, None, True),
+    "max_grad_norm": (0, None, False),
+    "target_batch_seconds": (0, None, False),
+    "per_device_max_seconds": (0, None, False),
+    "num_workers": (0, None, True),
+    "max_gpu_memory_fraction": (0, 1, False),
+    "mask_time_prob": (0, 1, True),
+    "mask_time_length": (0, None, False),
+    "diversity_loss_weight": (0, None, True),
+    "max_gumbel_temperature": (0, None, False),
+    "min_gumbel_temperature": (0, None, False),
+    "gumbel_temperature_decay": (0, 1, False),
+    "save_every_updates": (0, None, False),
+    "eval_every_updates": (0, None, False),
+    "keep_last_n_checkpoints": (0, None, False),
+}
+
+
 @dataclass(frozen=True)
-class TrainParams:
+class PretrainParams:
+    """Settings of a training run; the schedules, intervals, batches and retained checkpoints of this library follow them."""
+
+    base_model: str
     max_updates: int
     warmup_updates: int
     peak_lr: float
-    hold_ratio: float = 0.4
-    max_temp: float = 1.0
-    min_temp: float = 0.5
-    temp_decay: float = 0.999
-    eval_every_updates: int = 500
-    save_every_updates: int = 1500
-    keep_last_n: int = 2
-    milestones: tuple[int, ...] = ()
+    hold_ratio: float
+    adam_betas: tuple[float, ...]
+    adam_eps: float
+    weight_decay: float
+    max_grad_norm: float
+    target_batch_seconds: float
+    per_device_max_seconds: float
+    num_workers: int
+    mask_time_prob: float
+    mask_time_length: int
+    diversity_loss_weight: float
+    max_gumbel_temperature: float
+    min_gumbel_temperature: float
+    gumbel_temperature_decay: float
+    save_every_updates: int
+    eval_every_updates: int
+    keep_last_n_checkpoints: int
+    milestone_checkpoints: tuple[int, ...]
+    output_dir: str
     precision: str = "bf16"
-    adam_eps: float = 1e-6
-    weight_decay: float = 0.01
-    max_grad_norm: float = 1.0
-    target_batch_seconds: float = 1600.0
-    per_device_max_seconds: float = 200.0
-    num_workers: int = 0
+    freeze_feature_encoder: bool = True
+    lr_schedule: str = "tri_stage"
+    optimizer: str = "adamw"
     max_gpu_memory_fraction: float = 0.8
-    mask_time_prob: float = 0.65
-    mask_time_length: int = 10
-    diversity_loss_weight: float = 0.1
 
     def __post_init__(self) -> None:
-        _positive(self, "max_updates", "peak_lr", "eval_every_updates", "save_every_updates", "keep_last_n", "max_temp", "min_temp", "temp_decay")
-        _positive(self, "adam_eps", "max_grad_norm", "target_batch_seconds", "per_device_max_seconds", "mask_time_length", "max_gpu_memory_fraction")
-        for name, most in (("weight_decay", None), ("num_workers", None), ("diversity_loss_weight", None), ("mask_time_prob", 1), ("temp_decay", 1), ("max_gpu_memory_fraction", 1)):
+        for name, (least, most, inclusive) in PRETRAIN_RANGES.items():
             value = getattr(self, name)
-            if value < 0 or most is not None and value > most:
-                raise ValueError(f"{name} must be {'0 or more' if most is None else f'between 0 and {most}'}, got {value}")
+            if value < least or value == least and not inclusive or most is not None and value > most:
+                raise ValueError(f"{name} must be {'at least' if inclusive else 'above'} {least}" + (f" and at most {most}" if most is not None else "") + f", got {value}")
         if self.precision not in ("bf16", "fp16", "fp32"):
             raise ValueError(f"precision must be bf16, fp16 or fp32, got {self.precision}")
         if self.precision == "fp16":
             warnings.warn("fp16 may overflow; bf16 has the range of fp32", stacklevel=3)
-        if self.warmup_updates < 0 or not 0 <= self.hold_ratio <= 1:
-            raise ValueError("warmup_updates must be 0 or more and hold_ratio between 0 and 1")
 
 
 @dataclass(frozen=True)
@@ -105,38 +134,56 @@ class MonitorParams:
         _positive(self, "perplexity_floor", "consecutive_alerts")
 
 
-SECTIONS = {"select": SelectParams, "shard": ShardParams, "train": TrainParams, "monitoring": MonitorParams}
+SECTIONS = {"select": SelectParams, "shard": ShardParams, "pretrain": PretrainParams, "monitoring": MonitorParams}
+#: What a field of a type takes; numbers may be whole where fractions are asked for, not the other way round.
+TAKES = {"int": int, "float": (int, float), "str": str, "bool": bool}
+
+
+def _section(name: str, kind: type, values: dict[str, Any]) -> tuple[Any, dict[str, Any]]:
+    """A section's settings, and those that it doesn't know."""
+    if not isinstance(values, dict):
+        raise ValueError(f"{name} must have settings by name, got {values!r}")
+    known = {f.name: f for f in fields(kind)}
+    missing = [n for n, f in known.items() if n not in values and f.default is dataclasses.MISSING and f.default_factory is dataclasses.MISSING]
+    if missing:
+        raise ValueError(f"{name} lacks {', '.join(missing)}")
+    own = {}
+    for key, value in values.items():
+        if key in known:
+            takes = TAKES.get(str(known[key].type))
+            if takes and (not isinstance(value, takes) or isinstance(value, bool) and takes is not bool):
+                raise ValueError(f"{name}.{key} must be of type {known[key].type}, got {value!r}")
+            own[key] = tuple(value) if isinstance(value, list) else value
+    return kind(**own), {k: v for k, v in values.items() if k not in known}
 
 
 @dataclass(frozen=True)
 class Params:
     select: SelectParams | None = None
     shard: ShardParams | None = None
-    train: TrainParams | None = None
+    pretrain: PretrainParams | None = None
     monitoring: MonitorParams = field(default_factory=MonitorParams)
     other: dict = field(default_factory=dict)
 
     @classmethod
-    def of(cls, settings: dict, strict: bool = False) -> Params:
-        """From nested dicts; keys that a section doesn't know are kept in other, or refused if strict."""
+    def of(cls, settings: dict, strict: bool = True) -> Params:
+        """From nested dicts. Sections of other programs are kept in other; keys that a known section doesn't know are refused, or kept there too unless strict."""
         made, other = {}, {k: v for k, v in settings.items() if k not in SECTIONS}
         for name, kind in SECTIONS.items():
             if name in settings:
-                known = {f.name for f in fields(kind)}
-                made[name] = kind(**{k: tuple(v) if isinstance(v, list) else v for k, v in settings[name].items() if k in known})
-                rest = {k: v for k, v in settings[name].items() if k not in known}
+                made[name], rest = _section(name, kind, settings[name])
+                if rest and strict:
+                    raise ValueError(f"{name} doesn't know {', '.join(map(str, rest))}")
                 if rest:
                     other[name] = rest
-        if strict and other:
-            raise ValueError(f"settings that nothing knows: {other}")
         return cls(**made, other=other)
 
     @classmethod
-    def from_yaml(cls, path: str, strict: bool = False) -> Params:
+    def from_yaml(cls, path: str, strict: bool = True) -> Params:
         import yaml
 
         with open(path) as f:
-            return cls.of(yaml.safe_load(f), strict)
+            return cls.of(yaml.safe_load(f) or {}, strict)
 
     def asdict(self) -> dict:
         return dataclasses.asdict(self)

@@ -545,5 +545,67 @@ def stream_resumed_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitors.run_to_end(stream, "append", folder)
 
 
+@query(f"with {TABS} select source_id, lang, size, to_train, language, source_tab from tabs")
+def catalog_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tabs as a dated catalog; the latest one is read back."""
+    folder = fresh_path(spark, "catalog")
+    writers.catalog(tabs(spark, sf_dir).drop("duration_minutes"), folder, ["source_id", "to_train"])
+    return readers.csv(spark, f"{folder}/catalog_latest").select("source_id", "lang", "size", "to_train", "language", "source_tab")
+
+
+@query(f"with {RESOLVED} select 'c' || row_index::varchar as id, path as filename, d.lang as language, d.n_chars / 50 as duration, d.source as channel_id from resolved join documents d on d.doc_id = row_index where status = 'resolved'")
+def manifest_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The resolved rows as a manifest, read back."""
+    path = fresh_path(spark, "manifest")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_index"), "source", (F.col("n_chars") / 50).alias("duration"))
+    rows = resolved(spark, sf_dir).where("status = 'resolved'").join(d, "row_index").select(F.concat(F.lit("c"), F.col("row_index").cast("string")).alias("id"), F.col("path").alias("filename"), F.col("filename").alias("name_in_drive"), "language", "duration", F.col("source").alias("channel_id"))
+    writers.manifest(rows, path, path_col="filename")
+    return readers.manifest(spark, [path]).select("id", "filename", "language", "duration", "channel_id")
+
+
+@query(f"with {RESOLVED} select row_index::varchar as row_index, status as reason from resolved where status <> 'resolved'")
+def unresolved_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "unresolved")
+    writers.unresolved(resolved(spark, sf_dir), path, ["row_index", "language"])
+    return readers.csv(spark, path).select("row_index", "reason")
+
+
+@query("select lang as folder, count(*) as n, sum(strlen(text)) / 1e9::double as gb from documents group by lang")
+def index_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index of the texts, written and read back."""
+    path = fresh_path(spark, "index")
+    rows = table(spark, sf_dir, "documents").select(F.concat_ws("/", "lang", "source", F.col("doc_id").cast("string")).alias("relpath"), F.octet_length("text").cast("long").alias("size"))
+    writers.index(rows, path)
+    return files.index_totals(readers.index(spark, path))
+
+
+@query(f"with {LISTED} select step, step in (select step from found where complete) as there from (select unnest([3, 7, 50, 90, 1000000]) as step)")
+def milestone_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monitor.milestones(found(spark, sf_dir), [3, 7, 50, 90, 1_000_000])
+
+
+@query(f"with {STEPPED} select user_id, (step - 1) // 50 as interval, step, value from stepped where step <= 120")
+def curve_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curves by run and interval: the second interval and those after it are written twice, then what lies behind a step is taken out."""
+    path = fresh_path(spark, "curve")
+    rows = monitor.stepped(table(spark, sf_dir, "events"), "user_id", "event_id").select("user_id", F.floor((F.col("step") - 1) / 50).cast("long").alias("interval"), "step", "value")
+    writers.curve(rows.withColumn("value", F.when(F.col("interval") == 0, F.col("value")).otherwise(-1.0)), path, "user_id")
+    writers.curve(rows.where("interval >= 1"), path, "user_id")
+    writers.trim_curve(spark, path, 120, run="user_id")
+    kept = spark.read.schema(rows.schema).parquet(path)
+    return kept.select("user_id", "interval", "step", "value")
+
+
+@query("""select doc_id::varchar || '.txt' as filename, 'copied' as status, strlen(text) as bytes from documents
+union all select 'gone-' || item_id::varchar, 'missing', 0 from benchmark""")
+def copied_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts as files, copied by URI in bins of like bytes; those of benchmark aren't there."""
+    folder = fresh_path(spark, "files")
+    rows = table(spark, sf_dir, "documents").select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("filename"), F.col("text").cast("binary").alias("content"))
+    made = saved(files.write(rows, f"{folder}/source", "filename", "content"), "made")
+    gone = table(spark, sf_dir, "benchmark").select(F.concat(F.lit("gone-"), F.col("item_id").cast("string")).alias("filename"), F.lit(0).cast("long").alias("bytes"))
+    return files.copy_until_done(made.unionByName(gone), f"{folder}/source", f"{folder}/target", size="bytes").select("filename", "status", "bytes")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_split(spark, sf_dir)

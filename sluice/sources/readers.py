@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable
+from typing import Any
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,17 +13,24 @@ from pyspark.sql import types as T
 from sluice.checks import CheckError, require_unique
 from sluice.functions.text import last_language, step_of, stripped
 from sluice.operators.catalog import refuse_contradictions, tagged, union_tabs
+from sluice.operators.monitor import checkpoints, newest_first
+from sluice.shared import located
 from sluice.sources.tree import walk as listing
+from sluice.sources.writers import UNFINISHED
 
-__all__ = ["blocklist", "catalog", "checkpoint_listing", "csv", "index", "listing", "manifest", "manifest_cuts", "manifest_names", "results", "shards"]
+__all__ = ["blocklist", "catalog", "checkpoint_listing", "csv", "index", "listing", "manifest", "manifest_cuts", "manifest_names", "newest_state", "results", "shards"]
 
 INDEX_HEADER = "relpath\tsize"
 MANIFEST = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "filename", "name_in_drive", "language", "genre", "speaking_style", "language_formality", "code_switching", "channel_id")] + [T.StructField("duration", T.DoubleType())])
 
 
-def csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text; quoted line ends and doubled quotes are kept together, empty cells are ''."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', inferSchema=False, ignoreLeadingWhiteSpace=False).na.fill("")
+def csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """All columns as text; quoted line ends and doubled quotes are kept together, empty cells are ''.
+
+    Cells may have line ends, so a file is one task's; large catalogs come in many files, or, where no cell has line
+    ends, with multi_line off, which splits files.
+    """
+    return spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"', inferSchema=False, ignoreLeadingWhiteSpace=False).na.fill("")
 
 
 def catalog(spark: SparkSession, paths: list[str], languages: list[str]) -> DataFrame:
@@ -92,3 +103,31 @@ def checkpoint_listing(spark: SparkSession, root: str) -> DataFrame:
     """folder and file of what is in folders that are named like checkpoints."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.split("path", "/").alias("p"))
     return rows.select(F.try_element_at("p", F.lit(-2)).alias("folder"), F.element_at("p", -1).alias("file")).where(step_of(F.col("folder")).isNotNull())
+
+
+def newest_state(spark: SparkSession, root: str, needed: list[str], read: Callable[[str], Any], explicit: int | None = None) -> tuple[int, Any] | None:
+    """The step and the state (what read makes of its folder) of the newest checkpoint that can be read; None without any.
+
+    Only complete ones are tried, newest first; one that read raises for is passed over with a warning. An
+    explicit one must be complete, and what read raises for it is raised. What stopped saves have left is removed first.
+    """
+    fs, at = located(spark, root)
+    if not fs.exists(at):
+        if explicit is not None:
+            raise CheckError(f"checkpoint {explicit} is not complete")
+        return None
+    for status in fs.listStatus(at):
+        if status.getPath().getName().startswith(UNFINISHED):
+            fs.delete(status.getPath(), True)
+    found = checkpoints(checkpoint_listing(spark, root), "folder", "file", needed)
+    steps = [r.step for r in newest_first(found).collect()]  # a row a checkpoint
+    if explicit is not None:
+        if explicit not in steps:
+            raise CheckError(f"checkpoint {explicit} is not complete")
+        return explicit, read(f"{root}/checkpoint-{explicit}")
+    for step in steps:
+        try:
+            return step, read(f"{root}/checkpoint-{step}")
+        except Exception as e:  # noqa: BLE001 whatever is wrong with it, the one before may do
+            warnings.warn(f"checkpoint {step} can't be read: {e}", stacklevel=2)
+    return None

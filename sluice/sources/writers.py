@@ -14,15 +14,20 @@ from sluice.operators.catalog import metadata
 from sluice.operators.cuts import too_long
 from sluice.shared import discard, located, put, saved
 
+#: CSV keeps white space at the ends of cells.
+WHOLE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: How the names of checkpoints begin that are being written.
+UNFINISHED = ".checkpoint-"
+
 
 def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | None = None) -> str:
     """Writes the catalog to a dated folder and to latest, and its counters to catalog_meta.json; returns the dated folder."""
     require_columns(df, required)
     stamp = f"{(now or datetime.now(UTC)):%Y%m%dT%H%M%SZ}"
     path = f"{folder}/catalog_{stamp}"
-    df.write.csv(path, header=True, quote='"', escape='"', emptyValue="")
+    df.write.csv(path, quote='"', escape='"', emptyValue="", **WHOLE)
     written = df.sparkSession.read.csv(path, header=True, multiLine=True, quote='"', escape='"').na.fill("")
-    published(written, f"{folder}/catalog_latest", lambda rows, at: rows.write.csv(at, header=True, quote='"', escape='"', emptyValue=""))
+    published(written, f"{folder}/catalog_latest", lambda rows, at: rows.write.csv(at, quote='"', escape='"', emptyValue="", **WHOLE))
     if {"language", "to_train"} <= set(df.columns):
         rows = {r["language"]: r for r in metadata(written.na.fill(""), "language", "to_train").collect()}  # one row a language
         meta = {"timestamp": stamp, "total_rows": rows[None].total if None in rows else 0}
@@ -33,7 +38,7 @@ def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | Non
 
 def index(df: DataFrame, path: str) -> None:
     """The index by relpath, in as many part files as its size asks for, each with the header; parts and their lines ascend."""
-    df.select("relpath", "size").repartitionByRange("relpath").sortWithinPartitions("relpath").write.mode("overwrite").csv(path, sep="\t", header=True, quote="")
+    df.select("relpath", "size").repartitionByRange("relpath").sortWithinPartitions("relpath").write.mode("overwrite").csv(path, sep="\t", quote="", **WHOLE)
 
 
 def manifest(df: DataFrame, path: str, id_col: str = "id", path_col: str = "name_in_drive") -> None:
@@ -42,7 +47,7 @@ def manifest(df: DataFrame, path: str, id_col: str = "id", path_col: str = "name
 
 
 def unresolved(df: DataFrame, path: str, columns: list[str], order: str = "row_index") -> None:
-    df.where("status <> 'resolved'").orderBy(order).select(F.col("status").alias("reason"), *columns).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
+    df.where("status <> 'resolved'").orderBy(order).select(F.col("status").alias("reason"), *columns).write.mode("overwrite").csv(path, quote='"', escape='"', **WHOLE)
 
 
 def shards(df: DataFrame, path: str, most: float | None = None, length: str = "cut_ms") -> None:
@@ -85,7 +90,7 @@ def checkpoint(spark: SparkSession, folder: str, step: int, files: dict[str, str
     An older checkpoint of the step stays until the new one is whole. Names that begin
     with a dot are left out by the listing, so what a stopped run leaves behind is no checkpoint.
     """
-    part, to = f"{folder}/.checkpoint-{step}-{uuid.uuid4().hex}", f"{folder}/checkpoint-{step}"
+    part, to = f"{folder}/{UNFINISHED}{step}-{uuid.uuid4().hex}", f"{folder}/checkpoint-{step}"
     fs, made = located(spark, part)
     fs.mkdirs(made)
     try:

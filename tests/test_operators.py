@@ -38,9 +38,10 @@ def test_params_rules():
     for bad in ((20, 25, 30), (5, 15, 18)):
         with pytest.raises(ValueError):
             params.ShardParams(1000, *bad)
-    with pytest.warns(UserWarning):
-        params.TrainParams(10, 1, 1e-3, precision="fp16")
-    assert params.Params.of({"select": good | {"new": 1}, "more": 2}).other == {"select": {"new": 1}, "more": 2}
+    assert params.Params.of({"select": good | {"new": 1}, "more": 2}, strict=False).other == {"select": {"new": 1}, "more": 2}
+    assert params.Params.of({"select": good, "more": 2}).other == {"more": 2}
+    with pytest.raises(ValueError, match="new"):
+        params.Params.of({"select": good | {"new": 1}})
 
 
 def test_barriers(spark):
@@ -397,16 +398,58 @@ def test_manifests(spark, tmp_path):
 # reports, barriers and restarts
 
 
-def test_more_settings():
-    base = dict(max_updates=10, warmup_updates=1, peak_lr=1e-3)
-    for bad in ({"adam_eps": 0}, {"mask_time_prob": 1.1}, {"weight_decay": -1}, {"max_gpu_memory_fraction": 0}, {"temp_decay": 2}, {"keep_last_n": 0}, {"num_workers": -1}):
+PRETRAIN = """
+pretrain:
+  base_model: some/model
+  max_updates: 13500
+  warmup_updates: 1000
+  peak_lr: 5.0e-5
+  hold_ratio: 0.4
+  adam_betas: [0.9, 0.98]
+  adam_eps: 1.0e-6
+  weight_decay: 0.01
+  max_grad_norm: 1.0
+  target_batch_seconds: 1600
+  per_device_max_seconds: 200
+  num_workers: 4
+  mask_time_prob: 0.65
+  mask_time_length: 10
+  diversity_loss_weight: 0.1
+  max_gumbel_temperature: 1.0
+  min_gumbel_temperature: 0.5
+  gumbel_temperature_decay: 0.999995
+  save_every_updates: 1500
+  eval_every_updates: 500
+  keep_last_n_checkpoints: 5
+  milestone_checkpoints: [4500, 9000, 13500]
+  output_dir: models/new
+monitoring:
+  consecutive_alerts: 3
+tracker:
+  uri: x
+"""
+
+
+def test_settings_of_a_run(tmp_path):
+    import yaml
+
+    (tmp_path / "params.yaml").write_text(PRETRAIN)
+    made = params.Params.from_yaml(str(tmp_path / "params.yaml"))
+    assert made.pretrain.milestone_checkpoints == (4500, 9000, 13500) and made.pretrain.precision == "bf16"
+    assert made.monitoring.consecutive_alerts == 3 and made.monitoring.perplexity_floor == 10 and made.other == {"tracker": {"uri": "x"}}
+    base = yaml.safe_load(PRETRAIN)["pretrain"]
+    for bad in ({"max_updates": -5}, {"max_updates": 0}, {"max_updates": 1.5}, {"max_updates": "9"}, {"adam_eps": 0}, {"mask_time_prob": 1.1}, {"weight_decay": -1}, {"max_gpu_memory_fraction": 0}, {"gumbel_temperature_decay": 2}, {"keep_last_n_checkpoints": 0}, {"num_workers": -1}, {"precision": "int8"}, {"unknown": 1}, {"freeze_feature_encoder": 1}):
         with pytest.raises(ValueError):
-            params.TrainParams(**base, **bad)
+            params.Params.of({"pretrain": base | bad})
+    for name in ("peak_lr", "output_dir", "milestone_checkpoints"):
+        with pytest.raises(ValueError, match=name):
+            params.Params.of({"pretrain": {k: v for k, v in base.items() if k != name}})
+    with pytest.warns(UserWarning):
+        params.Params.of({"pretrain": base | {"precision": "fp16"}})
     assert params.Params.of({}).monitoring.consecutive_alerts == 5
-    with pytest.raises(ValueError):
-        params.Params.of({"monitoring": {"perplexity_floor": 0}})
-    with pytest.raises(ValueError):
-        params.Params.of({"train": base | {"unknown": 1}}, strict=True)
+    for bad in ({"perplexity_floor": 0}, {"floor": 3}, None):
+        with pytest.raises(ValueError):
+            params.Params.of({"monitoring": bad})
 
 
 def test_catalog_metadata(spark, tmp_path):
@@ -431,11 +474,15 @@ def test_selection_report(spark):
     clips = values(spark, [(0, "big", "A |\nb", 1_800_000), (1, "big", "x", 1_800_000), (2, "small", "s", 1_800_000)], "row_index long, channel_id string, title string, duration_ms long")
     chosen = clips.withColumns({"split": F.lit("train"), "language": F.lit("en")})
     stats = split.stats(chosen, split.Limits(target=10_800_000)).first()
-    cleaning = {"to_train_rows": 1234, "repeats_removed": 5, "ambiguous": 1, "no_match": 2, "duplicate_path": 3, "candidates": 1223}
-    text = report.selection(stats, 3.0, {"en": 1.5}, {"a": 0.5, "b": 1.0}, split.top_sources(chosen).collect(), 0, cleaning)
-    for line in ("Target: 3.0h | Realised: 1.5h", "- to_train=yes rows: 1,234", "set aside: 6 (ambiguous 1, no_match 2, duplicate_path 3)", "- en: 1.5h", "| 1 | big | 1.00 | 66.7% | 2 | A \\| b |", "## Channels: 2 train, 0 holdout, 0 overlap"):
-        assert line in text
-    assert text.index("- b: 1.0h") < text.index("- a: 0.5h") and "cleaning" not in report.selection(stats, 3.0, {}, {}, [], 0)
+    cleaning = {"marked": 1234, "repeats": 5, "ambiguous": 1, "candidates": 1228}
+    genres = split.top_by_hours(chosen.withColumn("genre", F.when(F.col("row_index") == 0, "z").otherwise("a")), "genre").collect()
+    tied = split.top_by_hours(chosen.where("row_index > 0").withColumn("genre", F.concat(F.lit("g"), (-F.col("row_index")).cast("string"))), "genre").collect()
+    text = report.selection(stats, 3.0, split.hours_by(chosen, "language").collect(), genres, split.top_sources(chosen).collect(), 0, cleaning)
+    for line in ("| train | 1.50 | 3 | 2 |", "| holdout | 0.00 | 0 | 0 |", "| marked | 1234 |", "| ambiguous | 1 |", "| en | 1.50 |", "| 1 | big | 1.00 | 66.7% | 2 | A \\| b |", "falls short by 50.0 %"):
+        assert line in text, line
+    assert text.index("| a | 1.00 |") < text.index("| z | 0.50 |")
+    assert [r.genre for r in tied] == ["g-1", "g-2"]  # ties by first row
+    assert "catalog" not in report.selection(stats, 3.0, [], tied, [], 0)
 
 
 def test_selection_of_a_checkpoint(spark):
