@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def tri_stage_lr(step: Column, peak: float, warmup: int, hold_ratio: float, updates: int) -> Column:
-    """Linear to peak in warmup steps, held for hold_ratio of what is left, then decaying to a hundredth at updates."""
-    hold_end = warmup + int(hold_ratio * (updates - warmup))
-    decay = updates - hold_end
-    falling = F.lit(peak) if decay == 0 else F.lit(peak) * F.pow(F.lit(math.pow(0.01, 1 / max(decay, 1))), step - hold_end)
-    rising = F.lit(peak) * step / F.lit(warmup) if warmup else F.lit(peak)
-    return F.when(step < warmup, rising).when(step < hold_end, F.lit(peak)).otherwise(falling)
+def tri_stage_lr(step: Column, peak: float, warmup: int | Column, hold_ratio: float, updates: int | Column) -> Column:
+    """Linear to peak in warmup steps, held for hold_ratio of what is left, then decaying to a hundredth at updates. Both may differ from run to run."""
+    warm, last = F.lit(warmup), F.lit(updates)
+    hold_end = warm + F.floor(F.lit(hold_ratio) * (last - warm))
+    rising = F.lit(peak) * step / F.nullif(warm, F.lit(0))
+    falling = F.lit(peak) * F.pow(F.pow(F.lit(0.01), F.lit(1.0) / F.greatest(last - hold_end, F.lit(1))), F.when(last > hold_end, step - hold_end).otherwise(0))
+    return F.when(step < warm, rising).when(step < hold_end, F.lit(peak)).otherwise(falling)
 
 
 def gumbel_temperature(step: Column, top: float, bottom: float, decay: float) -> Column:

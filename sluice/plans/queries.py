@@ -18,8 +18,8 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 LIMITS = split.Limits()
-LR = {"peak": 5e-5, "warmup": 1350, "hold_ratio": 0.4, "updates": 13_500}
-TEMP = {"top": 1.0, "bottom": 0.5, "decay": 0.9999}
+LR = {"peak": 5e-5, "hold_ratio": 0.4}
+TEMP = {"top": 1.0, "bottom": 0.5, "decay": 0.999}
 BLOCKED = ("src3", "src7")
 PREFIXES = {"asr": "click", "sid": "view", "er": "sign", "sd": "error", "asv": "purch"}
 
@@ -371,27 +371,35 @@ def pad_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.padded_batches(rows, "v", "batch").select("conv_id", joined("input"), joined("mask"))
 
 
-@query("""with s as (select unnest(range(0, 13501, 100)) as step)
-select step, round(case when step < 1350 then 5e-5::double * step / 1350 when step < 6210 then 5e-5::double else 5e-5::double * pow(pow(0.01::double, 1.0::double / 7290), step - 6210) end, 12) as lr from s""")
+STEPPED = "stepped as (select user_id, value, row_number() over (partition by user_id order by event_id) as step from events)"
+
+
+@query(f"""with {STEPPED}, r as (select user_id, step, max(step) over (partition by user_id) as updates from stepped), w as (select *, updates // 10 as warm, updates // 10 + floor(0.4::double * (updates - updates // 10))::bigint as held from r)
+select user_id, step, round(case when step < warm then 5e-5::double * step / warm when step < held then 5e-5::double else 5e-5::double * pow(pow(0.01::double, 1.0::double / greatest(1, updates - held)), step - held) end, 12) as lr from w""")
 def lr_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(0, 13_501, 100).select(F.col("id").alias("step"), F.round(schedules.tri_stage_lr(F.col("id"), **LR), 12).alias("lr"))
+    """The rate at each step of each run; a run's own number of steps is what its schedule is laid over."""
+    rows = monitor.stepped(table(spark, sf_dir, "events"), "user_id", "event_id").select("user_id", "step")
+    updates = rows.groupBy("user_id").agg(F.max("step").alias("updates"))
+    lr = schedules.tri_stage_lr(F.col("step"), LR["peak"], F.floor(F.col("updates") / 10), LR["hold_ratio"], F.col("updates"))
+    return rows.join(updates, "user_id").select("user_id", "step", F.round(lr, 12).alias("lr"))
 
 
-@query("select step, round(greatest(0.5::double, 1.0::double * pow(0.9999::double, step)), 9) as temperature from (select unnest(range(0, 13501, 100)) as step)")
+@query(f"with {STEPPED} select user_id, step, round(greatest(0.5::double, 1.0::double * pow(0.999::double, step)), 9) as temperature from stepped")
 def gumbel_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.range(0, 13_501, 100).select(F.col("id").alias("step"), F.round(schedules.gumbel_temperature(F.col("id"), **TEMP), 9).alias("temperature"))
+    rows = monitor.stepped(table(spark, sf_dir, "events"), "user_id", "event_id")
+    return rows.select("user_id", "step", F.round(schedules.gumbel_temperature(F.col("step"), **TEMP), 9).alias("temperature"))
 
 
-@query("select u as updates, round(u * 1600.0::double / 82.99::double / 3600, 6) as hours, round(u * 1600.0::double / 82.99::double / 3600 / 24, 6) as days, greatest(1, floor(1600.0::double / (200.0::double * (u // 10000 + 1))))::bigint as accumulate from (select unnest(range(0, 50001, 2500)) as u)")
+@query("""with u as (select user_id, count(*) as updates, avg(value) as seconds from events group by user_id)
+select user_id, updates, round(updates * 1600.0::double / seconds / 3600, 6) as hours, greatest(1, floor(1600.0::double / seconds))::bigint as accumulate from u""")
 def eta_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = F.col("id")
-    hours = schedules.eta_hours(u, F.lit(1600.0), F.lit(82.99))
-    steps = schedules.accumulation_steps(F.lit(1600.0), F.lit(200.0), F.floor(u / 10_000) + 1)
-    return spark.range(0, 50_001, 2_500).select(u.alias("updates"), F.round(hours, 6).alias("hours"), F.round(hours / 24, 6).alias("days"), steps.cast("long").alias("accumulate"))
+    """What a run of as many updates as a user has events takes at the rate of their mean value, and how many such readings make a batch."""
+    runs = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("updates"), F.avg("value").alias("seconds"))
+    hours = schedules.eta_hours(F.col("updates"), F.lit(1600.0), F.col("seconds"))
+    steps = schedules.accumulation_steps(F.lit(1600.0), F.col("seconds"), F.lit(1))
+    return runs.select("user_id", "updates", F.round(hours, 6).alias("hours"), steps.cast("long").alias("accumulate"))
 
 
-STEPPED = "stepped as (select user_id, value, row_number() over (partition by user_id order by event_id) as step from events)"
-
 
 @query(f"with {STEPPED} select user_id, (step - 1) // 50 as interval, count(*) as n, round(avg(value), 6) as mean, round(sum(value), 6) as total, arg_max(value, step) as last, max(step) as last_step from stepped group by 1, 2")
 def interval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
