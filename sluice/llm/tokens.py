@@ -30,15 +30,17 @@ END_ID, KEEP = 1, 1_000_000
 #: Letters that have just one form, and what may follow them as one run of punctuation.
 PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 NO_ID = -(2**63)
+#: A text whose ids show how a tokenizer treats white space, cases and punctuation.
+PROBE = "Hello  World,\tHELLO hello! hello!?\nÉlan élan. ÀÉ (five) x's 123 a-b AbC Word;word: the  THE The, \u00df \u00c5ngstr\u00f6m"
 
 
 class Encoder:
     """Encodes texts word by word and keeps what it has encoded, up to ``keep`` words; beyond, those in one slice only go first.
 
-    The tokenizer must treat white space as a mere separator (its normaliser and
-    pre-tokeniser drop it), so that a text's ids are its words' ids in a row. Where it
-    also makes lower case and splits letters from punctuation, as its end-of-word ids
-    show, new words of letters are encoded many at a time as one text.
+    Where the tokenizer treats white space as a mere separator (its normaliser and
+    pre-tokeniser drop it), a text's ids are its words' ids in a row. Where it has end-of-word
+    ids, makes lower case and splits letters from punctuation, new words of letters are encoded many at
+    a time as one text. A probe text shows at the start which of these hold; without the first, texts are encoded whole.
     """
 
     def __init__(self, path: str, keep: int = KEEP) -> None:
@@ -50,6 +52,12 @@ class Encoder:
         self.wide = size > 1 << 16
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
+        one = lambda text: self.whole([text])[0]
+        words = PROBE.split()
+        self.apart = one(PROBE) == list(chain.from_iterable(map(one, words)))
+        plain = [m.groups() for w in words if (m := PLAIN.fullmatch(w))]
+        if not all(one(core + tail) == one(core.lower()) + (one(tail) if tail else []) for core, tail in plain):
+            self.ends[:] = False  # it tells cases apart, or joins letters and punctuation
         self.forget()
 
     def forget(self) -> None:
@@ -127,6 +135,11 @@ class Encoder:
 
     def encode(self, texts: pa.Array, step: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of the texts (null: empty), some at a time, in a row, and where each text's end there; step: words at a time."""
+        if not self.apart:
+            for low in range(0, len(texts), 256):
+                rows = self.whole([t or "" for t in texts.slice(low, 256).to_pylist()])
+                yield np.array(list(chain.from_iterable(rows)), np.uint32), np.cumsum([len(r) for r in rows])
+            return
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))  # words may hold other white space, which the tokenizer sees to
         coded = lists.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()

@@ -131,6 +131,21 @@ def test_digest(text):
     assert digests.likeness(digests.digest(data), digests.digest(data)) == 1.0
 
 
+def plain_likeness(a, b):
+    """Differences of quartile codes, one bucket after another, and of the lengths."""
+    code = lambda d, i: d[1 + i // 4] >> (6 - 2 * (i % 4)) & 3
+    score = sum((0, 1, 2, 6)[abs(code(a, i) - code(b, i))] for i in range(512)) + 2 * min(16, abs(a[0] - b[0]))
+    most = 512 * sum((0, 1, 2, 6)[abs(x - y)] for x in range(4) for y in range(4)) / 16
+    return 1 - min(score, most) / most
+
+
+def test_likeness_by_buckets(documents):
+    some = [digests.digest(t.encode()) for _, t in documents[:40]] + [digests.digest(b""), digests.digest(b"x"), digests.digest(b"ab" * 50_000)]
+    for a in some:
+        for b in some[:12] + some[-3:]:
+            assert abs(digests.likeness(a, b) - plain_likeness(a, b)) < 1e-12
+
+
 def test_edits_query(spark, documents):
     docs = documents[::-1]
     got = {r.doc_id: r for r in queries.op10_digests(spark, SF).collect()}

@@ -39,6 +39,33 @@ def test_encoder_that_forgets():
         assert got == [ids_of(t)[:-4] for t in texts[i : i + 4]]
 
 
+def cased_file(folder):
+    """A tokenizer of few letters that tells cases apart, with end-of-word ids."""
+    from tokenizers import models, pre_tokenizers
+
+    letters = sorted(set("Helo Wrd,!HELLOWRDhelowrdAbcé".replace(" ", "")))
+    vocab = {x: i for i, x in enumerate([*letters, *(f"{x}</w>" for x in letters), "He", "he", "lo</w>", "ld</w>", "HE"])}
+    made = Tokenizer(models.BPE(vocab=vocab, merges=[("H", "e"), ("h", "e"), ("l", "o</w>"), ("l", "d</w>"), ("H", "E")], end_of_word_suffix="</w>"))
+    made.pre_tokenizer = pre_tokenizers.Whitespace()
+    made.save(str(folder / "cased.json"))
+    return str(folder / "cased.json")
+
+
+TEXTS = ["Hello World", "HELLO, hello!", "hello world", "", None, "Hello  hello\tHELLO\nhe,He", "Abc " * 300]
+
+
+def test_tokenizers_of_other_kinds_give_the_ids_of_whole_texts(tmp_path):
+    from sluice.llm.queries import BYTE_BPE
+
+    for path in (cased_file(tmp_path), BYTE_BPE, TOKENIZER):
+        plainly = Tokenizer.from_file(path)
+        want = [np.array(plainly.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in TEXTS]
+        assert list(tokens.encoded(pa.array(TEXTS, pa.string()), path, end_id=None)) == want
+        tokens.encoder(path).forget()
+    given = tokens.Encoder(TOKENIZER)
+    assert given.apart and given.ends.any()
+
+
 def test_token_files_query(spark, documents):
     at, want = 0, {}
     for i, t in documents:
