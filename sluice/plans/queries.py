@@ -309,7 +309,10 @@ def stream_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shard_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts as archives of a hundred each, read back."""
     path = fresh_path(spark, "archives")
-    rows = cuts.sharded(table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("id"), F.col("text").cast("binary").alias("payload"), "lang"), 1337, 100)
+    name = F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("id")
+    docs = table(spark, sf_dir, "documents")
+    places = saved(cuts.sharded(docs.select(name), 1337, 100), "places")  # ranked without the texts
+    rows = docs.select(name, F.col("text").cast("binary").alias("payload"), "lang").join(places, "id")
     archives.write_archives(rows, path, extension="txt")
     back = archives.read_archives(spark, path)
     return back.select("shard_id", F.col("position").alias("nth"), "id", F.octet_length("payload").cast("long").alias("bytes"), F.md5("payload").alias("digest"))
