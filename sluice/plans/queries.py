@@ -313,7 +313,7 @@ def shard_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     places = saved(cuts.sharded(docs.select(name), 1337, 100), "places")  # ranked without the texts
     rows = docs.select(name, F.col("text").cast("binary").alias("payload"), "lang").join(places, "id")
-    archives.write_archives(rows, path, extension="txt")
+    archives.write_archives(rows, path, extension="txt", compression="gzip")
     back = archives.read_archives(spark, path)
     return back.select("shard_id", F.col("position").alias("nth"), "id", F.octet_length("payload").cast("long").alias("bytes"), F.md5("payload").alias("digest"))
 

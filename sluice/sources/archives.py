@@ -25,11 +25,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from sluice.shared import files_at
 
 ITEMS = T.StructType([T.StructField("shard_id", T.LongType()), T.StructField("position", T.LongType()), T.StructField("id", T.StringType()), T.StructField("payload", T.BinaryType()), T.StructField("meta", T.StringType())])
-NAME = re.compile(r"shard-(\d+)\.tar")
+NAME = re.compile(r"shard-(\d+)\.tar(\.gz)?")
 
 
-def archive_name(shard: int) -> str:
-    return f"shard-{shard:06d}.tar"
+def archive_name(shard: int, compression: str | None = None) -> str:
+    return f"shard-{shard:06d}.tar" + (".gz" if compression else "")
 
 
 @dataclass
@@ -42,6 +42,9 @@ class Written(WriterCommitMessage):
 class Writer(DataSourceArrowWriter):
     def __init__(self, options: dict[str, str], overwrite: bool) -> None:
         self.path, self.extension, self.overwrite = options["path"], options.get("extension", "bin"), overwrite
+        self.compression = options.get("compression") or None
+        if self.compression not in (None, "gzip"):
+            raise ValueError(f"compression must be gzip or none, got {self.compression}")
         self.job = f"{self.path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -60,7 +63,7 @@ class Writer(DataSourceArrowWriter):
                             raise ValueError(f"{shard} is no number of a shard")
                         to = f"{job}/{archive_name(shard)}.{uuid.uuid4().hex}"
                         archives.append((shard, to))
-                        stream = fs.open_output_stream(to)
+                        stream = fs.open_output_stream(to, compression=self.compression)
                         tar = tarfile.open(fileobj=stream, mode="w|", format=tarfile.PAX_FORMAT)
                     rest = {k: v for k, v in row.items() if k not in ("shard_id", "id", "payload")}
                     for name, data in ((f"{row['id']}.{self.extension}", row["payload"] or b""), (f"{row['id']}.json", json.dumps(rest, ensure_ascii=False, default=str).encode())):
@@ -88,10 +91,10 @@ class Writer(DataSourceArrowWriter):
             raise ValueError(f"shards {both[:5]} are there already")
         fs.create_dir(folder, recursive=True)
         for shard, at in found:
-            fs.move(at, f"{folder}/{archive_name(shard)}")
+            fs.move(at, f"{folder}/{archive_name(shard, self.compression)}")
         if self.overwrite:
-            for number in there.keys() - {f"{n:06d}" for n in numbers}:
-                fs.delete_file(there[number])
+            for path in set(there.values()) - {f"{folder}/{archive_name(n, self.compression)}" for n in numbers}:
+                fs.delete_file(path)
         self.clear()
 
     def abort(self, messages: list[Written | None]) -> None:
@@ -132,7 +135,7 @@ class Reader(DataSourceReader):
         if not partition.path:
             return
         fs, _ = files_at(self.path)
-        with fs.open_input_stream(partition.path) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
+        with fs.open_input_stream(partition.path, compression="gzip" if partition.path.endswith(".gz") else None) as stream, tarfile.open(fileobj=stream, mode="r|") as tar:
             payload, position = None, 0
             for member in tar:
                 data = tar.extractfile(member).read()
@@ -144,7 +147,7 @@ class Reader(DataSourceReader):
 
 
 class Archives(DataSource):
-    """Options: path (a folder, or a URI that pyarrow.fs knows), extension."""
+    """Options: path (a folder, or a URI that pyarrow.fs knows), extension, compression (gzip, or none)."""
 
     @classmethod
     def name(cls) -> str:
@@ -160,17 +163,17 @@ class Archives(DataSource):
         return Writer(self.options, overwrite)
 
 
-def write_archives(items: DataFrame, path: str, order: str = "position", extension: str = "bin", overwrite: bool = False) -> None:
+def write_archives(items: DataFrame, path: str, order: str = "position", extension: str = "bin", overwrite: bool = False, compression: str | None = None) -> None:
     """items (shard_id, id, payload, and other columns, which go to the JSON) as an archive a shard, in order.
 
-    Shards are dealt to tasks by their number, so each is one task's; a null or negative number is an error. Null payloads are empty.
+    Shards are dealt to tasks by their number, so each is one task's; a null or negative number is an error. Null payloads are empty. compression: gzip suits texts, and makes them <archive>.tar.gz.
     """
     spark = items.sparkSession
     spark.dataSource.register(Archives)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     number = F.coalesce(F.pmod(F.col("shard_id"), F.lit(parts)), F.lit(0)).cast("int")
     dealt = items.withColumn("shard_id", F.col("shard_id").cast("long")).repartitionById(parts, number).sortWithinPartitions("shard_id", order)
-    dealt.write.format("archives").mode("overwrite" if overwrite else "append").option("path", path).option("extension", extension).save()
+    dealt.write.format("archives").mode("overwrite" if overwrite else "append").option("path", path).option("extension", extension).option("compression", compression or "").save()
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

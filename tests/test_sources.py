@@ -79,6 +79,20 @@ def test_archives_of_some_shards(spark, tmp_path):
     assert archives.read_archives(spark, str(tmp_path)).where("shard_id = 77").count() == 0
 
 
+def test_compressed_archives(spark, tmp_path):
+    rows = items(spark, 50, 20)
+    archives.write_archives(rows, str(tmp_path / "out"), compression="gzip")
+    assert sorted(os.listdir(tmp_path / "out")) == [f"shard-{i:06d}.tar.gz" for i in range(3)]
+    with tarfile.open(tmp_path / "out" / "shard-000002.tar.gz", "r:gz") as t:
+        assert len(t.getnames()) == 20
+    back = archives.read_archives(spark, str(tmp_path / "out"))
+    assert {(r.id, bytes(r.payload)) for r in back.collect()} == {(r.id, bytes(r.payload)) for r in rows.collect()}
+    with pytest.raises(Exception, match="there already"):
+        archives.write_archives(rows, str(tmp_path / "out"))
+    archives.write_archives(rows, str(tmp_path / "out"), overwrite=True)
+    assert sorted(os.listdir(tmp_path / "out")) == [f"shard-{i:06d}.tar" for i in range(3)]
+
+
 def test_archives_written_again(spark, tmp_path):
     rows = items(spark, 60, 20)
     archives.write_archives(rows, str(tmp_path))
