@@ -246,7 +246,8 @@ def read_archives(manifest: DataFrame, folder: str, keep_payload: bool = True) -
         return pa.table([pa.array([x], t) for x, t in zip(out, FIELD_TYPES, strict=True)], names=FIELD_NAMES)
 
     segments = found.where("origin is not null").select("fields", "origin", "number", "total", "block")
-    return found.where("origin is null").select(*FIELD_NAMES).unionByName(segments.groupBy("origin").applyInArrow(gather, FIELDS))
+    whole = saved(segments.groupBy("origin").applyInArrow(gather, FIELDS), "reassembled")  # resolved reads it twice
+    return found.where("origin is null").select(*FIELD_NAMES).unionByName(whole)
 
 
 def resolved(read: DataFrame) -> DataFrame:
