@@ -292,12 +292,12 @@ def without_copies(rows: DataFrame) -> DataFrame:
     return saved(kept, "distinct")
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_terms: int = 2_000, max_clean: int = 100_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000) -> Model:
     """A model from the labels given (the caller leaves out what is held out).
 
-    max_rows bounds the labelled rows that take part, by least hash of their ids; the
-    lexicon gets max_terms learnt words and stems at most, by evidence, and max_clean words of
-    clean rows at most, the most frequent ones, are known not to be misspellings of a term. Of rows with one label whose
+    max_rows bounds the labelled rows that take part, by least hash of their ids. From these
+    the lexicon gets every word and stem of three toxic rows or more whose evidence is over 14 (by chance alone
+    about one in 10^6 has that), and all words of clean rows that are near a term are known not to be misspellings of it. Of rows with one label whose
     five-word shingles share the three MinHash values of one of five bands one takes part: copies
     would pass for so many proofs. Labels other than 0
     and 1 don't count; of an id's labels the greatest does. Without labels the model is
@@ -344,7 +344,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         kept = counts.where("a >= 3").withColumns({"w": weight, "e": evidence}).where("w > 1.5 and e > 14")
         used: dict[str, int] = {}
         stems: list[str] = []
-        for r in kept.orderBy(F.desc(F.col("e") * F.when(F.col("term").startswith("="), 1.0).otherwise(0.97)), "term").limit(max_terms).collect():
+        for r in kept.orderBy(F.desc(F.col("e") * F.when(F.col("term").startswith("="), 1.0).otherwise(0.97)), "term").collect():
             stem, word = r.term[0] == "^", r.term[1:]
             if any(word.startswith(x) or stem and x.startswith(word) for x in stems) or stem and sum(n for x, n in used.items() if x.startswith(word)) > 0.8 * r.uses_a:
                 continue  # another entry has it
@@ -367,7 +367,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         yield pa.record_batch([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["word", "n"])
 
     # words of clean rows that are near a term: no misspellings of it
-    clean = frozenset(r.word for r in rows.mapInArrow(seen, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(max_clean).collect())
+    clean = frozenset(r.word for r in rows.mapInArrow(seen, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect())
     scorer = Scorer(terms, exact, clean, rates)
     second = spark.sparkContext.broadcast(scorer)
 
