@@ -44,6 +44,11 @@ def sharded(cuts: DataFrame, seed: int, size: int, id_col: str = "id") -> DataFr
     return out.withColumn("shard_id", F.floor(F.col("position") / size).cast("long"))
 
 
+def shard_numbers(cuts: DataFrame, size: int) -> DataFrame:
+    """The shard_id of every shard that sharded makes of cuts: positions have no gaps, so the number of cuts tells them."""
+    return cuts.sparkSession.range(-(-cuts.count() // size)).withColumnRenamed("id", "shard_id")
+
+
 def dealt(shards: DataFrame, seed: int, epoch: int, world: int, workers: int) -> DataFrame:
     """shard_id and worker: each shard goes to one worker of one rank, dealt anew each epoch; one row a shard."""
     out = ranked(shards.withColumn("__order", seeded(F.col("shard_id"), seed + epoch)), [F.col("__order")], hash_bucket(F.col("__order")), "__nth")

@@ -273,8 +273,9 @@ SHARDED = CLIPS + ", sharded as (select *, row_number() over (order by md5('1337
 @query(f"""with {SHARDED}, deal as (select shard_id, (row_number() over (order by md5('1340:' || shard_id::varchar)) - 1) % 8 as worker from (select distinct shard_id from shards))
 select row_index, position, shard_id, worker from shards join deal using (shard_id)""")
 def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = cuts.sharded(clips(spark, sf_dir), 1337, 100)
-    return rows.join(cuts.dealt(rows.select("shard_id").distinct(), 1337, 3, 4, 2), "shard_id").select("row_index", "position", "shard_id", "worker")
+    rows = clips(spark, sf_dir)
+    deal = cuts.dealt(cuts.shard_numbers(rows, 100), 1337, 3, 4, 2)
+    return cuts.sharded(rows, 1337, 100).join(deal, "shard_id").select("row_index", "position", "shard_id", "worker")
 
 
 @query(f"with {SHARDED} select shard_id, count(*) as n, sum(duration_ms)::bigint as total_ms, max(duration_ms) as longest_ms from shards group by shard_id")
