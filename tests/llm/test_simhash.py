@@ -198,3 +198,18 @@ def test_one_of_each_in_parts(spark):
 def test_one_of_each_with_maps(spark):
     rows = [(1, "a text", {"k": 1}), (1, "a text", {"k": 1}), (2, "A TEXT", {"k": 2})]
     assert [(r.doc_id, r.m) for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>")).collect()] == [(1, {"k": 1})]
+
+
+def test_minhashes_against_a_loop():
+    for n in (1, 255, 256, 257, 1000):
+        hashes = np.random.default_rng(n).integers(0, 2**64, n, np.uint64).tolist()
+        products = [[h * m % 2**64 for h in hashes] for m in simhash.MULTIPLIERS.tolist()]
+        assert simhash.minhashes(np.array(hashes, np.uint64)).tolist() == [min(p ^ p >> 32 for p in row) for row in products]
+
+
+def test_texts_that_share_half_their_words_seldom_meet():
+    """300 texts with 40 words in common and 40 of their own; of any band a thirtieth of them may meet."""
+    common = " ".join(f"c{i}" for i in range(40))
+    keys = [simhash.shingled(f"{common} {' '.join(f'{n}x{i}' for i in range(40))}".encode(), 5)[0] for n in range(300)]
+    largest = [max(np.unique([k[band] for k in keys], return_counts=True)[1]) for band in range(simhash.BANDS)]
+    assert np.mean(largest) < 300 / 12
