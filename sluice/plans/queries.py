@@ -598,11 +598,11 @@ def milestone_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {STEPPED} select user_id, (step - 1) // 50 as interval, step, value from stepped where step <= 120")
 def curve_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curves by run and interval: the second interval and those after it are written twice, then what lies behind a step is taken out."""
+    """Curves of many runs, by interval and bucket of runs: the second interval and those after it are written twice, then what lies behind a step is taken out."""
     path = fresh_path(spark, "curve")
     rows = monitor.stepped(table(spark, sf_dir, "events"), "user_id", "event_id").select("user_id", F.floor((F.col("step") - 1) / 50).cast("long").alias("interval"), "step", "value")
-    writers.curve(rows.withColumn("value", F.when(F.col("interval") == 0, F.col("value")).otherwise(-1.0)), path, "user_id")
-    writers.curve(rows.where("interval >= 1"), path, "user_id")
+    writers.curve(rows.withColumn("value", F.when(F.col("interval") == 0, F.col("value")).otherwise(-1.0)), path, "user_id", buckets=32)
+    writers.curve(rows.where("interval >= 1"), path, "user_id", buckets=32)
     writers.trim_curve(spark, path, 120, run="user_id")
     kept = spark.read.schema(rows.schema).parquet(path)
     return kept.select("user_id", "interval", "step", "value")

@@ -18,6 +18,8 @@ from sluice.shared import discard, located, put, saved
 WHOLE = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 #: How the names of checkpoints begin that are being written.
 UNFINISHED = ".checkpoint-"
+#: The column that tells a curve's bucket of runs.
+BUCKET = "run_bucket"
 
 
 def catalog(df: DataFrame, folder: str, required: list[str], now: datetime | None = None) -> str:
@@ -57,25 +59,49 @@ def shards(df: DataFrame, path: str, most: float | None = None, length: str = "c
     published(dealt, path, lambda rows, at: rows.write.partitionBy("shard_id").parquet(at), rules)
 
 
-def curve(df: DataFrame, path: str, run: str = "run", interval: str = "interval") -> None:
-    """Readings of a curve, a folder a run and interval: intervals that are written again replace what was there, all others stay."""
-    df.repartition(run, interval).sortWithinPartitions(run, interval).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run, interval).parquet(path)
+def curve(df: DataFrame, path: str, run: str = "run", interval: str = "interval", buckets: int | None = None) -> None:
+    """Readings of a curve: a run's intervals that are written again replace what was there, all others stay.
+
+    A folder a run and interval; with buckets a folder an interval and bucket of runs, so that many runs don't make as many
+    folders. The readings of other runs in a bucket are then written again with the new ones. A path keeps its number of buckets.
+    """
+    if not buckets:
+        by_folder(df, path, [run, interval])
+        return
+    folders, columns = [interval, BUCKET], [*df.columns, BUCKET]
+    new = saved(df.withColumn(BUCKET, F.pmod(F.xxhash64(run), F.lit(buckets)).cast("int")), "curve")
+    stay, (fs, at) = None, located(df.sparkSession, path)
+    if fs.exists(at):
+        old = df.sparkSession.read.schema(new.schema).parquet(path)
+        again = new.select(*(F.col(c).alias(f"__{c}") for c in (run, interval))).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (run, interval)]
+        touched = new.select(*(F.col(c).alias(f"__{c}") for c in folders)).distinct()
+        there = old.join(F.broadcast(touched), [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in folders], "left_semi")
+        stay = saved(there.join(again, same, "left_anti").select(columns), "curve")
+    by_folder(new if stay is None else new.unionByName(stay), path, folders)
+    discard(*(x for x in (new, stay) if x is not None))
+
+
+def by_folder(df: DataFrame, path: str, folders: list[str]) -> None:
+    """Each folder that df has rows of is replaced; one task writes it."""
+    df.repartition(*folders).sortWithinPartitions(*folders).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
 def trim_curve(spark: SparkSession, path: str, resume: int, step: str = "step", run: str = "run", interval: str = "interval") -> None:
-    """Takes the steps behind the one that runs resume from out of a written curve; 0 takes all. Only intervals that have such steps are touched."""
+    """Takes the steps behind the one that runs resume from out of a written curve, in folders of either kind; 0 takes all. Only folders that have such steps are touched."""
     fs, at = located(spark, path)
     if not fs.exists(at):
         return
     rows = spark.read.parquet(path)
-    stale = rows.where((F.col(step) > resume) | F.lit(resume == 0)).select(run, interval).distinct()
+    folders = [interval, BUCKET] if BUCKET in rows.columns else [run, interval]
+    stale = rows.where((F.col(step) > resume) | F.lit(resume == 0)).select(folders).distinct()
     stale = saved(stale, "stale")
-    keep = rows.join(F.broadcast(stale), [run, interval]).where((F.col(step) <= resume) & F.lit(resume != 0))
+    keep = rows.join(F.broadcast(stale), folders).where((F.col(step) <= resume) & F.lit(resume != 0))
     keep = saved(keep, "trimmed")
-    rest = stale.join(keep.select(run, interval).distinct(), [run, interval], "left_anti")
-    curve(keep.select(rows.columns), path, run, interval)
+    rest = stale.join(keep.select(folders).distinct(), folders, "left_anti")
+    by_folder(keep.select(rows.columns), path, folders)
     for r in rest.toLocalIterator():  # folders of which nothing stays
-        fs.delete(located(spark, f"{path}/{run}={r[0]}/{interval}={r[1]}")[1], True)
+        fs.delete(located(spark, f"{path}/{folders[0]}={r[0]}/{folders[1]}={r[1]}")[1], True)
     discard(stale, keep)
 
 

@@ -65,6 +65,22 @@ def test_curve_that_is_replayed_and_trimmed(spark, tmp_path):
     writers.trim_curve(spark, str(tmp_path / "absent"), 5)
 
 
+def test_curves_of_many_runs_have_few_folders(spark, tmp_path):
+    path = str(tmp_path / "curve")
+    part = lambda runs, low, high, v: values(spark, [(r, s, (s - 1) // 10, v) for r in runs for s in range(low, high)], "run long, step long, interval long, v double")
+    everyone = [None, *range(300)]
+    writers.curve(part(everyone, 1, 21, 1.0), path, buckets=4)
+    writers.curve(part([None, 7, 8], 11, 31, 2.0), path, buckets=4)  # others of their buckets stay
+    assert len({p.parent for p in (tmp_path / "curve").rglob("*.parquet")}) <= 3 * 4
+    found = lambda: sorted((-1 if r.run is None else r.run, r.step, r.v) for r in spark.read.parquet(path).collect())
+    again = {-1, 7, 8}
+    want = sorted([(r, s, 2.0 if r in again and s > 10 else 1.0) for r in range(-1, 300) for s in range(1, 21)] + [(r, s, 2.0) for r in again for s in range(21, 31)])
+    assert found() == want
+    writers.trim_curve(spark, path, 14)
+    assert found() == [x for x in want if x[1] <= 14]
+    assert not list((tmp_path / "curve" / "interval=2").rglob("*.parquet"))
+
+
 def test_index_in_parts(spark, tmp_path):
     rows = values(spark, [(f"a/{i:04d}.wav", i) for i in range(500, 0, -1)], "relpath string, size long")
     writers.index(rows, str(tmp_path / "i"))
