@@ -40,6 +40,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts with 0.8 of their five-word shingles or more in common.
 
+    Fingerprints that BK-trees link nominate, and MinHash bands what three bits don't reach; the full sets of shingles decide.
     Of a group the row with the least id stays; ties and repeated rows as simhash.one_of_each says.
     Null and empty texts are one group. Rows with a null id all stay.
     """

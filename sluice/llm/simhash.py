@@ -248,8 +248,8 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingled(text: bytes, shingle: int, seed: int = SEED) -> tuple[list[int], bytes]:
-    """Band keys and all distinct shingle hashes (32 bits each, ascending) of a text's words."""
+def shingled(text: bytes, shingle: int, seed: int = SEED) -> tuple[list[int], bytes, int]:
+    """Band keys, all distinct shingle hashes (32 bits each, ascending) and the fingerprint of a text's words."""
     words = text.lower().split()
     joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
@@ -258,7 +258,7 @@ def shingled(text: bytes, shingle: int, seed: int = SEED) -> tuple[list[int], by
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), lasts.tolist(), strict=True)], np.uint64)
     bands = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(minhashes(hashes).reshape(BANDS, ROWS))]
-    return bands, np.unique((hashes >> np.uint64(32)).astype("<u4")).tobytes()
+    return bands, np.unique((hashes >> np.uint64(32)).astype("<u4")).tobytes(), majority(hashes) if words else 0
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> float:
@@ -331,11 +331,18 @@ def alike_within(cells: DataFrame, similarity: float) -> DataFrame:
 FIRST_BANDS, CELL = 4, 512
 
 
+def fingerprint_classes(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """node and key, the root of the fingerprints that chains of links reach; rows has node, fp."""
+    roots = components(links(rows.select("fp").distinct(), radius)).withColumnRenamed("node", "__fp")
+    return rows.join(roots, F.col("fp") == F.col("__fp"), "left").select("node", F.coalesce("root", "fp").alias("key"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, most: int = CELL) -> DataFrame:
     """docs without near copies: of texts that chains of similarities link, the row with the least id stays.
 
     Texts are alike if the sets of their shingles, as hashes of 32 bits, have the given
-    Jaccard similarity or more. Texts that share the five MinHash values of one of 62 bands
+    Jaccard similarity or more. Fingerprints of the shingles that BK-trees link, as in near_duplicates, bring texts together
+    first. Three bits don't reach all texts that are alike at 0.8, so MinHash bands find the rest: texts that share the five MinHash values of one of 62 bands
     meet in a shard (at 0.8 all but 2 pairs in 10^11, at 0.3 one in seven, by calculation). There only pairs
     that cannot be alike go untested: where parity bits differ, the sets differ in an
     element for each bit at least. Copies of one word sequence count once. Null texts
@@ -344,7 +351,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     one stays; of copies with one id that with the text of least MD5, and of rows with one id and text that
     with the least hash of all columns but maps. An empty table gives no rows.
 
-    Shards are searched twice. In the first four bands, shards of more than ``most`` rows are
+    Shards are searched twice. In the classes of fingerprints and the first four bands, shards of more than ``most`` rows are
     parted and the first row takes part in each part, which links most copies. Then shards of all bands whose rows
     are not all linked yet are compared in full, pairs of parts apart where they have more than ``most`` rows.
     """
@@ -357,12 +364,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]
-            bands, sets = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [])
-            signed = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "whole", "bands", "set"])
+            bands, sets, fps = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [], [])
+            signed, fps = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64), np.array(fps, np.uint64).view(np.int64)
+            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(fps), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "whole", "fp", "bands", "set"])
 
     named = docs.where(F.col(id_col).isNotNull())
-    rows = saved(named.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("node"), text_col).mapInArrow(run, f"node {node}, whole binary, bands array<long>, set binary"), "sets")
+    rows = saved(named.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("node"), text_col).mapInArrow(run, f"node {node}, whole binary, fp long, bands array<long>, set binary"), "sets")
     repeats = saved(rows.groupBy("node").count().where("count > 1").select("node"), "repeats")
     repeated = not repeats.isEmpty()
     if repeated:
@@ -370,6 +377,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         discard(old)
     first = saved(rows.groupBy("whole").agg(F.min("node").alias("node")).select("node"), "firsts")
     keys = rows.select("node", "bands").join(first, "node", "left_semi").select("node", F.posexplode("bands").alias("band", "key"))
+    classes = fingerprint_classes(rows.select("node", "fp").join(first, "node", "left_semi"))
+    keys = keys.unionByName(classes.select("node", F.lit(BANDS).alias("band"), "key"))
     shared = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
     keys = saved(keys.join(shared, ["band", "key"]).withColumn("parts", F.ceil(F.col("n") / most).cast("int")), "bands")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -377,12 +386,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     all_parts = F.sequence(F.lit(0), F.col("parts") - 1)
 
     own = F.when(F.col("node") == F.col("least"), all_parts).otherwise(F.array(part))
-    cells = keys.where(F.col("band") < FIRST_BANDS).select("node", "band", "key", F.explode(own).alias("in"))
+    cells = keys.where((F.col("band") < FIRST_BANDS) | (F.col("band") == BANDS)).select("node", "band", "key", F.explode(own).alias("in"))
     cells = cells.select("node", F.xxhash64("band", "key", "in").alias("cell"), F.xxhash64("node").alias("root"), F.lit(0).alias("part"))
     found = saved(alike_within(cells.join(sets, "node"), similarity), "alike")
 
     roots = saved(components(found), "roots")
-    rooted = keys.join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    rooted = keys.where(F.col("band") < BANDS).join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
     open_ = rooted.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("band", "key")
     pair = F.explode(F.transform(all_parts, lambda k: F.struct(F.least(k, F.col("part")).alias("low"), F.greatest(k, F.col("part")).alias("high"))))
     cells = rooted.join(open_, ["band", "key"]).withColumn("part", part).select("node", "root", "part", "band", "key", pair.alias("in"))

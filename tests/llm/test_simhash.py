@@ -213,3 +213,25 @@ def test_texts_that_share_half_their_words_seldom_meet():
     keys = [simhash.shingled(f"{common} {' '.join(f'{n}x{i}' for i in range(40))}".encode(), 5)[0] for n in range(300)]
     largest = [max(np.unique([k[band] for k in keys], return_counts=True)[1]) for band in range(simhash.BANDS)]
     assert np.mean(largest) < 300 / 12
+
+
+def test_near_copies_meet_by_fingerprints_first(spark, monkeypatch):
+    """BK-trees link the fingerprints of the same shingles as in near_duplicates, and the classes bring copies together before any band does."""
+    rng, made = np.random.default_rng(21), []
+    base = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 400)) for _ in range(6)]
+    rows = [(10 * i + k, t + " tail" * k) for i, t in enumerate(base) for k in range(3)] + [(90, ""), (91, None), (92, "two words")]
+    linked = simhash.fingerprint_classes
+    monkeypatch.setattr(simhash, "fingerprint_classes", lambda *a: made.append(linked(*a)) or made[-1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in simhash.one_of_each(docs).collect()} == {*range(0, 60, 10), 90, 92}
+    assert len(made) == 1
+    fps = simhash.fingerprints(docs, shingle=5).withColumnRenamed("doc_id", "node")
+    got, want = {}, {}
+    for r in linked(fps).collect():
+        got.setdefault(r.key, set()).add(r.node)
+    for r in simhash.near_duplicates(docs, shingle=5).collect():
+        want.setdefault(r.component_id, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and max(map(len, got.values())) == 3
+    for i in range(len(base)):
+        assert simhash.shingled(rows[3 * i][1].encode(), 5)[2] == simhash.fingerprint(rows[3 * i][1].encode(), 5)
+    assert simhash.shingled(b"", 5)[2] == 0
