@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.shared import discard, fresh_path, saved, shared_dir
 
-__all__ = ["WORD", "bounded_batches", "discard", "fresh_path", "kept", "parts_for", "release", "saved", "shared_dir"]
+__all__ = ["WORD", "bounded_batches", "discard", "fresh_path", "kept", "parts_for", "release", "saved", "shared_dir", "trim"]
 
 #: Words are runs of anything but space, \t, \n, \v, \f and \r; bytes.split() splits at just these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,12 +30,16 @@ def kept(key: tuple, make: Callable[[], object]) -> object:
 
 
 def release() -> None:
-    """Lets go of what the worker has kept, so that the next operator has its memory."""
-    if _kept:
-        _kept.clear()
-        pa.default_memory_pool().release_unused()
-        if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-            libc.malloc_trim(0)
+    """Lets go of what the worker has kept, and of what earlier operators left in its heaps, so that the next one has the memory."""
+    _kept.clear()
+    trim()
+
+
+def trim() -> None:
+    """Gives memory that is free, but still held by the allocators, back to the system."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def bounded_batches(spark: SparkSession, size: str = "16m") -> None:

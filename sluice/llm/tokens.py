@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh_path, kept, parts_for, saved
+from sluice.llm.common import fresh_path, kept, parts_for, saved, trim
 
 END_ID, KEEP = 1, 1_000_000
 #: Letters that have just one form, and what may follow them as one run of punctuation.
@@ -184,6 +184,8 @@ def encoded(texts: pa.Array, path: str, end_id: int | None = END_ID, keep: int =
             for b in (ends * 4).tolist():
                 yield bytes(data[a:b]) + end
                 a = b
+            del data, ids, ends
+        trim()  # a slice's words and ids
         at = upto
 
 

@@ -173,3 +173,19 @@ def test_wide_vocabulary_is_known():
     assert not tokens.encoder(TOKENIZER).wide
     with pytest.raises(Exception):
         tokens.Encoder("/nonexistent.json")
+
+
+def test_memory_goes_back_between_slices_and_operators(monkeypatch):
+    """What earlier operators left in a worker's heaps goes before an encoder is made, and what a slice took after it."""
+    import pyarrow as pa
+
+    from sluice.llm import common, tokens
+
+    calls = []
+    monkeypatch.setattr(common, "trim", lambda: calls.append("all"))
+    monkeypatch.setattr(tokens, "trim", lambda: calls.append("slice"))
+    common._kept.clear()
+    common.release()  # nothing is kept, but heaps may be full of what was
+    assert calls == ["all"]
+    assert len(list(tokens.encoded(pa.array(["one two " * 100_000] * 5 + [None]), TOKENIZER, keep=1000))) == 6
+    assert calls[1] == "all" and calls.count("slice") >= 3
