@@ -301,7 +301,7 @@ def stream_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two epochs over written shards; the stream stops after its first batch, and another goes on from there."""
     folder = fresh_path(spark, "epochs")
     writers.shards(cuts.sharded(clips(spark, sf_dir), 1337, 100).select("row_index", "position", "shard_id"), f"{folder}/shards")
-    stream = lambda: epochs.epochs(spark, f"{folder}/shards", f"{folder}/progress", 1337, 2, shards_per_batch=64, world=4, workers=2)
+    stream = lambda: epochs.epochs(spark, f"{folder}/shards", f"{folder}/progress", 1337, 2, shards_per_batch=64, world=4, workers=2, batches_per_epoch=8)
     epochs.run_epochs(stream(), f"{folder}/run", stop_after=1)
     return epochs.run_epochs(stream(), f"{folder}/run").select("epoch", "worker", "shard_id", "row_index")
 

@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from sluice.shared import files_at
 
 FOLDER = re.compile(r"shard_id=(\d+)")
+#: A task reads so many shards of one worker at most.
+TOGETHER = 32
 
 
 def dealt_order(shards: list[int], seed: int, epoch: int) -> list[int]:
@@ -30,7 +32,7 @@ def dealt_order(shards: list[int], seed: int, epoch: int) -> list[int]:
 class Dealt(InputPartition):
     epoch: int
     worker: int
-    shard: int
+    shards: list[int]
 
 
 class EpochReader(DataSourceStreamReader):
@@ -41,7 +43,9 @@ class EpochReader(DataSourceStreamReader):
         self.path, self.progress, self.names = options["path"], options["progress"], schema.names
         self.seed, self.epochs, self.lot, self.readers = number("seed", 0), number("epochs", 1), max(1, number("shards_per_batch", 1)), max(1, number("world", 1)) * max(1, number("workers", 1))
         fs, root = files_at(self.path)
+        most = number("batches_per_epoch", 0)
         self.shards = sorted(int(m[1]) for i in fs.get_file_info(pafs.FileSelector(root)) if (m := FOLDER.fullmatch(i.base_name)))
+        self.lot = max(self.lot, -(-len(self.shards) // most)) if most else self.lot
 
     def initialOffset(self) -> dict:  # noqa: N802
         return {"epoch": 0, "shard": 0}
@@ -65,7 +69,9 @@ class EpochReader(DataSourceStreamReader):
         for epoch in range(start["epoch"], end["epoch"] + 1):
             order = dealt_order(self.shards, self.seed, epoch)
             low, high = start["shard"] if epoch == start["epoch"] else 0, end["shard"] if epoch == end["epoch"] else len(order)
-            out += [Dealt(epoch, k % self.readers, order[k]) for k in range(low, high)]
+            for worker in range(self.readers):
+                own = [order[k] for k in range(low, high) if k % self.readers == worker]
+                out += [Dealt(epoch, worker, own[i : i + TOGETHER]) for i in range(0, len(own), TOGETHER)]
         fs, folder = files_at(self.progress)
         fs.create_dir(folder, recursive=True)
         part = f"{folder}/planned-{uuid.uuid4().hex}"
@@ -75,18 +81,19 @@ class EpochReader(DataSourceStreamReader):
         return out
 
     def read(self, partition: Dealt) -> Iterator[pa.RecordBatch]:
-        fs, root = files_at(f"{self.path}/shard_id={partition.shard}")
-        own = {"epoch": (partition.epoch, pa.int64()), "worker": (partition.worker, pa.int64()), "shard_id": (partition.shard, pa.int64())}
-        for batch in pads.dataset(root, filesystem=fs, format="parquet").to_batches(columns=[c for c in self.names if c not in own]):
-            columns = [pa.array([own[c][0]] * batch.num_rows, own[c][1]) if c in own else batch.column(c) for c in self.names]
-            yield pa.record_batch(columns, names=self.names)
+        for shard in partition.shards:
+            fs, root = files_at(f"{self.path}/shard_id={shard}")
+            own = {"epoch": partition.epoch, "worker": partition.worker, "shard_id": shard}
+            for batch in pads.dataset(root, filesystem=fs, format="parquet").to_batches(columns=[c for c in self.names if c not in own]):
+                columns = [pa.array([own[c]] * batch.num_rows, pa.int64()) if c in own else batch.column(c) for c in self.names]
+                yield pa.record_batch(columns, names=self.names)
 
     def commit(self, end: dict) -> None:
         """Nothing is kept for batches that are done."""
 
 
 class Epochs(DataSource):
-    """Options: path (as ``writers.shards`` writes it), progress (a folder of the stream's own), seed, epochs, shards_per_batch, world, workers."""
+    """Options: path (as ``writers.shards`` writes it), progress (a folder of the stream's own), seed, epochs, shards_per_batch, batches_per_epoch, world, workers."""
 
     @classmethod
     def name(cls) -> str:
@@ -96,16 +103,16 @@ class Epochs(DataSource):
         return EpochReader(self.options, schema)
 
 
-def epochs(spark: SparkSession, path: str, progress: str, seed: int, n: int, shards_per_batch: int = 8, world: int = 1, workers: int = 1) -> DataFrame:
+def epochs(spark: SparkSession, path: str, progress: str, seed: int, n: int, shards_per_batch: int = 8, world: int = 1, workers: int = 1, batches_per_epoch: int = 0) -> DataFrame:
     """epoch, worker, shard_id and the shards' columns, as a stream of n epochs over written shards.
 
-    In each epoch every shard comes once, in an order of its own, dealt to the workers of all ranks in turn; a task reads one
-    shard. A query that is started again with its checkpoint and the same progress folder goes on where it was.
+    In each epoch every shard comes once, in an order of its own, dealt to the workers of all ranks in turn; a task reads up
+    to 32 shards of one worker. With batches_per_epoch an epoch of many shards takes about so many batches, each of more than shards_per_batch shards (0: no bound). A query that is started again with its checkpoint and the same progress folder goes on where it was.
     """
     spark.dataSource.register(Epochs)
     kept = [f for f in spark.read.parquet(path).schema if f.name not in ("epoch", "worker", "shard_id")]
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("epoch", "worker", "shard_id")] + kept)
-    options = {"path": path, "progress": progress, "seed": seed, "epochs": n, "shards_per_batch": shards_per_batch, "world": world, "workers": workers}
+    options = {"path": path, "progress": progress, "seed": seed, "epochs": n, "shards_per_batch": shards_per_batch, "batches_per_epoch": batches_per_epoch, "world": world, "workers": workers}
     return spark.readStream.format("epochs").schema(schema).options(**options).load()
 
 

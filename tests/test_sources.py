@@ -174,6 +174,20 @@ def test_epochs_come_whole_and_go_on(spark, tmp_path):
     assert len({tuple(sorted({(r.shard_id, r.worker) for r in found if r.epoch == e})) for e in range(3)}) == 3
 
 
+def test_epochs_of_many_shards_take_few_batches_and_tasks(spark, tmp_path):
+    for i in range(1000):
+        (tmp_path / f"shard_id={i}").mkdir()
+    options = {"path": str(tmp_path), "progress": str(tmp_path / "progress"), "epochs": "2", "shards_per_batch": "4", "batches_per_epoch": "5", "world": "2", "workers": "2"}
+    reader, tasks, batches = epochs.EpochReader(options, spark.range(1).schema), [], 0
+    at = reader.initialOffset()
+    while (end := reader.latestOffset()) != at:
+        tasks, batches, at = tasks + reader.partitions(at, end), batches + 1, end
+    assert batches == 10 and len(tasks) <= 10 * 4 * 2
+    for epoch in range(2):
+        order = epochs.dealt_order(range(1000), 0, epoch)
+        assert sorted((s, t.worker) for t in tasks if t.epoch == epoch for s in t.shards) == sorted((s, k % 4) for k, s in enumerate(order))
+
+
 def test_worker_shards_prunes_folders_while_it_runs(spark):
     from sluice.plans.queries import worker_shards
 
