@@ -300,13 +300,15 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
         return df.join(small(roots.select(F.col("node").alias("__node"), F.col("root").alias(f"root_{column}"))), F.col(column) == F.col("__node"), "left").drop("__node").withColumn(f"root_{column}", F.coalesce(f"root_{column}", column))
 
     open_ = rooted(rooted(star, "a"), "b").withColumn("apart", F.col("root_a") != F.col("root_b"))
-    keys = open_.groupBy("key").agg(F.max("apart").alias("apart")).where("apart").select("key")
-    there = open_.join(keys, "key")
+    by_key = Window.partitionBy("key")
+    there = open_.withColumn("open", F.max("apart").over(by_key)).where("open")
     side = lambda x: there.select("key", F.col(x).alias("id"), F.col(f"p{x}").alias("place"), F.xxhash64(f"root_{x}").alias("root"))
     members = side("b").unionByName(side("a").distinct())
     # a place's low byte has its turn and scale: so few are there for a key of any size
-    kinds = members.groupBy("key", (F.col("place").bitwiseAND(255)).alias("way")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    kinds = kinds.groupBy("key").agg(F.collect_list("way").alias("ways"), F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    of_way = Window.partitionBy("key", "way")
+    kinds = members.repartition("key").withColumn("way", F.col("place").bitwiseAND(255))
+    kinds = kinds.withColumns({"low": F.min("root").over(of_way), "high": F.max("root").over(of_way)}).withColumn("kinds", F.collect_set(F.struct("way", "low", "high")).over(by_key))
+    kinds = kinds.withColumns({f"{c}s": F.col("kinds").getField(c) for c in ("way", "low", "high")})
 
     def by_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for held in whole_groups(batches, "image"):
@@ -332,7 +334,7 @@ def linked(star: DataFrame, corners: DataFrame, votes: int, share: float) -> Dat
                 both = [ids.take(pa.array(np.r_[x, x])) for x in (i, j)]
                 yield pa.record_batch([both[0], pa.array(np.r_[p[i], q[i]]), both[1], pa.array(np.r_[p[j], q[j]])], names=["a", "pa", "b", "pb"])
 
-    grouped = members.join(kinds, "key").withColumn("image", F.xxhash64("id")).repartition("image").sortWithinPartitions("image", "key", "place")
+    grouped = kinds.withColumn("image", F.xxhash64("id")).repartition("image").sortWithinPartitions("image", "key", "place")
     twos = grouped.select("image", "id", "key", "place", "root", "ways", "lows", "highs").mapInArrow(by_two, f"two long, id {kind}, root long, p long, q long")
     more = twos.repartition("two").sortWithinPartitions("two", "id", "p", "q").mapInArrow(all_apart, f"a {kind}, pa long, b {kind}, pb long")
     rest = saved(agreeing(more, corners, votes, share), "image-links")

@@ -170,3 +170,15 @@ def test_small_part_of_a_busy_picture(spark):
     gray[:60, :60] = np.kron(rng.integers(0, 2, (10, 10)) * 40.0 + 100, np.ones((6, 6)))
     files = [(1, media.pgm(gray)), (2, media.pgm(gray[:56, :56]))]
     assert {r.class_id for r in media.copies(spark.createDataFrame(files, "image_id long, image binary")).collect()} == {1}
+
+
+def test_keys_of_images_are_not_joined_with_each_other(spark, monkeypatch):
+    """What a key's images have in common comes by windows, a row for each row."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    met, join = [], DataFrame.join
+    monkeypatch.setattr(DataFrame, "join", lambda self, other, on=None, how=None: met.append(on) or join(self, other, on, how))
+    pairs = [(i, key, (20 + key) << 44 | 30 << 28 | 530 << 18 | 540 << 8) for i in range(4) for key in range(1 + 10 * (i // 2), 4 + 10 * (i // 2))] + [(0, 11, 1 << 44)]
+    votes = media.first_votes(spark.createDataFrame(pairs, "id long, key long, place long"))
+    roots = media.linked(votes, spark.createDataFrame([(i, 5) for i in range(4)], "id long, n_corners long"), 2, 0.08)
+    assert {r.node: r.root for r in roots.collect() if r.node != r.root} == {1: 0, 3: 2} and met and "key" not in [x for x in met if isinstance(x, str)]
