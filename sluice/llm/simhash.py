@@ -248,17 +248,27 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingled(text: bytes, shingle: int, seed: int = SEED) -> tuple[list[int], bytes, int]:
-    """Band keys, all distinct shingle hashes (32 bits each, ascending) and the fingerprint of a text's words."""
+def shingle_hashes(text: bytes, shingle: int, seed: int = SEED) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included; fewer words are one shingle, and so are none."""
     words = text.lower().split()
     joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1]) if words else np.zeros(1, np.int64)
     lasts = ends[shingle - 1 :] if len(words) >= shingle else np.array([len(joined)])
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), lasts.tolist(), strict=True)], np.uint64)
+    return np.array([digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), lasts.tolist(), strict=True)], np.uint64)
+
+
+def shingled(text: bytes, shingle: int, seed: int = SEED) -> tuple[list[int], np.ndarray, int]:
+    """Band keys, the shingles' hashes and the fingerprint of a text's words."""
+    hashes = shingle_hashes(text, shingle, seed)
     bands = [xxhash.xxh64_intdigest(row.tobytes(), i) for i, row in enumerate(minhashes(hashes).reshape(BANDS, ROWS))]
-    return bands, np.unique((hashes >> np.uint64(32)).astype("<u4")).tobytes(), majority(hashes) if words else 0
+    return bands, hashes, majority(hashes) if text.split() else 0
+
+
+def shingle_set(text: bytes, shingle: int, seed: int = SEED) -> bytes:
+    """All distinct shingle hashes of a text, 32 bits each, ascending."""
+    return np.unique((shingle_hashes(text, shingle, seed) >> np.uint64(32)).astype("<u4")).tobytes()
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> float:
@@ -354,53 +364,69 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Shards are searched twice. In the classes of fingerprints and the first four bands, shards of more than ``most`` rows are
     parted and the first row takes part in each part, which links most copies. Then shards of all bands whose rows
     are not all linked yet are compared in full, pairs of parts apart where they have more than ``most`` rows.
+    Shards with the same rows are one cell. Sets of shingles are made only of texts that share a shard, and texts go by
+    their place, a number, until the last join with docs.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     key = F.unhex(F.md5(F.coalesce(text_col, F.lit(""))))
-    node = f"struct<id:{kind},key:binary>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for batch in batches:
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             whole = [hashlib.md5(b" ".join(t.lower().split())).digest() for t in texts]
-            bands, sets, fps = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [], [])
+            bands, _, fps = zip(*(shingled(t, shingle) for t in texts), strict=True) if texts else ([], [], [])
             signed, fps = np.array(bands, np.uint64).reshape(-1, BANDS).view(np.int64), np.array(fps, np.uint64).view(np.int64)
-            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(fps), pa.array(signed.tolist(), pa.list_(pa.int64())), pa.array(sets, pa.binary())], names=["node", "whole", "fp", "bands", "set"])
+            yield pa.record_batch([batch.column(0), pa.array(whole, pa.binary()), pa.array(fps), pa.array(signed.tolist(), pa.list_(pa.int64()))], names=["node", "whole", "fp", "bands"])
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for batch in batches:
+            sets = [shingle_set(t or b"", shingle) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], names=["node", "set"])
 
-    named = docs.where(F.col(id_col).isNotNull())
-    rows = saved(named.select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("node"), text_col).mapInArrow(run, f"node {node}, whole binary, fp long, bands array<long>, set binary"), "sets")
+    named = docs.where(F.col(id_col).isNotNull()).select(F.struct(F.col(id_col).alias("id"), key.alias("key")).alias("__node"), F.col(text_col).alias("__text"))
+    rows = saved(named.mapInArrow(sketch, f"node struct<id:{kind},key:binary>, whole binary, fp long, bands array<long>"), "sketches")
     repeats = saved(rows.groupBy("node").count().where("count > 1").select("node"), "repeats")
     repeated = not repeats.isEmpty()
+    first = rows.groupBy("whole").agg(F.min(F.struct("node", "fp", "bands")).alias("first"))
+    first = saved(first.select(F.monotonically_increasing_id().alias("place"), "first.*"), "firsts")
+    discard(rows)
+    classes = fingerprint_classes(first.select(F.col("place").alias("node"), "fp")).select("node", F.lit(BANDS).alias("band"), F.xxhash64("key").alias("key"))
+    keys = first.select(F.col("place").alias("node"), F.posexplode("bands").alias("band", "key")).unionByName(classes)
+    keys = keys.select("node", F.col("key").bitwiseAND(F.lit(-64)).bitwiseOR(F.col("band")).alias("key"))  # the last six bits are the band
+    of_key = Window.partitionBy("key")
+    shared = {"n": F.count("*"), "least": F.min("node"), "members": F.bit_xor(F.xxhash64("node"))}
+    keys = keys.select("node", "key", *(f.over(of_key).alias(c) for c, f in shared.items())).where("n > 1")
+    keys = saved(keys.withColumn("parts", F.ceil(F.col("n") / most).cast("int")), "bands")
+    places = saved(first.select("place", F.col("node").alias("__node")), "places")
+    discard(first)
+    near = keys.select(F.col("node").alias("place")).distinct().join(places, "place")
+    sets = saved(named.join(near, "__node").select("place", "__text").mapInArrow(collect, "node long, set binary"), "sets")
     if repeated:
-        old, rows = rows, saved(rows.dropDuplicates(["node"]), "sets")
+        old, sets = sets, saved(sets.dropDuplicates(["node"]), "sets")
         discard(old)
-    first = saved(rows.groupBy("whole").agg(F.min("node").alias("node")).select("node"), "firsts")
-    keys = rows.select("node", "bands").join(first, "node", "left_semi").select("node", F.posexplode("bands").alias("band", "key"))
-    classes = fingerprint_classes(rows.select("node", "fp").join(first, "node", "left_semi"))
-    keys = keys.unionByName(classes.select("node", F.lit(BANDS).alias("band"), "key"))
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-    keys = saved(keys.join(shared, ["band", "key"]).withColumn("parts", F.ceil(F.col("n") / most).cast("int")), "bands")
+    band = F.col("key").bitwiseAND(F.lit(63))
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    sets = rows.select("node", "set")
     all_parts = F.sequence(F.lit(0), F.col("parts") - 1)
+    cell = F.xxhash64("n", "least", "members", "in").alias("cell")
 
     own = F.when(F.col("node") == F.col("least"), all_parts).otherwise(F.array(part))
-    cells = keys.where((F.col("band") < FIRST_BANDS) | (F.col("band") == BANDS)).select("node", "band", "key", F.explode(own).alias("in"))
-    cells = cells.select("node", F.xxhash64("band", "key", "in").alias("cell"), F.xxhash64("node").alias("root"), F.lit(0).alias("part"))
+    cells = keys.where((band < FIRST_BANDS) | (band == BANDS)).select("node", *shared, F.explode(own).alias("in")).select("node", cell).distinct()
+    cells = cells.select("node", "cell", F.col("node").alias("root"), F.lit(0).alias("part"))
     found = saved(alike_within(cells.join(sets, "node"), similarity), "alike")
 
     roots = saved(components(found), "roots")
-    rooted = keys.where(F.col("band") < BANDS).join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
-    open_ = rooted.groupBy("band", "key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("band", "key")
+    rooted = keys.where(band < BANDS).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = rooted.withColumns({"low": F.min("root").over(of_key), "high": F.max("root").over(of_key)}).where("low != high")
     pair = F.explode(F.transform(all_parts, lambda k: F.struct(F.least(k, F.col("part")).alias("low"), F.greatest(k, F.col("part")).alias("high"))))
-    cells = rooted.join(open_, ["band", "key"]).withColumn("part", part).select("node", "root", "part", "band", "key", pair.alias("in"))
-    cells = cells.select("node", "root", "part", F.xxhash64("band", "key", "in").alias("cell"))
+    cells = open_.withColumn("part", part).select("node", "root", "part", *shared, pair.alias("in")).select("node", "root", "part", cell).distinct()
     more = saved(alike_within(cells.join(sets, "node"), similarity), "alike")
 
-    roots_of_all = components(found.union(more))
-    stay = saved(first.join(roots_of_all.where("node != root"), "node", "left_anti"), "stay")
-    discard(rows, first, keys, found, more, roots)
+    linked = components(found.union(more)).withColumnRenamed("node", "place")
+    least = places.join(linked, "place", "left").groupBy(F.coalesce("root", "place").alias("root")).agg(F.min("__node").alias("node"))
+    stay = saved(least.select("node"), "stay")
+    discard(places, keys, sets, found, more, roots)
     kept = docs.withColumn("__node", F.struct(F.col(id_col).alias("id"), key.alias("key"))).join(stay.select(F.col("node").alias("__stay")), F.col("__node") == F.col("__stay")).drop("__stay")
     if repeated:
         order = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))

@@ -25,11 +25,20 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting: a query's shuffle files go when it ends, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and reread: a lost executor costs no more than the tasks after it."""
+    """df, written to the shared folder and reread: a lost executor costs no more than the tasks after it. The shuffles of the write, which nothing else reads, go with its end."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.saved_at = path
     return out

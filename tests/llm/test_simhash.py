@@ -235,3 +235,41 @@ def test_near_copies_meet_by_fingerprints_first(spark, monkeypatch):
     for i in range(len(base)):
         assert simhash.shingled(rows[3 * i][1].encode(), 5)[2] == simhash.fingerprint(rows[3 * i][1].encode(), 5)
     assert simhash.shingled(b"", 5)[2] == 0
+
+
+def test_only_texts_that_share_a_band_get_sets(spark, monkeypatch):
+    """Sets of shingles are as large as the texts: none is written of a text that nothing is near to."""
+    rng, tables, write = np.random.default_rng(8), {}, simhash.saved
+
+    def saved(df, name):
+        out = write(df, name)
+        tables.setdefault(name, []).append((out.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(simhash, "saved", saved)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 60)) for _ in range(40)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100, texts[7] + " tail"), (101, texts[9].upper())]
+    kept = {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(40))
+    assert [(name, n) for name, found in tables.items() for columns, n in found if "set" in columns] == [("sets", 2)]
+
+
+def test_texts_that_share_many_bands_are_compared_once(spark, monkeypatch):
+    """Three texts of which none is a copy, alike at 0.7: they share bands again and again, and meet in one cell of all three and one of each pair at most."""
+    words, met, within = [f"w{i}" for i in range(404)], [], simhash.alike_within
+    rows = [(n, " ".join(words[:334] + [f"{n}x{i}" for i in range(70)])) for n in range(3)]
+    a, b = (simhash.shingled(t.encode(), 5)[0] for _, t in rows[:2])
+    assert sum(x == y for x, y in zip(a, b, strict=True)) > 5
+
+    def alike_within(cells, similarity):
+        met.append(cells.select("cell", "node").collect())
+        return within(cells, similarity)
+
+    monkeypatch.setattr(simhash, "alike_within", alike_within)
+    assert {r.doc_id for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0, 1, 2}
+    assert len(met) == 2 and len(met[1]) == len({(r.cell, r.node) for r in met[1]})
+    assert 2 <= len(met[1]) <= 3 + 3 * 2
+
+
+def test_bands_have_room_in_a_key():
+    assert simhash.BANDS < 64  # the last six bits of a key; the classes of fingerprints come after the bands
